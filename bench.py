@@ -78,7 +78,7 @@ def main() -> None:
     queries = {name: best(lambda name=name: QUERIES[name](spark, SF_DIR)) for name in HEADLINE}
 
     compact, plain = scratch_path(spark, "compact"), scratch_path(spark, "plain")
-    copies = replicate(c.orders(), 40)
+    copies = replicate(c.orders(), 40).repartition(int(CPUS), "order_id")
     begun = time.perf_counter()
     copied_rows = load_verified(copies, compact, sort=("order_date", "order_id"))
     queries["load_40_copies"] = round(time.perf_counter() - begun, 4)

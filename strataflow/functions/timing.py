@@ -28,13 +28,6 @@ def width_seconds(width: str) -> int:
     return seconds
 
 
-def _epoch_seconds(ts: Column) -> Column:
-    return (
-        F.unix_date(F.to_date(ts)).cast("long") * 86400
-        + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
-    )
-
-
 def epoch_micros(ts: Column | str) -> Column:
     """Microseconds of wall-clock time since 1970-01-01 00:00:00."""
     ts = _col(ts)
@@ -42,20 +35,18 @@ def epoch_micros(ts: Column | str) -> Column:
     return whole_minutes * 1_000_000 + (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("long")
 
 
-def wall_clock(epoch_seconds: Column) -> Column:
-    """TIMESTAMP_NTZ from whole wall-clock seconds since the epoch."""
-    day = F.date_from_unix_date(F.floor(epoch_seconds / 86400).cast("int"))
-    return F.timestamp_add("SECOND", F.pmod(epoch_seconds, F.lit(86400)), day.cast("timestamp_ntz"))
-
-
 def time_bucket(width: str, ts: Column | str, origin: datetime = datetime(1970, 1, 1)) -> Column:
-    """Start of the fixed-width bucket holding ``ts``; buckets are aligned to ``origin``."""
+    """Start of the fixed-width bucket holding ``ts``; buckets are aligned to ``origin``.
+
+    Tumbling windows on TIMESTAMP_NTZ are pure integer arithmetic on the wall
+    clock.  They skip rows without a time, so those are led around the window
+    and keep a NULL bucket.  One width per projection.
+    """
     ts, seconds = _col(ts), width_seconds(width)
     shift = int((origin - datetime(1970, 1, 1)).total_seconds()) % seconds
-    if seconds == 86400 and shift == 0:
-        return F.to_date(ts).cast("timestamp_ntz")
-    elapsed = _epoch_seconds(ts)
-    return wall_clock(elapsed - F.pmod(elapsed - shift, F.lit(seconds)))
+    present = F.coalesce(ts.cast("timestamp_ntz"), F.lit(origin).cast("timestamp_ntz"))
+    start = F.window(present, f"{seconds} seconds", startTime=f"{shift} seconds")["start"]
+    return F.when(ts.isNotNull(), start)
 
 
 def hours_between(start: Column | str, end: Column | str) -> Column:

@@ -19,7 +19,16 @@ from strataflow.functions import safe_ratio
 from strataflow.operators import quality as q
 from strataflow.operators.clean import CLEAN_RULES, clean, clean_report
 from strataflow.plans import aggregates, dims, facts, metrics
-from strataflow.sinks import AuditLog, dedupe_latest, load_verified, refresh, stamp_sync_time, with_month
+from strataflow.sinks import (
+    AuditLog,
+    dedupe_latest,
+    has_duplicates,
+    load_many,
+    load_verified,
+    refresh,
+    stamp_sync_time,
+    with_month,
+)
 from strataflow.session import tune
 
 # Partition timestamp and sort key of each landed table; None means unpartitioned.
@@ -48,17 +57,28 @@ class Warehouse:
         return self.read("dws", name)
 
 
+def _stage(house: Warehouse, sources: Mapping[str, DataFrame]) -> int:
+    """One read of the operational system; everything after works on the copy."""
+    return sum(load_many({n: (df, house.path("stage", n), {}) for n, df in sources.items()}).values())
+
+
 def _land(house: Warehouse, sources: Mapping[str, DataFrame]) -> int:
-    total = 0
-    for name, df in sources.items():
+    """Cleaned sources, one row per business key, in their storage layout.
+
+    Repeated keys are the exception, and removing them moves whole rows, so the
+    rows are only regrouped where a pass over the key column finds a repeat.
+    """
+    def landing(name: str, df: DataFrame) -> tuple[DataFrame, str, dict]:
         ts, order = LANDING_LAYOUT[name]
-        unique = dedupe_latest(clean(df, CLEAN_RULES[name]), schemas.KEYS[name])
-        stamped = stamp_sync_time(unique, unique.columns)
-        if ts is not None:
-            total += load_verified(with_month(stamped, ts), house.path("ods", name), "ym", order)
-        else:
-            total += load_verified(stamped, house.path("ods", name), sort=order)
-    return total
+        rows, keys = clean(df, CLEAN_RULES[name]), schemas.KEYS[name]
+        if has_duplicates(rows, keys):
+            rows = dedupe_latest(rows, keys)
+        stamped = stamp_sync_time(rows, rows.columns)
+        if ts is None:
+            return stamped, house.path("ods", name), {"sort": order, "distribute": keys}
+        return with_month(stamped, ts), house.path("ods", name), {"part": "ym", "sort": order}
+
+    return sum(load_many({name: landing(name, df) for name, df in sources.items()}).values())
 
 
 def _conform(house: Warehouse, region: DataFrame, promotion: DataFrame) -> int:
@@ -148,15 +168,21 @@ class VerificationFailed(RuntimeError):
 
 def build(
     spark: SparkSession, sources: Mapping[str, DataFrame], root: str, region: DataFrame, promotion: DataFrame,
-    cfg: WarehouseConfig = DEFAULT, verify: bool = True,
+    cfg: WarehouseConfig = DEFAULT, verify: bool = True, stage: bool = True,
 ) -> Warehouse:
     """Build or rebuild the warehouse under ``root`` from the six source tables.
 
-    Every step is audited, failures too; failed checks raise after their verdicts are stored.
+    ``stage`` copies the sources first, so that a database is read once; leave it
+    out where the sources are columnar files already.  Every step is audited,
+    failures too; failed checks raise after their verdicts are stored.
     """
     tune(spark)
     house = Warehouse(spark, root)
     log = AuditLog(spark, house.path("audit", "etl_log"))
+    if stage:
+        extracted = sources
+        log.step("extract", lambda: _stage(house, extracted))
+        sources = {name: spark.read.schema(df.schema).parquet(house.path("stage", name)) for name, df in sources.items()}
 
     def check_input() -> int:
         report = clean_report(sources)

@@ -1,16 +1,19 @@
 from strataflow.sinks.audit import AuditLog, audit_append
 from strataflow.sinks.tables import (
     filter_range,
+    load_many,
     load_verified,
     out_of_range,
     refresh,
+    save_bucketed,
     stamp_sync_time,
     with_key_range,
     with_month,
 )
-from strataflow.sinks.upsert import dedupe_latest, upsert_latest
+from strataflow.sinks.upsert import dedupe_latest, has_duplicates, upsert_latest
 
 __all__ = [
-    "AuditLog", "audit_append", "dedupe_latest", "filter_range", "load_verified", "out_of_range", "refresh",
+    "AuditLog", "audit_append", "dedupe_latest", "filter_range", "has_duplicates", "load_many", "load_verified",
+    "out_of_range", "refresh", "save_bucketed",
     "stamp_sync_time", "upsert_latest", "with_key_range", "with_month",
 ]

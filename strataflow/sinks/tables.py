@@ -51,9 +51,13 @@ def load_verified(
     part: str | None = None,
     sort: Sequence[str | Column] = (),
     codec: str = "zstd",
+    distribute: Sequence[str] = (),
 ) -> int:
     """Replace the table at ``path``; return its row count or raise if rows went missing.
 
+    ``distribute`` names the distribution key of an unpartitioned table, ``sort``
+    the order inside each file, which makes its min/max statistics selective.
+
     Partitioned tables are written through a REBALANCE on the partition key:
     adaptive execution splits a month that holds far more rows than the others
     into several tasks and merges the small ones, so there is neither one huge
@@ -62,7 +66,8 @@ def load_verified(
     """
     spark = df.sparkSession
     counted = Observation()
-    shaped = df.hint("rebalance", part) if part else df
+    spread = [part] if part else list(distribute)
+    shaped = df.hint("rebalance", *spread) if spread else df
     shaped = shaped.observe(counted, F.count(F.lit(1)).alias("rows"))
     if part or sort:
         shaped = shaped.sortWithinPartitions(*([part] if part else []), *sort)
@@ -75,11 +80,25 @@ def load_verified(
     return loaded
 
 
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, sort: Sequence[str] = ()) -> None:
+    """Catalog table bucketed by ``key``: two such tables join on it without a shuffle.
+
+    A bucket is one task, which cannot be split, so this suits keys that spread
+    evenly; ``load_verified`` tables keep adaptive skew handling.
+    """
+    df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key, *sort).saveAsTable(table)
+
+
 def refresh(spark: SparkSession, aggregates: Mapping[str, DataFrame], root: str, parallel: int = 4) -> dict[str, int]:
-    """Recompute and replace the named pre-aggregates; they are independent, so jobs overlap."""
-    def one(item: tuple[str, DataFrame]) -> tuple[str, int]:
-        name, frame = item
-        return name, load_verified(frame, f"{root}/{name}")
+    """Recompute and replace the named tables; they are independent, so their jobs overlap."""
+    return load_many({name: (frame, f"{root}/{name}", {}) for name, frame in aggregates.items()}, parallel)
+
+
+def load_many(tables: Mapping[str, tuple[DataFrame, str, Mapping]], parallel: int = 4) -> dict[str, int]:
+    """``load_verified`` for several independent tables at once: name -> (frame, path, options)."""
+    def one(item: tuple[str, tuple[DataFrame, str, Mapping]]) -> tuple[str, int]:
+        name, (frame, path, options) = item
+        return name, load_verified(frame, path, **options)
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        return dict(pool.map(one, aggregates.items()))
+        return dict(pool.map(one, tables.items()))

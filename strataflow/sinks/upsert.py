@@ -27,6 +27,11 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], version: str | None = None
     return _latest_per_key(df, keys, [version] if version else [], df.columns)
 
 
+def has_duplicates(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether any key occurs twice; shuffles key values only."""
+    return bool(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).limit(1).count())
+
+
 def upsert_latest(base: DataFrame, delta: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
     """Base rows overlaid by delta rows of the same key; on equal versions the delta wins."""
     both = base.withColumn("_delta", F.lit(0)).unionByName(delta.withColumn("_delta", F.lit(1)))

@@ -43,7 +43,7 @@ def test_second_build_replaces_the_first(spark, house):
     warehouse.build(spark, c.sources(), root, c.region(), c.promotions(), c.cfg, verify=False)
     assert {n: built.aggregate(n).count() for n in before} == before
     audit = built.read("audit", "etl_log")
-    assert audit.select("run_id").distinct().count() == 2 and audit.where("status = 'success'").count() == 14
+    assert audit.select("run_id").distinct().count() == 2 and audit.where("status = 'success'").count() == 16
     assert built.read("ods", "orders").count() == c.raw("orders").count()
 
 
@@ -92,4 +92,4 @@ def test_a_sound_shop_passes_every_check(spark):
     except warehouse.VerificationFailed:
         pytest.fail(str(spark.read.parquet(f"{root}/audit/verification").where("NOT passed").collect()))
     log = {r.step: r.status for r in spark.read.parquet(f"{root}/audit/etl_log").collect()}
-    assert log["verify"] == "success" and len(log) == 8
+    assert log["verify"] == "success" and len(log) == 9
