@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,6 +78,12 @@ def _(c: Canon) -> DataFrame:
     return shown(c.latency(), "paid_to_shipped_hours", "shipped_to_completed_hours")
 
 
+@query("fulfilment_latency_selfjoin", _LATENCY_SQL)
+def _(c: Canon) -> DataFrame:
+    joined = aggregates.fulfilment_latency_joined(c.status_events())
+    return shown(joined, "paid_to_shipped_hours", "shipped_to_completed_hours")
+
+
 @query("promo_daily_compare", """
 SELECT period, days, order_cnt, CAST(gmv AS DOUBLE) AS gmv, (daily_avg_gmv) AS daily_avg_gmv,
        (avg_order_value) AS avg_order_value FROM dws_promo""")
@@ -105,8 +113,6 @@ def _(c: Canon) -> DataFrame:
 SELECT time_bucket(INTERVAL 7 DAY, order_date) AS week_start, COUNT(*) AS order_count FROM c_orders GROUP BY 1""")
 def _(c: Canon) -> DataFrame:
     """Weeks that start on Monday: the origin decides."""
-    from datetime import datetime
-
     week = time_bucket("7 days", "order_date", origin=datetime(2000, 1, 3))
     return c.orders().groupBy(week.alias("week_start")).agg(F.count(F.lit(1)).alias("order_count"))
 

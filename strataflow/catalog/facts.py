@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strataflow.catalog.canon import Canon
 from strataflow.catalog.registry import query, shown
 from strataflow.operators import quality
-from strataflow.plans import facts, metrics
+from strataflow.plans import dims, facts, metrics
 
 
 @query("order_fact", """
@@ -70,8 +70,6 @@ def _(c: Canon) -> DataFrame:
 SELECT order_date AS date_key, COUNT(DISTINCT user_id) AS paying_users, COUNT(order_id) AS orders,
        CAST(SUM(total_amount) AS DOUBLE) AS gmv FROM f_order GROUP BY order_date""")
 def _(c: Canon) -> DataFrame:
-    from strataflow.plans import dims
-
     core = c.order_core()
     bounds = core.agg(F.min("order_date").alias("first_day"), F.max("order_date").alias("last_day"))
     return shown(metrics.daily_buyers_by_calendar(core, dims.dim_date(bounds, "first_day", "last_day")))

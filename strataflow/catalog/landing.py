@@ -125,6 +125,14 @@ def _(c: Canon) -> DataFrame:
     return c.region()
 
 
+@query("dim_promotion", """
+SELECT promo_id, make_date(y, 11, d1) AS start_date, make_date(y, 11, d2) AS end_date, CAST(rate AS DOUBLE) AS discount_rate
+FROM (SELECT DISTINCT year(o_orderdate) AS y FROM orders)
+CROSS JOIN (VALUES (1, 1, 10, 0.10), (2, 11, 11, 0.25), (3, 12, 14, 0.15)) AS p(promo_id, d1, d2, rate)""")
+def _(c: Canon) -> DataFrame:
+    return shown(c.promotion_periods())
+
+
 @query("dim_product", "SELECT DISTINCT product_id, product_name, category, CAST(price AS DOUBLE) AS price FROM c_products")
 def _(c: Canon) -> DataFrame:
     return shown(dims.dim_product(c.products()))

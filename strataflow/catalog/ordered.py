@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strataflow.catalog.canon import Canon
 from strataflow.catalog.registry import query, shown
+from strataflow.functions import epoch_micros
 from strataflow.operators.ordered import lagged, moving_average, running_total
 from strataflow.operators.quality import running_violations
 from strataflow.plans import metrics
@@ -21,7 +22,7 @@ def _(c: Canon) -> DataFrame:
 SELECT event_id, ts, CAST(SUM(amount) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running_amount
 FROM activity""")
 def _(c: Canon) -> DataFrame:
-    """Over single rows instead of minutes: chunks come from the quantiles of the time column."""
+    """Over single rows instead of minutes: chunks come from range partitioning."""
     return shown(running_total(c.activity(), ["ts", "event_id"], {"amount": "running_amount"}).select(
         "event_id", "ts", "running_amount"))
 
@@ -78,8 +79,6 @@ def _(c: Canon) -> DataFrame:
 SELECT event_id, user_id, ts, LEAD(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_event_id FROM activity""")
 def _(c: Canon) -> DataFrame:
     """LEAD: the row after this one is the row before it on the reversed axis."""
-    from strataflow.functions import epoch_micros
-
     rows = c.activity().select(
         "event_id", "user_id", "ts", (-epoch_micros("ts")).alias("_back"), (-F.col("event_id")).alias("_back_id"))
     return lagged(rows, ["_back", "_back_id"], "event_id", keys=["user_id"], name="next_event_id").drop(

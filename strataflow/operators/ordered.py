@@ -2,75 +2,59 @@
 
 A window needs all rows of its partition together.  With no partition key, or
 with a key that holds a large share of the table, that is one task.  Here the
-ordered axis is cut into *chunks*: a chunk is a range of the leading order
-column, so it never separates equal values.  Windows run inside (key, chunk);
-what must cross a chunk border - a running sum, a row count, the last few rows -
-is carried by a summary with one row per (key, chunk).
-
-Chunks come either from a Column (say, the day, when a day's rows are known to
-be few) or from quantiles of the data, which bound every (key, chunk) group by
-about ``1 / pieces`` of the table whatever the skew.  The cut points steer only
-where the work happens: any cuts give the same result.
+rows are cut into *chunks*, contiguous ranges of (keys, order).  Windows run
+inside (key, chunk); what must cross a chunk border - a running sum, a row
+count, the last few rows - is carried by a summary.
+
+Chunks come from Spark's range partitioning over the keys and the complete
+order, so a hot key, and even many rows of one time, spread over several chunks.
+The partition numbers are stored with the rows: whatever is recomputed later
+sees the same chunks.  Only keys that lie across a border need the summary, and
+every border cuts at most one key, so the summary holds at most two rows per
+chunk: a proven size, and therefore broadcast.
+
+Where few rows per calendar unit are known beforehand (minutes of a day, days of
+a year), the caller passes that unit as the chunk and the plan stays lazy.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from strataflow.functions.timing import epoch_micros
+from strataflow.session import settle
 
 _CHUNK = "_chunk"
-MAX_PIECES = 256
 
 
-def _axis(df: DataFrame, name: str) -> Column:
-    """The order column as a double for quantiles and cut comparison."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
-        return epoch_micros(F.col(name).cast("timestamp_ntz")).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(name).cast("double")
-    return F.col(name).cast("double")
+def _chunked(
+    df: DataFrame, order: Sequence[str], keys: Sequence[str], pieces: int | None, chunk: Column | None
+) -> DataFrame:
+    if chunk is not None:
+        if keys:
+            raise ValueError("a chunk column is for series without keys")
+        return df.withColumn(_CHUNK, chunk)
+    by = [*keys, *order]
+    ranged = df.repartitionByRange(pieces, *by) if pieces else df.repartitionByRange(*by)
+    return settle(ranged.withColumn(_CHUNK, F.spark_partition_id()), "ordered")
 
 
-def split_points(df: DataFrame, order: str, pieces: int | None = None) -> list[float]:
-    """Quantile cuts of one column: at most ``pieces - 1`` numbers reach the driver."""
-    if pieces is None:
-        pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pieces = max(1, min(pieces, MAX_PIECES))
-    if pieces == 1:
-        return []
-    probabilities = [i / pieces for i in range(1, pieces)]
-    axis = df.select(_axis(df, order).alias("_axis"))
-    return sorted(set(axis.approxQuantile("_axis", probabilities, 1 / (4 * pieces))))
+def _across_borders(summary: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Summary rows of keys that have more than one chunk."""
+    if not keys:
+        return summary
+    chunks = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    return summary.withColumn("_chunks", chunks).where(F.col("_chunks") > 1).drop("_chunks")
 
 
-def _with_chunk(df: DataFrame, order: str, cuts: Sequence[float] | None, chunk: Column | None) -> DataFrame:
-    if chunk is not None:
-        return df.withColumn(_CHUNK, chunk)
-    cuts = split_points(df, order) if cuts is None else cuts
-    if not cuts:
-        return df.withColumn(_CHUNK, F.lit(0))
-    axis = _axis(df, order)
-    passed = F.filter(F.array(*[F.lit(c) for c in cuts]), lambda cut: cut <= axis)
-    return df.withColumn(_CHUNK, F.size(passed))
-
-
-def _summary_join(df: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Bring per-(key, chunk) values to the rows; the join shares its partitioning with the window after it."""
-    right = summary.select(
-        *[F.col(k).alias(f"_s_{k}") for k in [*keys, _CHUNK]],
-        *[c for c in summary.columns if c not in (*keys, _CHUNK)],
-    )
-    condition = None
-    for k in [*keys, _CHUNK]:
-        term = F.col(k).eqNullSafe(F.col(f"_s_{k}"))
-        condition = term if condition is None else condition & term
-    return df.join(right, condition, "left").drop(*[f"_s_{k}" for k in [*keys, _CHUNK]])
+def _carry(df: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join a bounded summary to the rows, NULL keys included."""
+    right = small.select(*[F.col(c).alias(f"_s_{c}") if c in on else F.col(c) for c in small.columns])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in on])
+    return df.join(F.broadcast(right), same, how).drop(*[f"_s_{c}" for c in on])
 
 
 def running_total(
@@ -78,21 +62,24 @@ def running_total(
     order: Sequence[str],
     measures: Mapping[str, str],
     keys: Sequence[str] = (),
-    cuts: Sequence[float] | None = None,
+    pieces: int | None = None,
     chunk: Column | None = None,
 ) -> DataFrame:
     """Running sums in the order of ``order`` (a total order), per ``keys``: measure -> output column."""
-    chunked = _with_chunk(df, order[0], cuts, chunk)
+    rows = _chunked(df, order, keys, pieces, chunk)
+    totals = rows.groupBy(*keys, _CHUNK).agg(*[F.sum(m).alias(f"_t_{out}") for m, out in measures.items()])
     before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    totals = chunked.groupBy(*keys, _CHUNK).agg(*[F.sum(m).alias(f"_t_{out}") for m, out in measures.items()])
-    offsets = totals.select(
-        *keys, _CHUNK, *[F.coalesce(F.sum(f"_t_{out}").over(before), F.lit(0)).alias(f"_o_{out}") for out in measures.values()]
+    offsets = _across_borders(totals, keys).select(
+        *keys, _CHUNK, *[F.sum(f"_t_{out}").over(before).alias(f"_o_{out}") for out in measures.values()]
     )
     inside = Window.partitionBy(*keys, _CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    joined = _summary_join(chunked, offsets, keys)
-    return joined.select(
+    zero = F.lit(0)
+    return _carry(rows, offsets, [*keys, _CHUNK]).select(
         *df.columns,
-        *[(F.col(f"_o_{out}") + F.coalesce(F.sum(m).over(inside), F.lit(0))).alias(out) for m, out in measures.items()],
+        *[
+            (F.coalesce(f"_o_{out}", zero) + F.coalesce(F.sum(m).over(inside), zero)).alias(out)
+            for m, out in measures.items()
+        ],
     )
 
 
@@ -100,61 +87,78 @@ def ordinals(
     df: DataFrame,
     order: Sequence[str],
     keys: Sequence[str] = (),
+    rank: bool = False,
     ntiles: int | None = None,
-    cuts: Sequence[float] | None = None,
+    pieces: int | None = None,
 ) -> DataFrame:
-    """Adds ``row_no`` (total order), ``rank_no`` (ties on the first column) and optionally ``tile``.
+    """Adds ``row_no`` and, where asked for, ``rank_no`` (ties on the first order column) and ``tile``.
 
-    Equal to ROW_NUMBER, RANK and NTILE over the same keys, ascending; sort
-    descending by passing a negated column.
+    Equal to ROW_NUMBER, RANK and NTILE over the same keys, ascending; pass a
+    negated column for descending order.
     """
-    chunked = _with_chunk(df, order[0], cuts, None)
-    before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
-    counts = chunked.groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias("_rows"))
-    offsets = counts.select(
-        *keys, _CHUNK,
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
-        F.sum("_rows").over(whole).alias("_all"),
+    rows = _chunked(df, order, keys, pieces, None)
+    counts = rows.groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias("_rows"))
+    per_key = Window.partitionBy(*keys)
+    before = per_key.orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = _across_borders(counts, keys).select(
+        *keys, _CHUNK, F.sum("_rows").over(before).alias("_before"), F.sum("_rows").over(per_key).alias("_all")
     )
     inside = Window.partitionBy(*keys, _CHUNK)
-    numbered = _summary_join(chunked, offsets, keys).select(
-        *df.columns, "_all",
-        (F.col("_before") + F.row_number().over(inside.orderBy(*order))).alias("row_no"),
-        (F.col("_before") + F.rank().over(inside.orderBy(order[0]))).alias("rank_no"),
+    numbered = _carry(rows, offsets, [*keys, _CHUNK]).select(
+        *df.columns,
+        F.coalesce("_all", F.count(F.lit(1)).over(inside)).alias("_all"),
+        (F.coalesce("_before", F.lit(0)) + F.row_number().over(inside.orderBy(*order))).alias("row_no"),
     )
     if ntiles is not None:
-        small = (F.col("_all") - F.pmod(F.col("_all"), F.lit(ntiles))) / ntiles
-        extra = F.pmod(F.col("_all"), F.lit(ntiles))
-        index, large_rows = F.col("row_no") - 1, extra * (small + 1)
-        tile = F.when(index < large_rows, F.floor(index / (small + 1))).otherwise(
-            extra + F.floor(F.try_divide(index - large_rows, small))
-        )
-        numbered = numbered.withColumn("tile", (tile + 1).cast("int"))
-    return numbered.drop("_all")
+        numbered = numbered.withColumn("tile", _tile(F.col("row_no"), F.col("_all"), ntiles))
+    numbered = numbered.drop("_all")
+    if not rank:
+        return numbered
+    # The rank of a value is the number of its first row; equal values may lie in several chunks.
+    on = [*keys, order[0]]
+    first = numbered.groupBy(*on).agg(F.min("row_no").alias("rank_no"))
+    right = first.select(*[F.col(c).alias(f"_s_{c}") for c in on], "rank_no")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in on])
+    return numbered.join(right, same).drop(*[f"_s_{c}" for c in on])
+
+
+def _tile(row_no: Column, rows: Column, tiles: int) -> Column:
+    """The first ``rows % tiles`` tiles hold one row more than the others."""
+    extra = F.pmod(rows, F.lit(tiles))
+    small = (rows - extra) / tiles
+    index, in_large = row_no - 1, extra * (small + 1)
+    of_large = F.floor(index / (small + 1))
+    of_small = extra + F.floor(F.try_divide(index - in_large, small))
+    return (F.when(index < in_large, of_large).otherwise(of_small) + 1).cast("int")
 
 
 def _with_halo(
-    df: DataFrame, order: Sequence[str], measures: Sequence[str], keys: Sequence[str], rows: int,
-    cuts: Sequence[float] | None, chunk: Column | None,
+    df: DataFrame, order: Sequence[str], measure: str, keys: Sequence[str], reach: int,
+    pieces: int | None, chunk: Column | None,
 ) -> DataFrame:
-    """The rows of each (key, chunk) plus copies of the ``rows`` rows that precede them, flagged ``_halo``."""
-    chunked = _with_chunk(df, order[0], cuts, chunk).withColumn("_halo", F.lit(False))
-    carried = list(dict.fromkeys([*order, *measures]))
+    """The rows of each (key, chunk) plus copies of the ``reach`` rows that precede them, flagged ``_halo``."""
+    rows = _chunked(df, order, keys, pieces, chunk).withColumn("_halo", F.lit(False))
+    carried = list(dict.fromkeys([*order, measure]))
+    crossing = rows.select(*keys, _CHUNK, *[c for c in carried if c not in keys])
+    if keys:
+        # Only keys cut by a border lend rows to their next chunk: at most one per border.
+        present = rows.select(*keys, _CHUNK).distinct()
+        cut = _across_borders(present, keys).select(*keys).distinct()
+        crossing = _carry(crossing, cut, keys, "left_semi")
     latest = Window.partitionBy(*keys, _CHUNK).orderBy(*[F.col(c).desc() for c in order])
     tails = (
-        chunked.withColumn("_rn", F.row_number().over(latest)).where(F.col("_rn") <= rows)
+        crossing.withColumn("_rn", F.row_number().over(latest)).where(F.col("_rn") <= reach)
         .groupBy(*keys, _CHUNK)
         .agg(F.sort_array(F.collect_list(F.struct(*carried))).alias("_tail"))
     )
-    earlier = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(-rows, -1)
-    previous = F.flatten(F.collect_list("_tail").over(earlier))
+    earlier = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(-reach, -1)
     halo = (
-        tails.withColumn("_previous", previous)
-        .select(*keys, _CHUNK, F.explode(F.expr(f"slice(_previous, greatest(size(_previous) - {rows - 1}, 1), {rows})")).alias("_row"))
-        .select(*keys, _CHUNK, *[F.col(f"_row.{c}").alias(c) for c in carried], F.lit(True).alias("_halo"))
+        tails.withColumn("_previous", F.flatten(F.collect_list("_tail").over(earlier)))
+        .select(*keys, _CHUNK, F.explode(
+            F.expr(f"slice(_previous, greatest(size(_previous) - {reach - 1}, 1), {reach})")).alias("_row"))
+        .select(*keys, _CHUNK, *[F.col(f"_row.{c}").alias(c) for c in carried if c not in keys], F.lit(True).alias("_halo"))
     )
-    return chunked.unionByName(halo, allowMissingColumns=True)
+    return rows.unionByName(halo, allowMissingColumns=True)
 
 
 def moving_average(
@@ -164,11 +168,11 @@ def moving_average(
     rows: int,
     keys: Sequence[str] = (),
     name: str = "moving_avg",
-    cuts: Sequence[float] | None = None,
+    pieces: int | None = None,
     chunk: Column | None = None,
 ) -> DataFrame:
     """Mean of the current and the ``rows - 1`` preceding rows, per key."""
-    spread = _with_halo(df, order, [measure], keys, rows - 1, cuts, chunk)
+    spread = _with_halo(df, order, measure, keys, rows - 1, pieces, chunk)
     frame = Window.partitionBy(*keys, _CHUNK).orderBy(*order).rowsBetween(-(rows - 1), 0)
     mean = F.try_divide(F.sum(measure).over(frame).cast("double"), F.count(measure).over(frame).cast("double"))
     return spread.withColumn(name, mean).where(~F.col("_halo")).select(*df.columns, name)
@@ -181,10 +185,10 @@ def lagged(
     keys: Sequence[str] = (),
     offset: int = 1,
     name: str = "previous",
-    cuts: Sequence[float] | None = None,
+    pieces: int | None = None,
     chunk: Column | None = None,
 ) -> DataFrame:
     """The measure ``offset`` rows earlier, per key; NULL at the start."""
-    spread = _with_halo(df, order, [measure], keys, offset, cuts, chunk)
+    spread = _with_halo(df, order, measure, keys, offset, pieces, chunk)
     inside = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
     return spread.withColumn(name, F.lag(measure, offset).over(inside)).where(~F.col("_halo")).select(*df.columns, name)

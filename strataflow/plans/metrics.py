@@ -189,6 +189,6 @@ def rank_products_in_category(product_days: DataFrame, products: DataFrame) -> D
     named = per_product.join(
         products.select(F.col("product_id").alias("sku_id"), "category"), "sku_id"
     ).withColumn("_neg", -F.col("total_revenue"))
-    return ordinals(named, ["_neg", "sku_id"], keys=["category"]).select(
+    return ordinals(named, ["_neg", "sku_id"], keys=["category"], rank=True).select(
         "category", "sku_id", "total_revenue", F.col("row_no"), F.col("rank_no")
     )

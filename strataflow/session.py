@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the plans rely on.  AQE splits skewed join partitions and
 # skewed REBALANCE writes; the force flag lets it do so even where the split
@@ -63,3 +63,14 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the scratch root; never reused, so a retry cannot see half a table."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """The frame written to the shared scratch folder and read back.
+
+    Cuts the lineage at a point that survives lost executors, computes a frame
+    that is used several times once, and fixes values that depend on partitioning.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -52,6 +52,12 @@ def test_time_bucket_is_wall_clock_whatever_the_session_zone(spark, width, origi
         assert row.b == _reference_bucket(row.ts, width_seconds(width), origin), row
 
 
+def test_rows_without_time_keep_a_null_bucket(spark):
+    frame = spark.createDataFrame([(None,), (datetime(2024, 1, 1, 0, 7),)], "ts timestamp_ntz")
+    rows = frame.groupBy(time_bucket("5 minutes", "ts").alias("b")).count().collect()
+    assert {r.b: r["count"] for r in rows} == {None: 1, datetime(2024, 1, 1, 0, 5): 1}
+
+
 def test_width_must_be_positive():
     with pytest.raises(ValueError):
         width_seconds("0 minutes")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from strataflow.operators.ordered import lagged, moving_average, ordinals, running_total, split_points
+from strataflow.operators.ordered import lagged, moving_average, ordinals, running_total
 
 
 @pytest.fixture(scope="module")
@@ -25,25 +25,25 @@ def rows(spark):
     return spark.createDataFrame(data, "id long, key int, ts timestamp_ntz, amount decimal(10,2)").cache()
 
 
-CUTS = [None, [], [1.7e15], [1.7041e15, 1.70411e15, 1.70415e15, 1.7042e15]]
+PIECES = [None, 1, 7, 40]
 
 
 def _same(left, right):
     assert sorted(map(tuple, left.collect()), key=repr) == sorted(map(tuple, right.select(*left.columns).collect()), key=repr)
 
 
-@pytest.mark.parametrize("cuts", CUTS)
+@pytest.mark.parametrize("pieces", PIECES)
 @pytest.mark.parametrize("keys", [[], ["key"]])
-def test_running_total(rows, keys, cuts):
-    got = running_total(rows, ["ts", "id"], {"amount": "total"}, keys=keys, cuts=cuts)
+def test_running_total(rows, keys, pieces):
+    got = running_total(rows, ["ts", "id"], {"amount": "total"}, keys=keys, pieces=pieces)
     frame = Window.partitionBy(*keys).orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)
     _same(got, rows.withColumn("total", F.coalesce(F.sum("amount").over(frame), F.lit(0)).cast(got.schema["total"].dataType)))
 
 
-@pytest.mark.parametrize("cuts", CUTS)
+@pytest.mark.parametrize("pieces", PIECES)
 @pytest.mark.parametrize("keys", [[], ["key"]])
-def test_ordinals(rows, keys, cuts):
-    got = ordinals(rows, ["ts", "id"], keys=keys, ntiles=7, cuts=cuts)
+def test_ordinals(rows, keys, pieces):
+    got = ordinals(rows, ["ts", "id"], keys=keys, rank=True, ntiles=7, pieces=pieces)
     w = Window.partitionBy(*keys)
     want = (
         rows.withColumn("row_no", F.row_number().over(w.orderBy("ts", "id")).cast("long"))
@@ -55,25 +55,25 @@ def test_ordinals(rows, keys, cuts):
 
 def test_ntile_with_fewer_rows_than_tiles(rows):
     few = rows.where("id < 4")
-    got = ordinals(few, ["ts", "id"], ntiles=7, cuts=[])
+    got = ordinals(few, ["ts", "id"], ntiles=7, pieces=3)
     _same(got.select("id", "tile"), few.select("id", F.ntile(7).over(Window.orderBy("ts", "id")).alias("tile")))
 
 
-@pytest.mark.parametrize("cuts", CUTS)
+@pytest.mark.parametrize("pieces", PIECES)
 @pytest.mark.parametrize("keys", [[], ["key"]])
 @pytest.mark.parametrize("size", [2, 10])
-def test_moving_average(rows, keys, size, cuts):
-    got = moving_average(rows, ["ts", "id"], "amount", size, keys=keys, cuts=cuts)
+def test_moving_average(rows, keys, size, pieces):
+    got = moving_average(rows, ["ts", "id"], "amount", size, keys=keys, pieces=pieces)
     frame = Window.partitionBy(*keys).orderBy("ts", "id").rowsBetween(-(size - 1), 0)
     mean = F.try_divide(F.sum("amount").over(frame).cast("double"), F.count("amount").over(frame).cast("double"))
     _same(got, rows.withColumn("moving_avg", mean))
 
 
-@pytest.mark.parametrize("cuts", CUTS)
+@pytest.mark.parametrize("pieces", PIECES)
 @pytest.mark.parametrize("keys", [[], ["key"]])
 @pytest.mark.parametrize("offset", [1, 3])
-def test_lagged(rows, keys, offset, cuts):
-    got = lagged(rows, ["ts", "id"], "id", keys=keys, offset=offset, cuts=cuts)
+def test_lagged(rows, keys, offset, pieces):
+    got = lagged(rows, ["ts", "id"], "id", keys=keys, offset=offset, pieces=pieces)
     _same(got, rows.withColumn("previous", F.lag("id", offset).over(Window.partitionBy(*keys).orderBy("ts", "id"))))
 
 
@@ -84,15 +84,28 @@ def test_empty_input(rows):
     assert lagged(none, ["ts", "id"], "id").count() == 0
 
 
-def test_cuts_bound_every_group(rows):
-    cuts = split_points(rows.where("id % 3 <> 1"), "ts", 16)
-    assert 8 <= len(cuts) <= 15
+def test_hot_key_and_hot_time_spread_over_chunks(rows):
+    """No (key, chunk) holds much more than a chunk's fair share, though a key and a minute hold a third each."""
+    from strataflow.operators.ordered import _chunked
 
+    chunked = _chunked(rows, ["ts", "id"], ["key"], 15, None)
+    sizes = [r["count"] for r in chunked.groupBy("key", "_chunk").count().collect()]
+    assert max(sizes) < 3 * 1500 / 15
+    assert chunked.where("ts = TIMESTAMP_NTZ'2024-01-01 01:17:00'").select("_chunk").distinct().count() >= 5
 
-def test_no_raw_rows_gather_in_one_partition(rows):
-    """Only the per-chunk summary may pass through a single partition."""
-    plan = running_total(rows, ["ts", "id"], {"amount": "total"}, cuts=CUTS[3])._jdf.queryExecution().executedPlan().toString()
-    windows = [line for line in plan.splitlines() if "Exchange SinglePartition" in line]
-    assert len(windows) == 1
-    below = plan[plan.index("Exchange SinglePartition"):].splitlines()[1]
-    assert "HashAggregate" in below and "_chunk" in below
+
+def test_chunk_column_is_for_series_without_keys(rows):
+    with pytest.raises(ValueError):
+        running_total(rows, ["ts"], {"amount": "t"}, keys=["key"], chunk=F.to_date("ts"))
+
+
+@pytest.mark.parametrize("keys", [[], ["key"]])
+def test_only_the_summary_gathers(rows, keys):
+    """Raw rows are windowed by (key, chunk); the one side that is gathered or broadcast is the per-chunk summary."""
+    plan = running_total(rows, ["ts", "id"], {"amount": "total"}, keys=keys, pieces=7)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    single = plan.count("Exchange SinglePartition")
+    assert single == (0 if keys else 1)
+    if single:
+        below = plan[plan.index("Exchange SinglePartition"):].splitlines()[1]
+        assert "HashAggregate" in below and "_chunk" in below
