@@ -110,8 +110,7 @@ SELECT CAST(d AS DATE) AS date_key, CAST(year(d) AS SMALLINT) AS year, CAST(quar
        CAST(month(d) AS SMALLINT) AS month, CAST(week(d) AS SMALLINT) AS week,
        CAST(day(d) AS SMALLINT) AS day_of_month, CAST(dayofweek(d) + 1 AS SMALLINT) AS day_of_week,
        dayofweek(d) IN (0, 6) AS is_weekend,
-       CASE WHEN month(d) IN (3, 4, 5) THEN 'spring' WHEN month(d) IN (6, 7, 8) THEN 'summer'
-            WHEN month(d) IN (9, 10, 11) THEN 'autumn' ELSE 'winter' END AS season
+       ['winter', 'spring', 'summer', 'autumn'][month(d) % 12 // 3 + 1] AS season
 FROM (SELECT unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS d FROM orders)""")
 def _(c: Canon) -> DataFrame:
     """The calendar of all days the orders span."""

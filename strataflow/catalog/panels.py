@@ -18,9 +18,9 @@ def _(c: Canon) -> DataFrame:
 
 
 @query("panel_top_products", """
-SELECT p.product_name, p.category, CAST(d.total_qty AS BIGINT) AS total_qty, CAST(d.total_revenue AS DOUBLE) AS total_revenue
-FROM (SELECT sku_id, SUM(total_qty) AS total_qty, SUM(total_revenue) AS total_revenue FROM dws_product
-      GROUP BY sku_id ORDER BY total_revenue DESC, sku_id LIMIT 10) d JOIN c_products p ON d.sku_id = p.product_id""")
+SELECT product_name, category, CAST(SUM(total_qty) AS BIGINT) AS total_qty, CAST(SUM(total_revenue) AS DOUBLE) AS total_revenue
+FROM dws_product JOIN c_products ON sku_id = product_id GROUP BY sku_id, product_name, category
+ORDER BY SUM(total_revenue) DESC, sku_id LIMIT 10""")
 def _(c: Canon) -> DataFrame:
     return shown(panels.panel_top_products(c.product_days(), c.products(), c.cfg))
 
