@@ -13,6 +13,7 @@ from strataflow.sources import read_file_stream
 from strataflow.streaming import (
     bucket_stats_stream,
     drain_to_table,
+    last_batch,
     latest_rows,
     minute_gmv_stream,
     recent_buckets,
@@ -76,11 +77,11 @@ numbered AS (SELECT user_id, ts, SUM(fresh) OVER (PARTITION BY user_id ORDER BY
 SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL 30 MINUTE AS session_end, COUNT(*) AS n
 FROM numbered GROUP BY user_id, s""")
 def _(c: Canon) -> DataFrame:
-    """Sessions grow and merge while open, so they are emitted once, in complete mode."""
+    """Sessions grow and merge while open, so the newest complete output is the result."""
     path = scratch_path(c.spark, "session")
     stream = session_stream(_arriving(c), "ts", "user_id")
     drain_to_table(stream, path, scratch_path(c.spark, "session-checkpoint"), mode="complete")
-    return latest_rows(c.spark, path, ["user_id", "session_start"])
+    return last_batch(c.spark, path)
 
 
 @query("stream_running_total", "SELECT * FROM activity_running")

@@ -184,10 +184,11 @@ def build(
         log.step("extract", lambda: _stage(house, extracted))
         sources = {name: spark.read.schema(df.schema).parquet(house.path("stage", name)) for name, df in sources.items()}
 
-    def check_input() -> int:
-        report = clean_report(sources)
-        load_verified(report, house.path("audit", "clean_report"))
-        return house.read("audit", "clean_report").agg(F.sum("kept")).first()[0] or 0
+    def check_input() -> tuple[int, str]:
+        load_verified(clean_report(sources), house.path("audit", "clean_report"))
+        report = house.read("audit", "clean_report").orderBy("table_name").collect()
+        dropped = ", ".join(f"{r.table_name} {r.dropped}" for r in report if r.dropped)
+        return sum(r.kept for r in report), f"dropped: {dropped}" if dropped else ""
 
     log.step("transform", check_input)
     log.step("load_ods", lambda: _land(house, sources))

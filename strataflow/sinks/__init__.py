@@ -1,5 +1,6 @@
 from strataflow.sinks.audit import AuditLog, audit_append
 from strataflow.sinks.tables import (
+    assert_in_range,
     filter_range,
     load_many,
     load_verified,
@@ -10,10 +11,10 @@ from strataflow.sinks.tables import (
     with_key_range,
     with_month,
 )
-from strataflow.sinks.upsert import dedupe_latest, has_duplicates, upsert_latest
+from strataflow.sinks.upsert import dedupe_latest, has_duplicates, upsert_latest, upsert_partitions
 
 __all__ = [
-    "AuditLog", "audit_append", "dedupe_latest", "filter_range", "has_duplicates", "load_many", "load_verified",
-    "out_of_range", "refresh", "save_bucketed",
-    "stamp_sync_time", "upsert_latest", "with_key_range", "with_month",
+    "AuditLog", "assert_in_range", "audit_append", "dedupe_latest", "filter_range", "has_duplicates", "load_many",
+    "load_verified", "out_of_range", "refresh", "save_bucketed", "stamp_sync_time", "upsert_latest",
+    "upsert_partitions", "with_key_range", "with_month",
 ]

@@ -27,14 +27,15 @@ class AuditLog:
         self.run_id = run_id or uuid.uuid4().hex
         self._next = 1
 
-    def step(self, name: str, work: Callable[[], int], note: str = "") -> int:
-        """Run ``work`` (which returns its row count) and append one row about it."""
+    def step(self, name: str, work: Callable[[], int | tuple[int, str]]) -> int:
+        """Run ``work``, which returns its row count and optionally a note, and append one row about it."""
         begun = time.monotonic()
         try:
-            rows = work()
+            result = work()
         except Exception as error:
             self._write(name, "failed", 0, begun, f"{type(error).__name__}: {error}"[:500])
             raise
+        rows, note = result if isinstance(result, tuple) else (result, "")
         self._write(name, "success", rows, begun, note)
         return rows
 

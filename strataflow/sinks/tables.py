@@ -45,6 +45,14 @@ def out_of_range(df: DataFrame, col: str, low, high) -> DataFrame:
     return df.where(~F.coalesce(inside, F.lit(False)))
 
 
+def assert_in_range(df: DataFrame, col: str, low, high) -> DataFrame:
+    """The frame itself if every row fits a layout bounded to [low, high); raises otherwise."""
+    rejected = out_of_range(df, col, low, high).count()
+    if rejected:
+        raise ValueError(f"{rejected} rows have {col} outside [{low}, {high})")
+    return df
+
+
 def load_verified(
     df: DataFrame,
     path: str,

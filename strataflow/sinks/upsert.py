@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataflow.session import settle
+
 
 def _latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """One row per key: the greatest by ``order``, then by the remaining columns.
@@ -36,3 +38,21 @@ def upsert_latest(base: DataFrame, delta: DataFrame, keys: Sequence[str], versio
     """Base rows overlaid by delta rows of the same key; on equal versions the delta wins."""
     both = base.withColumn("_delta", F.lit(0)).unionByName(delta.withColumn("_delta", F.lit(1)))
     return _latest_per_key(both, keys, [version, "_delta"], both.columns).drop("_delta")
+
+
+def upsert_partitions(
+    spark: SparkSession, path: str, delta: DataFrame, keys: Sequence[str], version: str, part: str, sort: Sequence[str] = ()
+) -> None:
+    """Merge changed rows into a stored table, rewriting only the partitions they fall into.
+
+    A key has to stay in its partition.  The touched partition values, at most as
+    many as the table has partitions, become a filter the scan prunes by.  The merged partitions are settled
+    before the old ones are replaced, so a failure never loses base rows.
+    """
+    touched = [row[0] for row in delta.select(part).distinct().collect()]
+    base = spark.read.parquet(path)
+    merged = settle(
+        upsert_latest(base.where(F.col(part).isin(touched)), delta.select(*base.columns), keys, version), "upsert"
+    )
+    writer = merged.hint("rebalance", part).sortWithinPartitions(part, *sort).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)

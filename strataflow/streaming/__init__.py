@@ -1,6 +1,7 @@
 from strataflow.streaming.continuous import (
     bucket_stats_stream,
     drain_to_table,
+    last_batch,
     latest_rows,
     minute_gmv_stream,
     recent_buckets,
@@ -9,6 +10,6 @@ from strataflow.streaming.continuous import (
 )
 
 __all__ = [
-    "bucket_stats_stream", "drain_to_table", "latest_rows", "minute_gmv_stream", "recent_buckets", "session_stream",
+    "bucket_stats_stream", "drain_to_table", "last_batch", "latest_rows", "minute_gmv_stream", "recent_buckets", "session_stream",
     "sliding_stats_stream",
 ]

@@ -60,7 +60,11 @@ def sliding_stats_stream(
 def session_stream(
     events: DataFrame, ts: str, key: str, gap: str = "30 minutes", watermark: str = "10 minutes"
 ) -> DataFrame:
-    """Activity sessions per key, closed by ``gap`` of silence."""
+    """Activity sessions per key, closed by ``gap`` of silence.
+
+    A row that fills a gap merges two open sessions; use complete mode while
+    they matter, or append mode to receive each session once the watermark closes it.
+    """
     return _timed(events, ts, watermark).groupBy(F.col(key), F.session_window("_at", gap).alias("window")).agg(
         F.count(F.lit(1)).alias("n")
     ).select(key, _start("session_start"), F.col("window.end").cast("timestamp_ntz").alias("session_end"), "n")
@@ -87,6 +91,16 @@ def drain_to_table(
     return query
 
 
+def last_batch(spark: SparkSession, path: str) -> DataFrame:
+    """The table as the newest batch wrote it: for complete mode, where each batch holds everything.
+
+    Sessions merge while they are open, so rows of earlier batches may no longer exist.
+    """
+    changes = spark.read.option("basePath", path).parquet(path)
+    newest = changes.agg(F.max("batch_no")).scalar()
+    return changes.where(F.col("batch_no") == newest).drop("batch_no")
+
+
 def latest_rows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """The table of changed windows reduced to the newest state of each."""
     changes = spark.read.option("basePath", path).parquet(path)

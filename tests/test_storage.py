@@ -13,6 +13,7 @@ from strataflow.catalog.canon import Canon
 from strataflow.operators import reports
 from strataflow.sinks import (
     AuditLog,
+    assert_in_range,
     audit_append,
     dedupe_latest,
     filter_range,
@@ -20,6 +21,7 @@ from strataflow.sinks import (
     out_of_range,
     refresh,
     upsert_latest,
+    upsert_partitions,
     with_key_range,
     with_month,
 )
@@ -110,6 +112,26 @@ def test_key_range_and_bounds(spark):
     assert {r.k for r in out_of_range(keys, "k", 1, 20001).collect()} == {0, 20001, 200000, None}
 
 
+def test_bounds_are_enforced(spark):
+    keys = spark.range(1, 10).toDF("k")
+    assert assert_in_range(keys, "k", 1, 10) is keys
+    with pytest.raises(ValueError, match="1 rows have k outside"):
+        assert_in_range(keys, "k", 1, 9)
+
+
+def test_partition_upsert_rewrites_only_what_it_touches(spark):
+    path = scratch_path(spark, "table")
+    base = spark.range(0, 900).select("id", (F.col("id") % 3 + 202401).cast("int").alias("ym"), F.lit("old").alias("v"), F.lit(1).alias("ver"))
+    load_verified(base, path, "ym", ("id",))
+    before = {p: sorted(os.listdir(f"{path}/ym={p}")) for p in (202401, 202402, 202403)}
+    delta = spark.createDataFrame([(1, 202402, "new", 2), (4, 202402, "stale", 0), (1000, 202402, "added", 1)], "id long, ym int, v string, ver int")
+    upsert_partitions(spark, path, delta, ["id"], "ver", "ym", ("id",))
+    after = {p: sorted(os.listdir(f"{path}/ym={p}")) for p in before}
+    assert after[202401] == before[202401] and after[202403] == before[202403] and after[202402] != before[202402]
+    rows = {r.id: r.v for r in spark.read.parquet(path).collect()}
+    assert len(rows) == 901 and (rows[1], rows[4], rows[1000]) == ("new", "old", "added")
+
+
 def test_upsert_and_dedupe(spark):
     base = spark.createDataFrame([(1, "a", 1), (2, "b", 5), (3, "c", 1)], "k int, v string, ver int")
     delta = spark.createDataFrame([(1, "A", 2), (2, "old", 4), (3, "C", 1), (4, "D", 1)], "k int, v string, ver int")
@@ -131,12 +153,12 @@ def test_refresh_replaces(spark):
 def test_audit_records_failures(spark):
     path = scratch_path(spark, "audit")
     log = AuditLog(spark, path, run_id="r1")
-    log.step("good", lambda: 7)
+    log.step("good", lambda: (7, "dropped: orders 2"))
     with pytest.raises(ZeroDivisionError):
         log.step("bad", lambda: 1 // 0)
     audit_append(spark, path, "r1", 3, "timed", "success", 1000, 500)
     rows = {r.step: r for r in spark.read.parquet(path).collect()}
-    assert (rows["good"].status, rows["good"].rows_processed, rows["good"].log_id) == ("success", 7, 1)
+    assert (rows["good"].status, rows["good"].rows_processed, rows["good"].log_id, rows["good"].message) == ("success", 7, 1, "dropped: orders 2")
     assert rows["bad"].status == "failed" and "ZeroDivisionError" in rows["bad"].message
     speed = {r.step: r for r in reports.etl_throughput(spark.read.schema(schemas.AUDIT_LOG).parquet(path)).collect()}
     assert (speed["timed"].rows_per_sec, speed["timed"].duration_sec, speed["timed"].duration) == (2000.0, 0.5, "00:00:00")

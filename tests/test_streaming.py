@@ -11,6 +11,7 @@ from strataflow.sources import read_file_stream
 from strataflow.streaming import (
     bucket_stats_stream,
     drain_to_table,
+    last_batch,
     latest_rows,
     minute_gmv_stream,
     session_stream,
@@ -44,7 +45,6 @@ def test_stream_equals_batch_over_many_batches(spark, folder):
     query = drain_to_table(minute_gmv_stream(_stream(spark, folder), "ts", "amount"), path, checkpoint)
     assert query.lastProgress is not None
     assert spark.read.parquet(path).select("batch_no").distinct().count() >= 5
-    batch = Canon(spark, folder)  # noqa: F841
     want = spark.read.parquet(folder).groupBy(F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("b")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("amount").alias("s"))
     assert _rows(latest_rows(spark, path, ["bucket_time"])) == _rows(want)
@@ -95,10 +95,21 @@ def test_sessions_close_after_the_gap(spark):
     out, checkpoint = scratch_path(spark, "sessions"), scratch_path(spark, "cp")
     source = read_file_stream(spark, path, spark.read.parquet(path).schema)
     drain_to_table(session_stream(source, "ts", "user_id"), out, checkpoint, mode="complete")
-    got = sorted((r.user_id, r.session_start, r.n) for r in latest_rows(spark, out, ["user_id", "session_start"]).collect())
+    got = sorted((r.user_id, r.session_start, r.n) for r in last_batch(spark, out).collect())
     assert got == [(1, start, 3), (1, start + timedelta(minutes=80), 1), (2, start + timedelta(minutes=10), 1)]
 
 
+def test_a_later_row_merges_two_sessions(spark):
+    path, start = scratch_path(spark, "merging"), datetime(2024, 1, 1)
+    for n, minutes in enumerate([(0, 50), (25,)]):
+        rows = [(10 * n + m, start + timedelta(minutes=m), 1, None) for m in minutes]
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    out, checkpoint = scratch_path(spark, "merged"), scratch_path(spark, "cp")
+    source = read_file_stream(spark, path, spark.read.parquet(path).schema, max_files=1)
+    drain_to_table(session_stream(source, "ts", "user_id", watermark="2 hours"), out, checkpoint, mode="complete")
+    assert [(r.session_start, r.n) for r in last_batch(spark, out).collect()] == [(start, 3)]
+
+
 def test_replayed_batch_replaces_its_own_folder(spark):
     """What foreachBatch does when a batch runs twice."""
     path = scratch_path(spark, "replay")
