@@ -1,8 +1,8 @@
 """Wall-clock arithmetic on TIMESTAMP_NTZ columns.
 
 Order times are local business times without a zone, so nothing here may pass
-through the session zone: fields are taken with the NTZ-safe extractors and
-recombined as integers, which also stays inside whole-stage codegen.
+through the session zone: dates, intervals and tumbling windows on TIMESTAMP_NTZ
+never do, and they stay inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -29,10 +29,14 @@ def width_seconds(width: str) -> int:
 
 
 def epoch_micros(ts: Column | str) -> Column:
-    """Microseconds of wall-clock time since 1970-01-01 00:00:00."""
+    """Microseconds of wall-clock time since 1970-01-01 00:00:00.
+
+    The time of day is an interval; a million times its length, read in seconds, is its microseconds.
+    """
     ts = _col(ts)
-    whole_minutes = F.unix_date(F.to_date(ts)).cast("long") * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60
-    return whole_minutes * 1_000_000 + (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("long")
+    day = F.to_date(ts)
+    of_day = ((ts - day.cast("timestamp_ntz")) * 1_000_000).cast("interval second").cast("long")
+    return F.unix_date(day).cast("long") * 86_400_000_000 + of_day
 
 
 def time_bucket(width: str, ts: Column | str, origin: datetime = datetime(1970, 1, 1)) -> Column:

@@ -72,24 +72,30 @@ def status_funnel(event_facts: DataFrame) -> DataFrame:
 _STAGES = ("paid", "shipped", "completed")
 
 
-def _weighted_latency(per_order: DataFrame, at: dict[str, Column], count: dict[str, Column]) -> DataFrame:
+def _weighted_latency(per_order: DataFrame) -> DataFrame:
     """Mean hours between the stages of each order, weighted by how often the stages repeat."""
-    weight = count["paid"].cast("double") * count["shipped"] * count["completed"]
+    count = {s: F.col(f"_n_{s}").cast("double") for s in _STAGES}
+    at = {s: F.col(f"_s_{s}") / count[s] for s in _STAGES}
+    weight = count["paid"] * count["shipped"] * count["completed"]
     weighted = per_order.select(
         weight.alias("_w"),
         (weight * (at["shipped"] - at["paid"])).alias("_ship"),
         (weight * (at["completed"] - at["shipped"])).alias("_done"),
     )
-    # Decimal sums do not depend on the order in which tasks finish.
-    total = weighted.agg(*[F.sum(F.col(c).cast("decimal(38,6)")).cast("double").alias(c) for c in ("_w", "_ship", "_done")])
+    total = weighted.agg(*[F.sum(c).alias(c) for c in ("_w", "_ship", "_done")])
     return total.select(
         F.try_divide(F.col("_ship") / 3.6e9, F.col("_w")).alias("paid_to_shipped_hours"),
         F.try_divide(F.col("_done") / 3.6e9, F.col("_w")).alias("shipped_to_completed_hours"),
     )
 
 
-def _event_micros() -> Column:
-    return epoch_micros("event_time").cast("decimal(20,0)")
+def _event_clock() -> Column:
+    """Microseconds since 2000 as a double: exact for single events and for sums of a few repeats.
+
+    Primitive buffers keep the aggregation in its fast hash map and its shuffle
+    narrow, and no number of repeats can overflow them.
+    """
+    return (epoch_micros("event_time") - F.lit(946_684_800_000_000)).cast("double")
 
 
 def fulfilment_latency(event_facts: DataFrame) -> DataFrame:
@@ -100,21 +106,17 @@ def fulfilment_latency(event_facts: DataFrame) -> DataFrame:
     weighted mean follows from counts and sums per order, so one aggregation
     replaces two joins and no pairs are ever formed.
     """
-    micros, reached = _event_micros(), F.col("to_status")
+    clock, reached = _event_clock(), F.col("to_status")
     per_order = (
         event_facts.where(reached.isin(*_STAGES))
         .groupBy("order_id")
         .agg(
-            F.min(micros).alias("_base"),
             *[F.count_if(reached == s).alias(f"_n_{s}") for s in _STAGES],
-            *[F.sum(F.when(reached == s, micros)).alias(f"_s_{s}") for s in _STAGES],
+            *[F.sum(F.when(reached == s, clock)).alias(f"_s_{s}") for s in _STAGES],
         )
         .where(" AND ".join(f"_n_{s} > 0" for s in _STAGES))
     )
-    count = {s: F.col(f"_n_{s}") for s in _STAGES}
-    # Sums are taken from the order's first event so that the doubles stay exact.
-    at = {s: (F.col(f"_s_{s}") - F.col("_base") * count[s]).cast("double") / count[s] for s in _STAGES}
-    return _weighted_latency(per_order, at, count)
+    return _weighted_latency(per_order)
 
 
 def fulfilment_latency_joined(event_facts: DataFrame) -> DataFrame:
@@ -124,16 +126,11 @@ def fulfilment_latency_joined(event_facts: DataFrame) -> DataFrame:
     of repetitions as a weight, so the join stays one-to-one.
     """
     def alias(status: str) -> DataFrame:
-        micros = _event_micros()
         return event_facts.where(F.col("to_status") == status).groupBy("order_id").agg(
-            F.count(F.lit(1)).alias(f"_n_{status}"), F.sum(micros).alias(f"_s_{status}"), F.min(micros).alias(f"_b_{status}")
+            F.count(F.lit(1)).alias(f"_n_{status}"), F.sum(_event_clock()).alias(f"_s_{status}")
         )
 
-    joined = alias("paid").join(alias("shipped"), "order_id").join(alias("completed"), "order_id")
-    base = F.least(*[f"_b_{s}" for s in _STAGES])
-    count = {s: F.col(f"_n_{s}") for s in _STAGES}
-    at = {s: (F.col(f"_s_{s}") - base * count[s]).cast("double") / count[s] for s in _STAGES}
-    return _weighted_latency(joined, at, count)
+    return _weighted_latency(alias("paid").join(alias("shipped"), "order_id").join(alias("completed"), "order_id"))
 
 
 def promo_daily_compare(order_facts: DataFrame, cfg: WarehouseConfig = DEFAULT) -> DataFrame:
