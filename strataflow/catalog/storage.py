@@ -75,19 +75,18 @@ def _(c: Canon) -> DataFrame:
 
 
 @query("upsert_latest", """
-SELECT order_id, CASE WHEN order_id % 10 = 3 THEN 'refunded' ELSE status END AS status,
-       CAST(CASE WHEN order_id % 10 = 3 THEN 0 ELSE total_amount END AS DOUBLE) AS total_amount,
-       CASE WHEN order_id % 10 = 3 THEN 2 ELSE 1 END AS version FROM c_orders
+SELECT order_id, IF(status = 'cancelled', 'refunded', status) AS status,
+       CAST(IF(status = 'cancelled', 0, total_amount) AS DOUBLE) AS total_amount, IF(status = 'cancelled', 2, 1) AS version FROM c_orders
 UNION ALL
-SELECT -1 - order_id, 'late', CAST(total_amount AS DOUBLE), 2 FROM c_orders WHERE order_id % 10 = 4""")
+SELECT -1 - order_id, 'renewed', CAST(total_amount AS DOUBLE), 2 FROM c_orders WHERE status = 'completed'""")
 def _(c: Canon) -> DataFrame:
-    """A tenth of the orders is changed by a later version and another tenth is new."""
+    """Cancelled orders are refunded by a later version and completed ones are ordered again under new ids."""
     base = c.orders().select("order_id", "status", "total_amount", F.lit(1).alias("version"))
-    digit = F.pmod(F.col("order_id"), F.lit(10))
+    status, second = F.col("status"), F.lit(2).alias("version")
     zero = F.lit(0).cast("decimal(12,2)").alias("total_amount")
-    changed = base.where(digit == 3).select("order_id", F.lit("refunded").alias("status"), zero, F.lit(2).alias("version"))
-    added = base.where(digit == 4).select(
-        (-1 - F.col("order_id")).alias("order_id"), F.lit("late").alias("status"), "total_amount", F.lit(2).alias("version"))
+    changed = base.where(status == "cancelled").select("order_id", F.lit("refunded").alias("status"), zero, second)
+    added = base.where(status == "completed").select(
+        (-1 - F.col("order_id")).alias("order_id"), F.lit("renewed").alias("status"), "total_amount", second)
     return shown(upsert_latest(base, changed.unionByName(added), ["order_id"], "version"))
 
 

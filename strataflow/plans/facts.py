@@ -97,7 +97,7 @@ def order_fact(
         "promo_id",
         "total_amount",
         freight(F.col("order_id"), F.col("total_amount"), cfg.free_freight_from).alias("freight_amount"),
-        F.coalesce("discount_amount", F.lit(0)).cast("decimal(12,2)").alias("discount_amount"),
+        F.coalesce("discount_amount", F.lit(0)).cast("decimal(22,2)").alias("discount_amount"),
         "pay_time",
         F.when(F.col("status") == "cancelled", F.col("_cancelled_at")).alias("cancel_time"),
         F.when(F.col("status") == "completed", F.col("_completed_at")).alias("finish_time"),

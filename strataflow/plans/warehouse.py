@@ -143,6 +143,7 @@ def verification(house: Warehouse, cfg: WarehouseConfig = DEFAULT, audit: DataFr
         q.evaluate(metrics.gmv_by_region(orders, region), [q.expect_min_count("provinces", 5)]),
         q.evaluate(agg("promo_daily_compare"), [q.expect("both periods have amounts", F.count_if(F.col("gmv") > 0), lambda v: v == 2)]),
         q.evaluate(metrics.user_segment(users, cfg), [q.expect_count("segments", 3)]),
+        q.evaluate(q.child_ratio(orders, house.read("ods", "orders")), [q.expect("every landed order is a fact", F.max("ratio"), lambda v: v == 1)]),
         q.evaluate(q.child_ratio(details, orders), [q.expect_between("items per order", F.max("ratio"), cfg.min_item_ratio, cfg.max_item_ratio)]),
         q.evaluate(days, [q.expect_min("focus day burst", q.burst(days, "day", "n", cfg.focus_day), cfg.min_burst_ratio)]),
         q.evaluate(q.child_ratio(events, orders), [q.expect_min("events at least orders", F.max("ratio"), 1)]),

@@ -54,7 +54,7 @@ def test_failed_checks_are_stored_and_raise(spark, house):
     with pytest.raises(warehouse.VerificationFailed):
         warehouse.build(spark, c.sources(), root, c.region(), c.promotions(), c.cfg)
     verdicts = {r.check_name: r.passed for r in spark.read.parquet(f"{root}/audit/verification").collect()}
-    assert len(verdicts) == 22 and verdicts["one fact per order"] and not verdicts["headers match lines"]
+    assert len(verdicts) == 23 and verdicts["one fact per order"] and not verdicts["headers match lines"]
     assert verdicts["audit entries"] and verdicts["order day matches order time"] and not verdicts["focus day burst"]
     last = spark.read.parquet(f"{root}/audit/etl_log").orderBy(F.desc("log_id")).first()
     assert (last.step, last.status) == ("verify", "failed")
