@@ -21,6 +21,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from strataflow.catalog import QUERIES  # noqa: E402
 from strataflow.catalog.canon import Canon  # noqa: E402
+from strataflow.functions import wall  # noqa: E402
 from strataflow.operators import reports  # noqa: E402
 from strataflow.plans import aggregates, metrics, warehouse  # noqa: E402
 from strataflow.session import build_session, scratch_path  # noqa: E402
@@ -54,7 +55,7 @@ def best(build) -> float:
 
 
 def comparison_set(rows, prefix: str) -> dict[str, float]:
-    november = (F.col("order_date") >= F.lit(datetime(1998, 11, 1))) & (F.col("order_date") < F.lit(datetime(1998, 12, 1)))
+    november = (F.col("order_date") >= wall(datetime(1998, 11, 1))) & (F.col("order_date") < wall(datetime(1998, 12, 1)))
     count, total = F.count(F.lit(1)).alias("n"), F.sum("total_amount").alias("s")
     return {
         f"{prefix}_q1_sum": best(lambda: rows.agg(total)),

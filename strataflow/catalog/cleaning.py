@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strataflow.catalog.canon import Canon
 from strataflow.catalog.registry import query, shown
-from strataflow.functions import duration_minutes, freight, to_business_time
+from strataflow.functions import duration_minutes, freight, to_business_time, wall
 from strataflow.operators.clean import CLEAN_RULES, clean, clean_report
 from strataflow.plans.aggregates import valid_orders
 
@@ -81,7 +81,7 @@ def _(c: Canon) -> DataFrame:
 SELECT COUNT(*) AS order_count, CAST(SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS total_amount FROM orders
 WHERE o_orderdate >= TIMESTAMP '1998-11-01' AND o_orderdate < TIMESTAMP '1998-12-01'""")
 def _(c: Canon) -> DataFrame:
-    low, high = (F.lit(datetime(1998, m, 1)).cast("timestamp_ntz") for m in (11, 12))
+    low, high = (wall(datetime(1998, m, 1)) for m in (11, 12))
     in_range = c.raw("orders").where((F.col("o_orderdate") >= low) & (F.col("o_orderdate") < high))
     return shown(in_range.agg(
         F.count(F.lit(1)).alias("order_count"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strataflow.catalog.canon import CONFIG, Canon
 from strataflow.catalog.registry import query, shown
-from strataflow.functions import safe_ratio
+from strataflow.functions import safe_ratio, wall
 from strataflow.operators import quality as q
 from strataflow.operators.quality import Check
 from strataflow.plans import metrics
@@ -269,10 +269,10 @@ def _(c: Canon) -> DataFrame:
 
 
 @query("price_deviation", """
-, priced AS (SELECT l_partkey AS product_id,
+, charged AS (SELECT l_partkey AS product_id,
                CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 100 AS BIGINT) // CAST(l_quantity AS BIGINT) AS cents FROM lineitem)
 SELECT i.product_id, i.cents / 100.0 AS unit_price, COUNT(*) AS lines
-FROM priced i JOIN c_products p ON i.product_id = p.product_id
+FROM charged i JOIN c_products p ON i.product_id = p.product_id
 WHERE ABS(i.cents / 100.0 - CAST(p.price AS DOUBLE)) > 0.05 * CAST(p.price AS DOUBLE) GROUP BY 1, 2""")
 def _(c: Canon) -> DataFrame:
     """The price charged per piece, in whole cents, against the list price."""
@@ -291,8 +291,8 @@ seen AS (SELECT o.order_id, o.status,
 SELECT order_id, status FROM seen WHERE (status = 'completed' AND done < 4) OR (status = 'cancelled' AND dropped < 2)""")
 def _(c: Canon) -> DataFrame:
     """All orders against an event log that stops at the end of 1999."""
-    end = F.lit(datetime(2000, 1, 1)).cast("timestamp_ntz")
-    return q.event_chain_gaps(c.orders(), c.status_events().where(F.col("event_time") < end))
+    known = c.status_events().where(F.col("event_time") < wall(datetime(2000, 1, 1)))
+    return q.event_chain_gaps(c.orders(), known)
 
 
 @query("orphan_items", """

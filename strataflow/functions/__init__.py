@@ -6,9 +6,10 @@ from strataflow.functions.timing import (
     hours_between,
     time_bucket,
     to_business_time,
+    wall,
 )
 
 __all__ = [
     "channel", "clock_hms", "duration_minutes", "epoch_micros", "freight", "hours_between", "line_amount",
-    "line_discount", "net_price", "safe_ratio", "status_band", "time_bucket", "to_business_time",
+    "line_discount", "net_price", "safe_ratio", "status_band", "time_bucket", "to_business_time", "wall",
 ]

@@ -19,6 +19,11 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def wall(moment: datetime) -> Column:
+    """TIMESTAMP_NTZ literal.  A plain literal of a datetime is an instant, and its wall clock depends on two zones."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def width_seconds(width: str) -> int:
     """Seconds in a width such as ``"15 minutes"`` or ``"1 day"``."""
     count, unit = width.split()
@@ -48,7 +53,7 @@ def time_bucket(width: str, ts: Column | str, origin: datetime = datetime(1970,
     """
     ts, seconds = _col(ts), width_seconds(width)
     shift = int((origin - datetime(1970, 1, 1)).total_seconds()) % seconds
-    present = F.coalesce(ts.cast("timestamp_ntz"), F.lit(origin).cast("timestamp_ntz"))
+    present = F.coalesce(ts.cast("timestamp_ntz"), wall(origin))
     start = F.window(present, f"{seconds} seconds", startTime=f"{shift} seconds")["start"]
     return F.when(ts.isNotNull(), start)
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.config import DEFAULT, WarehouseConfig
-from strataflow.functions import safe_ratio
+from strataflow.functions import safe_ratio, wall
 from strataflow.operators.ordered import ordinals, running_total
 from strataflow.operators.pivot import share_of_total
 from strataflow.plans.aggregates import valid_orders
@@ -27,7 +27,7 @@ def day_window(day: date) -> tuple[datetime, datetime]:
 def on_day(df: DataFrame, ts: str, day: date) -> DataFrame:
     """Rows of one wall-clock day as a half-open range, which the scan can use."""
     low, high = day_window(day)
-    return df.where((F.col(ts) >= F.lit(low).cast("timestamp_ntz")) & (F.col(ts) < F.lit(high).cast("timestamp_ntz")))
+    return df.where((F.col(ts) >= wall(low)) & (F.col(ts) < wall(high)))
 
 
 def top_by(df: DataFrame, measures: Sequence[str], k: int, tiebreak: str) -> DataFrame:

@@ -9,6 +9,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from strataflow.functions import wall
+
 
 def stamp_sync_time(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Landing projection plus the load time."""
@@ -35,13 +37,14 @@ def filter_range(df: DataFrame, ts: str, low: datetime, high: datetime, part: st
     first_month, last_month = low.year * 100 + low.month, last.year * 100 + last.month
     return df.where(
         (F.col(part) >= first_month) & (F.col(part) <= last_month)
-        & (F.col(ts) >= F.lit(low).cast("timestamp_ntz")) & (F.col(ts) < F.lit(high).cast("timestamp_ntz"))
+        & (F.col(ts) >= wall(low)) & (F.col(ts) < wall(high))
     )
 
 
 def out_of_range(df: DataFrame, col: str, low, high) -> DataFrame:
     """Rows a layout bounded to [low, high) would reject, NULL keys included."""
-    inside = (F.col(col) >= F.lit(low)) & (F.col(col) < F.lit(high))
+    low, high = (wall(b) if isinstance(b, datetime) else F.lit(b) for b in (low, high))
+    inside = (F.col(col) >= low) & (F.col(col) < high)
     return df.where(~F.coalesce(inside, F.lit(False)))
 
 

@@ -25,3 +25,19 @@ def test_entry_has_rows(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(name, spark, sf_dir, duck):
     assert oracle.compare(QUERIES[name](spark, sf_dir), duck, SQL[name]) is None
+
+
+ZONE_SENSITIVE = [
+    "gmv_running_total", "range_filter_agg", "out_of_range_rows", "partitions_touched", "fulfilment_latency", "bucket_7d",
+    "business_time", "csv_roundtrip", "stream_minute_gmv", "running_total_rows", "event_chain_gaps", "dim_date",
+]
+
+
+@pytest.mark.parametrize("name", ZONE_SENSITIVE)
+def test_results_do_not_depend_on_the_session_zone(name, spark, sf_dir, duck):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert oracle.compare(QUERIES[name](spark, sf_dir), duck, SQL[name]) is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
