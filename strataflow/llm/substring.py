@@ -1,8 +1,8 @@
 """Substring dedup: words covered by a run of 50 words that also stands in an earlier document are removed.
 
-Corpus text is read as a De Bruijn graph whose nodes are sampled 20-word k-mers.  In every window of 50 words the k-mer
+Corpus text is read as a De Bruijn graph whose nodes are sampled 10-word k-mers.  In every window of 50 words the k-mer
 with the smallest hash is a node, so whoever holds a window holds its node at the same place, while only about one k-mer in
-16 is kept.  An edge is the span of words between consecutive nodes of a document, known by its hash.
+21 is kept.  An edge is the span of words between consecutive nodes of a document, known by its hash.
 
 1. Nodes in several documents are kept; joining their occurrences with what all occurrences have in common marks the edges
    that do not branch.  Along them a document's path compacts: every window inside a compacted path is the same wherever
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from strataflow.llm.common import body, table, text_hash
 from strataflow.session import settle
 
-WINDOW, KMER = 50, 20
+WINDOW, KMER = 50, 10
 CHUNK = 1 << 16  # windows looked at together when nodes are chosen
 # Two odd multipliers give two independent rolling hashes.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -95,9 +95,26 @@ def _signed(h: np.ndarray) -> np.ndarray:
     return h.astype(np.uint64).view(np.int64)
 
 
+def _digest(h: np.ndarray) -> np.ndarray:
+    """31 bits of a second hash, beside the 64 of the key."""
+    return (h & np.uint64(0x7FFFFFFF)).astype(np.int32)
+
+
+def _in_parts(frames: Iterator[pd.DataFrame], rows: int = 1 << 15) -> Iterator[pd.DataFrame]:
+    """Small frames put together up to about ``rows``, so that a batch of long texts is not held whole."""
+    held, size = [], 0
+    for frame in frames:
+        held.append(frame)
+        size += len(frame)
+        if size >= rows:
+            yield pd.concat(held, ignore_index=True)
+            held, size = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def _node_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for docs in batches:
-        out = []
+    def of(docs: pd.DataFrame) -> Iterator[pd.DataFrame]:
         for doc, row, text in zip(docs["doc_id"], docs["row"], docs["body"]):
             words = text.split()
             if len(words) < WINDOW:
@@ -107,52 +124,55 @@ def _node_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             # An edge reaches from one node's start to the next one's end; the first and last reach the document's ends.
             right = np.append(roll.spans(at[:-1], at[1:] + KMER, 0), roll.spans(at[-1:], np.array([roll.n]), 0) ^ END)
             left = np.insert(right[:-1], 0, roll.spans(np.array([0]), at[:1] + KMER, 0)[0] ^ START)
-            out.append(pd.DataFrame({
+            yield pd.DataFrame({
                 "doc_id": doc, "row": row, "pos": at, "node": _signed(roll.spans(at, at + KMER, 0)),
-                "check": _signed(roll.spans(at, at + KMER, 1)), "out_edge": _signed(right), "in_edge": _signed(left)}))
-        if out:
-            yield pd.concat(out, ignore_index=True)
+                "check": _digest(roll.spans(at, at + KMER, 1)), "out_edge": _signed(right), "in_edge": _signed(left)})
+
+    for docs in batches:
+        yield from _in_parts(of(docs))
+
+
+def _reaches(roll: Rolling, nodes: np.ndarray, one_out: np.ndarray, one_in: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How far the path stays unbranched from each node to the right and to the left, in words."""
+    right, left = nodes + KMER, nodes.copy()
+    for i in range(len(nodes) - 1, -1, -1):
+        if one_out[i]:
+            right[i] = right[i + 1] if i + 1 < len(nodes) else roll.n
+    for i in range(len(nodes)):
+        if one_in[i]:
+            left[i] = left[i - 1] if i else 0
+    return right, left
 
 
 def _unsettled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Runs that a compacted path decides (kind 0) and single windows still to be looked up (kind 1)."""
-    for docs in batches:
-        out = []
+    """Runs that a compacted path decides, with check -1, and single windows still to be looked up."""
+    def of(docs: pd.DataFrame) -> Iterator[pd.DataFrame]:
         for doc, row, text, marks in zip(docs["doc_id"], docs["row"], docs["body"], docs["marks"]):
             roll = Rolling(text.split())
             nodes = roll.nodes()
-            shared = np.zeros(len(nodes), dtype=bool)
-            earlier, one_out, one_in = shared.copy(), shared.copy(), shared.copy()
             at = np.searchsorted(nodes, np.array([m["pos"] for m in marks]))
-            shared[at] = True
-            for flags, name in ((earlier, "earlier"), (one_out, "one_out"), (one_in, "one_in")):
-                flags[at] = [m[name] for m in marks]
-            # How far the path stays unbranched from each node to the right and to the left, in words.
-            reach, back = nodes + KMER, nodes.copy()
-            for i in range(len(nodes) - 1, -1, -1):
-                if one_out[i]:
-                    reach[i] = reach[i + 1] if i + 1 < len(nodes) else roll.n
-            for i in range(len(nodes)):
-                if one_in[i]:
-                    back[i] = back[i - 1] if i else 0
+            flags = {name: np.zeros(len(nodes), dtype=bool) for name in ("shared", "earlier", "one_out", "one_in")}
+            flags["shared"][at] = True
+            for name in ("earlier", "one_out", "one_in"):
+                flags[name][at] = [m[name] for m in marks]
+            right, left = _reaches(roll, nodes, flags["one_out"], flags["one_in"])
             starts, node = np.arange(roll.n - WINDOW + 1), roll.node_of_window(nodes)
-            inside = shared[node] & (back[node] <= starts) & (starts + WINDOW <= reach[node])
-            decided = starts[inside & earlier[node]]
+            inside = flags["shared"][node] & (left[node] <= starts) & (starts + WINDOW <= right[node])
+            decided = starts[inside & flags["earlier"][node]]
             if len(decided):
                 cut = np.flatnonzero(np.diff(decided) > 1)
                 first, last = decided[np.insert(cut + 1, 0, 0)], decided[np.append(cut, len(decided) - 1)]
-                runs = pd.DataFrame({"doc_id": doc, "row": row, "kind": 0, "start": first, "length": last - first + WINDOW})
-                # Keys that no window meets, spread so that these rows do not meet in one task.
-                runs["window"], runs["check"] = _signed(_mixed(first.astype(np.uint64) ^ np.uint64(row & (1 << 64) - 1))), 0
-                out.append(runs)
-            single = starts[shared[node] & ~inside]
+                # Their keys meet no window's and are spread, so that these rows do not meet in one task.
+                spread = _mixed(first.astype(np.uint64) ^ np.uint64(row & (1 << 64) - 1))
+                yield pd.DataFrame({"doc_id": doc, "row": row, "start": first, "length": last - first + WINDOW, "window": _signed(spread), "check": -1})
+            single = starts[flags["shared"][node] & ~inside]
             if len(single):
-                out.append(pd.DataFrame({
-                    "doc_id": doc, "row": row, "kind": 1, "start": single, "length": WINDOW,
-                    "window": _signed(roll.spans(single, single + WINDOW, 0)),
-                    "check": (roll.spans(single, single + WINDOW, 1) & np.uint64(0x7FFFFFFF)).astype(np.int64)}))
-        if out:
-            yield pd.concat(out, ignore_index=True)
+                yield pd.DataFrame({
+                    "doc_id": doc, "row": row, "start": single, "length": WINDOW,
+                    "window": _signed(roll.spans(single, single + WINDOW, 0)), "check": _digest(roll.spans(single, single + WINDOW, 1))})
+
+    for docs in batches:
+        yield from _in_parts(of(docs))
 
 
 def _cleaner(with_text: bool):
@@ -179,21 +199,26 @@ def repeated_spans(base: DataFrame) -> DataFrame:
     """(doc_id, row, spans) for documents with words to remove; ``base`` holds (doc_id, row, body, ...), no null doc_id."""
     nodes = settle(
         base.select("doc_id", "row", "body").mapInPandas(
-            _node_rows, "doc_id long, row long, pos int, node long, check long, out_edge long, in_edge long"), "kmer-nodes")
-    known = nodes.groupBy("node").agg(
+            _node_rows, "doc_id long, row long, pos int, node long, check int, out_edge long, in_edge long"), "kmer-nodes")
+    # An edge is unbranched only if all occurrences agree; where digests differ, windows are looked up one by one.
+    known = settle(nodes.groupBy("node").agg(
         F.min(F.struct("doc_id", "pos", "check")).alias("source"), F.max("doc_id").alias("last"),
         (F.min("out_edge") == F.max("out_edge")).alias("one_out"), (F.min("in_edge") == F.max("in_edge")).alias("one_in"),
         (F.min("check") == F.max("check")).alias("sound"),
     ).where("source.doc_id < last").select(
-        "node", F.col("source.doc_id").alias("source_doc"), F.col("source.check").alias("source_check"), "one_out", "one_in", "sound")
-    # An edge is unbranched only if all occurrences agree; where digests differ, windows are looked up one by one.
-    marks = nodes.select("doc_id", "row", "pos", "node", "check").join(known, "node").groupBy("doc_id", "row").agg(F.collect_list(F.struct(
-        "pos", ((F.col("source_doc") < F.col("doc_id")) & (F.col("check") == F.col("source_check"))).alias("earlier"),
-        (F.col("one_out") & F.col("sound")).alias("one_out"), (F.col("one_in") & F.col("sound")).alias("one_in"))).alias("marks"))
+        "node", F.col("source.doc_id").alias("source_doc"), F.col("source.check").alias("source_check"),
+        (F.col("one_out") & F.col("sound")).alias("one_out"), (F.col("one_in") & F.col("sound")).alias("one_in")), "kmer-shared")
+    earlier = (F.col("source_doc") < F.col("doc_id")) & (F.col("check") == F.col("source_check"))
+    marks = nodes.select("doc_id", "row", "pos", "node", "check").join(known, "node").groupBy("doc_id", "row").agg(
+        F.collect_list(F.struct("pos", earlier.alias("earlier"), "one_out", "one_in")).alias("marks"))
     rows = base.join(marks, ["doc_id", "row"]).mapInPandas(
-        _unsettled, "doc_id long, row long, kind int, start int, length int, window long, check long")
-    source = rows.where("kind = 1").groupBy("window", "check").agg(F.min("doc_id").alias("source_doc"))
-    gone = rows.join(source, ["window", "check"], "left").where("kind = 0 OR source_doc < doc_id")
+        _unsettled, "doc_id long, row long, start int, length int, window long, check int")
+    # Joined by another hash of the key than the one it was grouped by: the join then has a shuffle of its own on either side, which
+    # adaptive execution can split where a window is in very many documents.
+    source = rows.where("check >= 0").groupBy("window", "check").agg(F.min("doc_id").alias("source_doc"), F.max("doc_id").alias("last")) \
+        .where("source_doc < last").select(F.xxhash64("window", "check").alias("key"), "window", "check", "source_doc")
+    keyed = rows.withColumn("key", F.xxhash64("window", "check"))
+    gone = keyed.join(source, ["key", "window", "check"], "left").where("check = -1 OR source_doc < doc_id")
     return gone.groupBy("doc_id", "row").agg(F.collect_list(F.struct("start", "length")).alias("spans"))
 
 
