@@ -130,15 +130,18 @@ def judge(pages: DataFrame, listed: Cascade, url: str = "url", key: str = "page_
     return parts.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"))
 
 
-def host_list(pages: DataFrame, url: str = "url", share: float = 0.34, least: int = 3) -> DataFrame:
-    """(key, listed) for every host: listed are hosts with ``least`` pages or more of which at least ``share`` carry tracking queries.
+def host_list(pages: DataFrame, url: str = "url", least: int = 3) -> DataFrame:
+    """(key, listed) for every host: listed are hosts with ``least`` pages or more that use tracking queries more often than the corpus.
 
-    A stand-in for a bought block list that grows with the pages it is read from.
+    A stand-in for a bought block list that grows with the pages it is read from.  Compared as whole numbers, so nothing is rounded.
     """
     address = F.coalesce(F.col(url).cast("string"), F.lit(""))
-    return pages.groupBy(host_of(F.col(url)).alias("key")).agg(
-        F.count("*").alias("pages"), F.sum(address.contains("utm_").cast("long")).alias("tracked"),
-    ).select("key", ((F.col("pages") >= least) & (F.col("tracked") >= share * F.col("pages"))).alias("listed"))
+    hosts = settle(pages.groupBy(host_of(F.col(url)).alias("key")).agg(
+        F.count("*").alias("pages"), F.sum(address.contains("utm_").cast("long")).alias("tracked")), "hosts")
+    total = hosts.agg(F.coalesce(F.sum("pages"), F.lit(0)).alias("pages"), F.coalesce(F.sum("tracked"), F.lit(0)).alias("tracked")).first()
+    wide = lambda c: F.col(c).cast("decimal(19,0)")
+    return hosts.select("key", (
+        (F.col("pages") >= least) & (wide("tracked") * F.lit(total.pages) > wide("pages") * F.lit(total.tracked))).alias("listed"))
 
 
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,7 +159,8 @@ WITH parts AS (
   FROM pages
 ), listed AS (
   SELECT host FROM parts GROUP BY host
-  HAVING count(*) >= 3 AND sum(CASE WHEN contains(url, 'utm_') THEN 1 ELSE 0 END) >= 0.34 * count(*)
+  HAVING count(*) >= 3 AND sum(CASE WHEN contains(url, 'utm_') THEN 1 ELSE 0 END) * (SELECT count(*) FROM parts)
+    > count(*) * (SELECT sum(CASE WHEN contains(url, 'utm_') THEN 1 ELSE 0 END) FROM parts)
 ), ruled AS (
   SELECT page_id, host, path,
     CASE WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
