@@ -23,11 +23,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.llm.common import fold_remainder, table
-from strataflow.session import settle
 
 FOLDS, HELD = 4, 2
 UNDETERMINED = "und"
-# The bounded sample: so many documents per language, chosen by a hash of the id, so many characters of each, and so many in all.
+# The bounded sample: about so many documents per language, chosen by a hash of the id, so many characters of each, and so many in all.
 SAMPLE_DOCS, DOC_CHARS, SAMPLE_CHARS = 200, 200, 16_000
 MAX_LANGUAGES = 64
 ALPHABET, BLOCK = 64, 1024
@@ -167,26 +166,30 @@ def fit(docs: DataFrame, learnable, key: str = "doc_id", text: str = "text", lan
         doc_chars: int = DOC_CHARS, sample_chars: int = SAMPLE_CHARS, max_languages: int = MAX_LANGUAGES) -> Model:
     """Learns from rows where ``learnable`` holds and lang is not null.
 
-    At most ``sample_docs`` documents per language, ``doc_chars`` characters of each and ``sample_chars`` of all; more languages than ``max_languages`` raise.
+    About ``sample_docs`` documents per language, drawn by a hash of the id at a rate that follows the language's size, ``doc_chars``
+    characters of each and ``sample_chars`` of all; more languages than ``max_languages`` raise.
     """
     named = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & learnable)
-    names = sorted(r[0] for r in named.select(F.col(lang).cast("string")).distinct().limit(max_languages + 1).collect())
-    if len(names) > max_languages:
+    # One number per language, and then about sample_docs short strings per language, reach the driver.
+    sizes = named.groupBy(F.col(lang).cast("string").alias("lang")).agg(F.count("*").alias("n")).limit(max_languages + 1).collect()
+    if len(sizes) > max_languages:
         raise ValueError(f"over {max_languages} languages")
-    mixed = F.xxhash64(F.col(key), F.lit("language"))
-    samples = {}
-    for name in names:
-        # The top few by a hash: each task keeps so many rows and no more.
-        own = named.where(F.col(lang) == name).select(F.substring(F.col(text), 1, 8 * doc_chars).alias("t"), mixed.alias("h"))
-        texts = dict.fromkeys(letters(r.t)[:doc_chars] for r in own.orderBy("h", "t").limit(sample_docs).collect())
-        kept, size = [], 0
-        for t in texts:
-            if t and size < sample_chars:
-                kept.append(t[:sample_chars - size])
-                size += len(kept[-1])
-        if kept:
-            samples[name] = kept
-    return Model.fit(samples)
+    if not sizes:
+        return Model.fit({})
+    mixed = F.xxhash64(F.col(key), F.lit("language")) / 2.0 ** 64 + 0.5
+    rate = F.lit(0.0)
+    for r in sizes:
+        rate = F.when(F.col(lang) == r.lang, F.lit(sample_docs / r.n)).otherwise(rate)
+    drawn = named.where(mixed < rate).select(F.col(lang).cast("string").alias("lang"), mixed.alias("h"), F.substring(F.col(text), 1, 8 * doc_chars).alias("t"))
+    samples: dict[str, list[str]] = {}
+    seen: set[tuple[str, str]] = set()
+    for r in sorted(drawn.collect(), key=lambda r: (r.lang, r.h, r.t)):
+        text_part, kept = letters(r.t)[:doc_chars], samples.setdefault(r.lang, [])
+        room = sample_chars - sum(map(len, kept))
+        if text_part and room > 0 and (r.lang, text_part) not in seen:
+            seen.add((r.lang, text_part))
+            kept.append(text_part[:room])
+    return Model.fit({name: texts for name, texts in samples.items() if texts})
 
 
 def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", folds: int = FOLDS, held: int = HELD) -> DataFrame:
