@@ -14,7 +14,6 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -129,7 +128,7 @@ class Model:
             padded[:len(blocks[i]), column] = blocks[i]
         flat, roots = self.tables.ravel(), self.roots[:, None]
         state = np.repeat(roots, len(blocks), axis=1)
-        counts = np.ones(state.shape)  # the phrase under way
+        counts = np.zeros(state.shape)
         started = flat[roots * ALPHABET + np.arange(ALPHABET)]
         started = np.where(started < 0, roots, started)
         running = np.searchsorted(-lengths, -np.arange(len(padded)), side="left")
@@ -137,9 +136,12 @@ class Model:
             c = padded[t, :m]
             ahead = flat[state[:, :m] * ALPHABET + c]
             miss = ahead < 0
-            # Nothing is under way at the start of a state 0, so a miss there is an unknown letter, a phrase of its own.
-            counts[:, :m] += miss
-            state[:, :m] = np.where(miss, started[:, c], ahead)
+            again = started[:, c]
+            # A miss ends the phrase under way, if there is one; a letter that no phrase starts with is one of its own.
+            counts[:, :m] += miss & (state[:, :m] != roots)
+            counts[:, :m] += miss & (again == roots)
+            state[:, :m] = np.where(miss, again, ahead)
+        counts += state != roots
         np.add.at(total, np.array(owner)[order], counts.T)
         return total
 
@@ -199,15 +201,14 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            names, scores = shared.value.predict([letters(t) for t in rows["text"]])
-            yield pd.DataFrame({"key": rows["key"].astype("Int64"), "held_out": rows["held_out"], "lang_pred": names, "score": scores})
+    @F.pandas_udf("lang_pred string, score double")
+    def predicted(texts: pd.Series) -> pd.DataFrame:
+        names, scores = shared.value.predict([letters(t) for t in texts])
+        return pd.DataFrame({"lang_pred": names, "score": scores})
 
-    rows = docs.select(
-        F.col(key).cast("long").alias("key"), (fold_remainder(F.col(key), folds) == held).alias("held_out"),
-        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    return rows.mapInPandas(run, "key long, held_out boolean, lang_pred string, score double")
+    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    held_out = (fold_remainder(F.col(key), folds) == held).alias("held_out")
+    return docs.select(F.col(key).cast("long").alias("key"), held_out, predicted(whole).alias("found")).select("key", "held_out", "found.*")
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

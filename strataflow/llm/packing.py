@@ -76,11 +76,12 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, key: str = "doc_id", text:
                 while start < len(ids):
                     out.append((doc, piece, start, stop - start, zlib.crc32(ids[start:stop].tobytes())))
                     start, stop, piece = stop, stop + capacity, piece + 1
-            found = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield found.assign(doc_id=found["doc_id"].astype("Int64"))
+            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    whole = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    return whole.mapInPandas(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    # Ids travel as text: pandas would round large ones beside a null.
+    whole = docs.select(F.col(key).cast("string").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    cut = whole.mapInPandas(run, "doc_id string, piece int, start long, length long, ids_crc32 long")
+    return cut.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:

@@ -77,7 +77,7 @@ def _measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines"]
     for docs in batches:
         found = pd.DataFrame([measures(t) for t in docs["body"]], columns=names)
-        yield pd.concat([docs[["host", "row"]], found], axis=1).assign(key=docs["key"].astype("Int64"))
+        yield pd.concat([docs[["host", "row", "key"]], found], axis=1)
 
 
 def boilerplate(lines: DataFrame, least_docs: int = LEAST_DOCS, share: float = SHARE) -> DataFrame:
@@ -94,12 +94,13 @@ def quality(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str
     Null texts are empty and fail the base rules; documents of a null host share a host of their own.  Rows that
     repeat a key count once per line, and are judged each by its own text.
     """
-    out = ("host string, row long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-           f"lines {LINE}, key long")
+    out = ("host string, row long, key string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+           f"n_repeat_words long, lines {LINE}")
+    # Keys travel as text: pandas would round large ones beside a null.
     rows = docs.select(
-        F.col(key).cast("long").alias("key"), F.coalesce(F.col(host).cast("string"), F.lit("(none)")).alias("host"),
+        F.col(key).cast("string").alias("key"), F.coalesce(F.col(host).cast("string"), F.lit("(none)")).alias("host"),
         F.xxhash64(body(F.col(text))).alias("row"), body(F.col(text)).alias("body"))
-    found = settle(rows.mapInPandas(_measured, out), "quality-counts")
+    found = settle(rows.mapInPandas(_measured, out).withColumn("key", F.col("key").cast("long")), "quality-counts")
     lines = found.select("host", "key", "row", F.explode("lines").alias("at")).select("host", "key", "row", "at.line", "at.words")
     totals = found.groupBy("host").agg(F.count("*").alias("host_docs"))
     common = boilerplate(lines, least_docs).join(totals, "host").where(F.col("docs") > F.lit(share) * F.col("host_docs")).select("host", "line")

@@ -14,8 +14,6 @@ adaptive execution splits anchors that many fingerprints share.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import xxhash
@@ -49,13 +47,12 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, row, fp) of every row, ``row`` a hash of the text; null texts count as empty, fingerprint 0."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            marks = np.array([fingerprint(t, shingle) for t in rows["body"]], dtype=np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64"), "row": rows["row"], "fp": marks})
+    @F.pandas_udf("long")
+    def marked(bodies: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t, shingle) for t in bodies], dtype=np.uint64).view(np.int64))
 
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_hash(F.col(text)).alias("row"), body(F.col(text)).alias("body"))
-    return rows.mapInPandas(run, "doc_id long, row long, fp long")
+    value = F.col(text)
+    return docs.select(F.col(key).cast("long").alias("doc_id"), text_hash(value).alias("row"), marked(body(value)).alias("fp"))
 
 
 def _block(fp: Column, first: int) -> Column:
