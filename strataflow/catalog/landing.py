@@ -32,7 +32,7 @@ _ORDER_SQL = "SELECT order_id, user_id, order_date, status, CAST(total_amount AS
 @query("csv_roundtrip", _ORDER_SQL)
 def _(c: Canon) -> DataFrame:
     path = scratch_path(c.spark, "orders-csv")
-    c.orders().select(*_ORDER_COLUMNS).write.option("quote", '"').csv(path)
+    c.orders().select(*_ORDER_COLUMNS).write.option("quote", '"').option("escape", '"').csv(path)
     return shown(read_csv(c.spark, path, schemas.ORDERS))
 
 
@@ -59,7 +59,7 @@ FROM c_orders o JOIN c_users u ON o.user_id = u.user_id GROUP BY u.city""")
 def _(c: Canon) -> DataFrame:
     """A join across two systems: buyers from a delimited export, orders from the warehouse."""
     path = scratch_path(c.spark, "users-csv")
-    c.users().select(*schemas.USERS.names).write.csv(path)
+    c.users().select(*schemas.USERS.names).write.option("quote", '"').option("escape", '"').csv(path)
     users = read_csv(c.spark, path, schemas.USERS).select("user_id", "city")
     per_user = c.orders().groupBy("user_id").agg(
         F.count(F.lit(1)).alias("orders"), F.sum("total_amount").alias("amount"))
@@ -110,7 +110,8 @@ SELECT CAST(d AS DATE) AS date_key, CAST(year(d) AS SMALLINT) AS year, CAST(quar
        CAST(month(d) AS SMALLINT) AS month, CAST(week(d) AS SMALLINT) AS week,
        CAST(day(d) AS SMALLINT) AS day_of_month, CAST(dayofweek(d) + 1 AS SMALLINT) AS day_of_week,
        dayofweek(d) IN (0, 6) AS is_weekend,
-       ['winter', 'spring', 'summer', 'autumn'][month(d) % 12 // 3 + 1] AS season
+       CASE WHEN month(d) IN (12, 1, 2) THEN 'winter' WHEN month(d) IN (3, 4, 5) THEN 'spring'
+            WHEN month(d) IN (6, 7, 8) THEN 'summer' WHEN month(d) IN (9, 10, 11) THEN 'autumn' END AS season
 FROM (SELECT unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS d FROM orders)""")
 def _(c: Canon) -> DataFrame:
     """The calendar of all days the orders span."""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strataflow.catalog.canon import Canon
 from strataflow.catalog.registry import query, shown
 from strataflow.functions import epoch_micros
-from strataflow.operators.ordered import lagged, moving_average, running_total
+from strataflow.operators.ordered import lagged, moving_average, ordinals, running_total
 from strataflow.operators.quality import running_violations
 from strataflow.plans import metrics
 
@@ -29,7 +29,7 @@ def _(c: Canon) -> DataFrame:
 
 @query("running_total_violations", """
 SELECT COUNT(*) AS violations FROM (
-  SELECT running_gmv - LAG(running_gmv) OVER (ORDER BY bucket_time) AS step FROM activity_running) WHERE step < 0""")
+  SELECT running_gmv, LAG(running_gmv) OVER (ORDER BY bucket_time) AS before FROM activity_running) WHERE running_gmv < before""")
 def _(c: Canon) -> DataFrame:
     running = metrics.gmv_running_total(c.activity_minutes())
     return running_violations(running).agg(F.count(F.lit(1)).alias("violations"))
@@ -82,3 +82,17 @@ def _(c: Canon) -> DataFrame:
         "event_id", "user_id", "ts", (-epoch_micros("ts")).alias("_back"), (-F.col("event_id")).alias("_back_id"))
     return lagged(rows, ["_back", "_back_id"], "event_id", keys=["user_id"], name="next_event_id").drop(
         "_back", "_back_id")
+
+
+@query("ordered_with_gaps", """
+, gaps AS (SELECT event_id, user_id, CASE WHEN event_id % 5 < 2 THEN NULL ELSE amount END AS amount FROM activity)
+SELECT event_id, user_id, CAST(SUM(amount) OVER w AS DOUBLE) AS running_amount,
+       RANK() OVER (ORDER BY user_id) AS rank_no
+FROM gaps WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING)""")
+def _(c: Canon) -> DataFrame:
+    """Sums that start with missing values, and ranks whose ties run over many chunks."""
+    amount = F.when(F.col("event_id") % 5 >= 2, F.col("amount")).alias("amount")
+    rows = c.activity().select("event_id", "user_id", amount)
+    summed = running_total(rows, ["event_id"], {"amount": "running_amount"}, keys=["user_id"], pieces=16)
+    ranked = ordinals(summed, ["user_id", "event_id"], rank=True, pieces=16)
+    return shown(ranked.select("event_id", "user_id", "running_amount", F.col("rank_no").cast("long").alias("rank_no")))

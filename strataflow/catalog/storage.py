@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,8 +12,12 @@ from strataflow.catalog.canon import Canon
 from strataflow.catalog.registry import query, shown
 from strataflow.functions import clock_hms, epoch_micros
 from strataflow.operators import reports
+from strataflow.plans import warehouse
+from strataflow.plans.views import register_views
+from strataflow.plans.warehouse import Warehouse
 from strataflow.session import scratch_path
-from strataflow.sinks import load_verified, out_of_range, refresh, upsert_latest, with_key_range, with_month
+from strataflow.sinks import load_verified, out_of_range, refresh, upsert_latest, upsert_partitions, with_key_range, with_month
+from strataflow.sources import replicate
 
 
 def _monthly(c: Canon, df: DataFrame, ts: str, sort: tuple[str, ...]) -> DataFrame:
@@ -120,3 +125,100 @@ def _(c: Canon) -> DataFrame:
 @query("etl_duration_hms", _LOG + f" SELECT step, {_HMS} AS duration FROM log")
 def _(c: Canon) -> DataFrame:
     return _step_log(c).select("step", clock_hms("duration_ms").alias("duration"))
+
+
+# The write side
+
+_BUILT: dict[tuple[str, str], Warehouse] = {}
+
+
+def _built(c: Canon) -> Warehouse:
+    """The warehouse of these tables, built once per session into scratch."""
+    key = (c.spark.sparkContext.applicationId, c.sf_dir)
+    if key not in _BUILT:
+        _BUILT[key] = warehouse.build(
+            c.spark, c.sources(), scratch_path(c.spark, "warehouse"), c.region(), c.promotions(), c.cfg, verify=False)
+    return _BUILT[key]
+
+
+_SIZES = {
+    ("ods", "users"): "c_users", ("ods", "products"): "c_products", ("ods", "orders"): "c_orders", ("ods", "order_items"): "c_items",
+    ("ods", "payments"): "c_payments", ("ods", "order_status_events"): "c_events", ("dim", "dim_product"): "c_products",
+    ("dim", "dim_user"): "c_users", ("dim", "dim_region"): "c_region", ("dwd", "order_fact"): "f_order",
+    ("dwd", "order_detail_fact"): "f_detail", ("dwd", "order_status_event_fact"): "f_event", ("dws", "daily_gmv"): "dws_daily",
+    ("dws", "minute_traffic"): "dws_minute", ("dws", "product_daily_sales"): "dws_product", ("dws", "user_purchase_stats"): "dws_user",
+    ("dws", "status_funnel"): "dws_funnel",
+}
+
+
+@query("warehouse_rows", " UNION ALL ".join(
+    f"SELECT '{layer}' AS layer, '{name}' AS table_name, COUNT(*) AS row_count FROM {relation}" for (layer, name), relation in _SIZES.items()))
+def _(c: Canon) -> DataFrame:
+    """Rows of the tables a build lands, conforms and aggregates."""
+    house = _built(c)
+    counts = [house.read(*at).agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(at[0]).alias("layer"), F.lit(at[1]).alias("table_name"), "row_count") for at in _SIZES]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query("warehouse_audit", """
+SELECT 'load_ods' AS step, 'success' AS status, (SELECT COUNT(*) FROM c_users) + (SELECT COUNT(*) FROM c_products) + (SELECT COUNT(*) FROM c_orders)
+  + (SELECT COUNT(*) FROM c_items) + (SELECT COUNT(*) FROM c_payments) + (SELECT COUNT(*) FROM c_events) AS rows_processed
+UNION ALL SELECT 'order_fact', 'success', COUNT(*) FROM f_order
+UNION ALL SELECT 'order_detail_fact', 'success', COUNT(*) FROM f_detail
+UNION ALL SELECT 'order_status_event_fact', 'success', COUNT(*) FROM f_event""")
+def _(c: Canon) -> DataFrame:
+    """What the build's log says of the large loads."""
+    steps = ("load_ods", "order_fact", "order_detail_fact", "order_status_event_fact")
+    return _built(c).read("audit", "etl_log").where(F.col("step").isin(*steps)).select("step", "status", "rows_processed")
+
+
+@query("layout_saving", """
+SELECT 40 * COUNT(*) AS compact_rows, 40 * COUNT(*) AS plain_rows, TRUE AS saves_half FROM orders""")
+def _(c: Canon) -> DataFrame:
+    """Forty copies of the orders as compressed columns and as uncompressed text rows."""
+    copies, compact, plain = replicate(c.orders(), 40), scratch_path(c.spark, "compact"), scratch_path(c.spark, "plain")
+    load_verified(copies, compact, sort=("order_date",), codec="lz4")
+    copies.write.csv(plain)
+    rows = lambda df: df.agg(F.count(F.lit(1))).scalar()
+    return reports.layout_savings(c.spark, compact, plain).select(
+        rows(c.spark.read.parquet(compact)).alias("compact_rows"), rows(c.spark.read.text(plain)).alias("plain_rows"),
+        (F.col("savings_pct") >= 50).alias("saves_half"))
+
+
+@query("codec_saving", "SELECT COUNT(*) AS zstd_rows, COUNT(*) AS plain_rows, TRUE AS smaller FROM lineitem")
+def _(c: Canon) -> DataFrame:
+    """The lines with and without a codec."""
+    small, large, lines = scratch_path(c.spark, "zstd"), scratch_path(c.spark, "uncompressed"), c.raw("lineitem")
+    counts = [load_verified(lines, path, sort=("l_orderkey",), codec=codec) for path, codec in ((small, "zstd"), (large, "uncompressed"))]
+    sizes = [reports.table_bytes(c.spark, path).select("bytes").scalar() for path in (small, large)]
+    return c.spark.range(1).select(
+        F.lit(counts[0]).cast("long").alias("zstd_rows"), F.lit(counts[1]).cast("long").alias("plain_rows"), (sizes[0] < sizes[1]).alias("smaller"))
+
+
+@query("upsert_partitions", """
+SELECT order_id, CASE WHEN order_id % 50 = 0 THEN 'moved' WHEN order_id % 50 = 1 THEN 'unknown' ELSE status END AS status,
+       CASE WHEN order_id % 50 = 0 THEN 203001 WHEN order_id % 50 = 1 THEN NULL WHEN order_id % 50 = 2 THEN NULL
+            ELSE CAST(year(order_date) * 100 + month(order_date) AS INTEGER) END AS ym FROM c_orders
+UNION ALL SELECT -order_id, 'new', NULL FROM c_orders WHERE order_id % 50 = 3""")
+def _(c: Canon) -> DataFrame:
+    """Orders of one month and of none; some move to another month, some lose theirs, some are new in the NULL month."""
+    key, path = F.col("order_id") % 50, scratch_path(c.spark, "merged-orders")
+    month = F.when(key != 2, F.year("order_date") * 100 + F.month("order_date"))
+    base = c.orders().select("order_id", "status", F.lit(1).alias("version"), month.alias("ym"))
+    load_verified(base, path, "ym", ("order_id",))
+    moved = base.where(key == 0).select("order_id", F.lit("moved").alias("status"), F.lit(2).alias("version"), F.lit(203001).alias("ym"))
+    unknown = base.where(key == 1).select("order_id", F.lit("unknown").alias("status"), F.lit(2).alias("version"), F.lit(None).cast("int").alias("ym"))
+    added = base.where(key == 3).select((-F.col("order_id")).alias("order_id"), F.lit("new").alias("status"), F.lit(1).alias("version"), F.lit(None).cast("int").alias("ym"))
+    upsert_partitions(c.spark, path, moved.unionByName(unknown).unionByName(added), ["order_id"], "version", "ym", ("order_id",))
+    return c.spark.read.parquet(path).select("order_id", "status", "ym")
+
+
+@query("views_sql", """
+SELECT r.province, COUNT(*) AS order_cnt, CAST(SUM(f.total_amount) AS DOUBLE) AS gmv, CAST((SELECT COUNT(DISTINCT category) FROM c_products JOIN dws_product ON sku_id = product_id) AS BIGINT) AS categories
+FROM f_order f JOIN c_region r ON f.region_id = r.region_id GROUP BY r.province""")
+def _(c: Canon) -> DataFrame:
+    """Metrics of the built warehouse through its named views."""
+    register_views(_built(c), c.cfg)
+    return shown(c.spark.sql(
+        "SELECT province, order_cnt, gmv, (SELECT COUNT(*) FROM metric_category_share) AS categories FROM metric_gmv_by_region"))

@@ -11,10 +11,11 @@ from strataflow.plans import metrics
 from strataflow.session import scratch_path
 from strataflow.sources import read_file_stream
 from strataflow.streaming import (
+    Continuous,
     bucket_stats_stream,
+    compact,
+    current_rows,
     drain_to_table,
-    last_batch,
-    latest_rows,
     minute_gmv_stream,
     recent_buckets,
     session_stream,
@@ -22,23 +23,31 @@ from strataflow.streaming import (
 )
 
 
+def _events(c: Canon) -> DataFrame:
+    return c.raw("events").select("event_id", "ts", "user_id", F.col("value").cast("decimal(10,2)").alias("amount"))
+
+
 def _arriving(c: Canon) -> DataFrame:
-    schema = c.raw("events").schema
-    stream = read_file_stream(c.spark, f"{c.sf_dir}/events*.parquet", schema)
-    return stream.select("event_id", "ts", "user_id", F.col("value").cast("decimal(10,2)").alias("amount"))
+    """The event table in six files that arrive one per batch, each holding rows of all times."""
+    path = scratch_path(c.spark, "arriving")
+    for part in range(6):
+        _events(c).where(F.pmod(F.xxhash64("event_id"), F.lit(6)) == part).write.mode("append").parquet(path)
+    return read_file_stream(c.spark, path, _events(c).schema, max_files=1)
 
 
-def _drained(c: Canon, stream: DataFrame, label: str, keys: list[str]) -> DataFrame:
+def _drained(c: Canon, table: Continuous, label: str, fold: bool = False) -> DataFrame:
     """Run the stream over everything present and return the table it maintains."""
     path = scratch_path(c.spark, label)
-    drain_to_table(stream, path, scratch_path(c.spark, f"{label}-checkpoint"))
-    return latest_rows(c.spark, path, keys)
+    drain_to_table(table, path, scratch_path(c.spark, f"{label}-checkpoint"))
+    if fold:
+        compact(c.spark, path, table)
+    return current_rows(c.spark, path, table)
 
 
 @query("stream_minute_gmv", """
 SELECT bucket_time, minute_order_count, CAST(minute_gmv AS DOUBLE) AS minute_gmv FROM activity_minute""")
 def _(c: Canon) -> DataFrame:
-    return shown(_drained(c, minute_gmv_stream(_arriving(c), "ts", "amount"), "minute-gmv", ["bucket_time"]))
+    return shown(_drained(c, minute_gmv_stream(_arriving(c), "ts", "amount"), "minute-gmv"))
 
 
 _FIVE = """
@@ -50,7 +59,7 @@ FROM activity GROUP BY 1"""
 @query("stream_5m_stats", _FIVE)
 def _(c: Canon) -> DataFrame:
     stream = bucket_stats_stream(_arriving(c), "ts", "amount", "user_id")
-    return shown(_drained(c, stream, "five-minutes", ["bucket_time"]))
+    return shown(_drained(c, stream, "five-minutes", fold=True))
 
 
 @query("stream_recent", f"""
@@ -58,7 +67,7 @@ SELECT * FROM ({_FIVE}) WHERE bucket_time >= (SELECT MAX(ts) FROM events) - INTE
 def _(c: Canon) -> DataFrame:
     """The last hour of the continuous aggregate, counted back from the newest event."""
     stream = bucket_stats_stream(_arriving(c), "ts", "amount", "user_id")
-    buckets = _drained(c, stream, "recent", ["bucket_time"])
+    buckets = _drained(c, stream, "recent")
     return shown(recent_buckets(buckets, c.raw("events"), "ts"))
 
 
@@ -67,25 +76,41 @@ SELECT s AS window_start, s + INTERVAL 1 HOUR AS window_end, COUNT(*) AS n
 FROM (SELECT time_bucket(INTERVAL 5 MINUTE, ts) - to_minutes(5 * k) AS s FROM events CROSS JOIN generate_series(0, 11) AS g(k))
 GROUP BY s""")
 def _(c: Canon) -> DataFrame:
-    return _drained(c, sliding_stats_stream(_arriving(c), "ts"), "sliding", ["window_start", "window_end"])
+    return _drained(c, sliding_stats_stream(_arriving(c), "ts"), "sliding")
 
 
 @query("stream_session", """
-, marked AS (SELECT user_id, ts, CASE WHEN ts < LAG(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE
+, marked AS (SELECT user_id, ts, CASE WHEN ts <= LAG(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE
                                  THEN 0 ELSE 1 END AS fresh FROM events),
 numbered AS (SELECT user_id, ts, SUM(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM marked)
 SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL 30 MINUTE AS session_end, COUNT(*) AS n
 FROM numbered GROUP BY user_id, s""")
 def _(c: Canon) -> DataFrame:
-    """Sessions grow and merge while open, so the newest complete output is the result."""
-    path = scratch_path(c.spark, "session")
-    stream = session_stream(_arriving(c), "ts", "user_id")
-    drain_to_table(stream, path, scratch_path(c.spark, "session-checkpoint"), mode="complete")
-    return last_batch(c.spark, path)
+    """Sessions of each batch, merged across batches."""
+    return _drained(c, session_stream(_arriving(c), "ts", "user_id"), "session")
 
 
 @query("stream_running_total", "SELECT * FROM activity_running")
 def _(c: Canon) -> DataFrame:
     """A stream cannot hold an ordered running sum; it is taken over the minute table the stream maintains."""
-    minutes = _drained(c, minute_gmv_stream(_arriving(c), "ts", "amount"), "running", ["bucket_time"])
+    minutes = _drained(c, minute_gmv_stream(_arriving(c), "ts", "amount"), "running")
     return shown(metrics.gmv_running_total(minutes))
+
+
+@query("stream_out_of_order", "SELECT COUNT(*) AS rows_in, COUNT(*) AS rows_out, 0 AS rows_lost FROM events")
+def _(c: Canon) -> DataFrame:
+    """Every row of many batches out of time order is in the maintained table."""
+    minutes = _drained(c, minute_gmv_stream(_arriving(c), "ts", "amount"), "unordered")
+    counted = minutes.agg(F.sum("minute_order_count").alias("rows_out"))
+    return counted.select(
+        F.lit(_events(c).count()).alias("rows_in"), "rows_out", (F.lit(_events(c).count()) - F.col("rows_out")).cast("int").alias("rows_lost"))
+
+
+@query("stream_equals_batch", "SELECT COUNT(*) AS minutes, 0 AS different FROM activity_minute")
+def _(c: Canon) -> DataFrame:
+    """The maintained minute table against the same aggregate taken in one batch."""
+    stream = _drained(c, minute_gmv_stream(_arriving(c), "ts", "amount"), "twin", fold=True).withColumnsRenamed(
+        {"bucket_time": "_time", "minute_order_count": "_count", "minute_gmv": "_gmv"})
+    both = c.activity_minutes().join(stream, F.col("bucket_time").eqNullSafe(F.col("_time")), "full")
+    same = F.col("minute_order_count").eqNullSafe(F.col("_count")) & F.col("minute_gmv").eqNullSafe(F.col("_gmv"))
+    return both.agg(F.count(F.lit(1)).alias("minutes"), F.count_if(~same).cast("int").alias("different"))

@@ -58,10 +58,15 @@ def clean(df: DataFrame, rule: CleanRule) -> DataFrame:
     return df.na.drop(subset=list(rule.required)).select(*typed.values())
 
 
+def is_complete(rule: CleanRule) -> Column:
+    """Whether a row has every required column."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in rule.required])
+
+
 def clean_report(tables: Mapping[str, DataFrame], rules: Mapping[str, CleanRule] = CLEAN_RULES) -> DataFrame:
     """(table_name, kept, dropped) per table, each from one pass over its required columns."""
     def one(name: str, df: DataFrame) -> DataFrame:
-        complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in rules[name].required])
+        complete = is_complete(rules[name])
         return df.agg(
             F.count_if(complete).alias("kept"), F.count_if(~complete).alias("dropped")
         ).select(F.lit(name).alias("table_name"), "kept", "dropped")

@@ -73,14 +73,13 @@ def running_total(
         *keys, _CHUNK, *[F.sum(f"_t_{out}").over(before).alias(f"_o_{out}") for out in measures.values()]
     )
     inside = Window.partitionBy(*keys, _CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    zero = F.lit(0)
-    return _carry(rows, offsets, [*keys, _CHUNK]).select(
-        *df.columns,
-        *[
-            (F.coalesce(f"_o_{out}", zero) + F.coalesce(F.sum(m).over(inside), zero)).alias(out)
-            for m, out in measures.items()
-        ],
-    )
+
+    def total(measure: str, out: str) -> Column:
+        """NULL as long as neither side has seen a value."""
+        before_chunk, so_far = F.col(f"_o_{out}"), F.sum(measure).over(inside)
+        return F.coalesce(before_chunk + so_far, before_chunk, so_far).alias(out)
+
+    return _carry(rows, offsets, [*keys, _CHUNK]).select(*df.columns, *[total(m, out) for m, out in measures.items()])
 
 
 def ordinals(
@@ -97,29 +96,35 @@ def ordinals(
     negated column for descending order.
     """
     rows = _chunked(df, order, keys, pieces, None)
-    counts = rows.groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias("_rows"))
+    value = F.col(order[0])
+    inside = Window.partitionBy(*keys, _CHUNK)
+    ranked = rows.withColumn("_rank", F.rank().over(inside.orderBy(order[0]))) if rank else rows.withColumn("_rank", F.lit(0))
+    ends = ranked.groupBy(*keys, _CHUNK).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min(F.struct(value.alias("v"))).alias("_first"),
+        F.max(F.struct(value.alias("v"), F.col("_rank").alias("r"))).alias("_last"))
     per_key = Window.partitionBy(*keys)
     before = per_key.orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = _across_borders(counts, keys).select(
-        *keys, _CHUNK, F.sum("_rows").over(before).alias("_before"), F.sum("_rows").over(per_key).alias("_all")
-    )
-    inside = Window.partitionBy(*keys, _CHUNK)
-    numbered = _carry(rows, offsets, [*keys, _CHUNK]).select(
-        *df.columns,
-        F.coalesce("_all", F.count(F.lit(1)).over(inside)).alias("_all"),
-        (F.coalesce("_before", F.lit(0)) + F.row_number().over(inside.orderBy(*order))).alias("row_no"),
-    )
+    offsets = _across_borders(ends, keys).select(
+        *keys, _CHUNK, F.sum("_rows").over(before).alias("_before"), F.sum("_rows").over(per_key).alias("_all"),
+        F.col("_first.v").alias("_first"), F.col("_last.v").alias("_last"), F.col("_last.r").alias("_last_rank"))
+    if rank:
+        # A value that runs on from earlier chunks has the rank it got in the first of them.
+        starts = offsets.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_last").alias("_v"),
+                                (F.coalesce("_before", F.lit(0)) + F.col("_last_rank")).alias("_r"))
+        starts = starts.groupBy(*[f"_k_{k}" for k in keys], "_v").agg(F.min("_r").alias("_border_rank"))
+        same = reduce(lambda a, b: a & b, [*[F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], F.col("_first").eqNullSafe(F.col("_v"))])
+        offsets = offsets.join(starts, same, "left").drop("_v", *[f"_k_{k}" for k in keys])
+    numbered = _carry(ranked, offsets, [*keys, _CHUNK])
+    earlier = F.coalesce("_before", F.lit(0))
+    columns = [F.col(c) for c in df.columns] + [
+        F.coalesce("_all", F.count(F.lit(1)).over(inside)).alias("_all"), (earlier + F.row_number().over(inside.orderBy(*order))).alias("row_no")]
+    if rank:
+        carried = F.col("_border_rank").isNotNull() & value.eqNullSafe(F.col("_first"))
+        columns.append(F.when(carried, F.col("_border_rank")).otherwise(earlier + F.col("_rank")).alias("rank_no"))
+    numbered = numbered.select(*columns)
     if ntiles is not None:
         numbered = numbered.withColumn("tile", _tile(F.col("row_no"), F.col("_all"), ntiles))
-    numbered = numbered.drop("_all")
-    if not rank:
-        return numbered
-    # The rank of a value is the number of its first row; equal values may lie in several chunks.
-    on = [*keys, order[0]]
-    first = numbered.groupBy(*on).agg(F.min("row_no").alias("rank_no"))
-    right = first.select(*[F.col(c).alias(f"_s_{c}") for c in on], "rank_no")
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in on])
-    return numbered.join(right, same).drop(*[f"_s_{c}" for c in on])
+    return numbered.drop("_all")
 
 
 def _tile(row_no: Column, rows: Column, tiles: int) -> Column:

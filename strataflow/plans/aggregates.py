@@ -161,7 +161,7 @@ def build_all(
     return {
         "daily_gmv": daily_gmv(order_facts, cfg),
         "minute_traffic": minute_traffic(order_facts, cfg),
-        "product_daily_sales": product_daily_sales(details, order_facts, cfg),
+        "product_daily_sales": product_daily_sales(details, None if "status" in details.columns else order_facts, cfg),
         "user_purchase_stats": user_purchase_stats(order_facts, cfg),
         "status_funnel": status_funnel(event_facts),
         "fulfilment_latency": fulfilment_latency(event_facts),

@@ -5,7 +5,9 @@ Shape of the work: everything known at a coarser grain is settled there first
 meet their lines), and the many-per-order inputs are reduced to one row per
 order before any join.  That keeps the joins on ``order_id`` one-to-one, so a
 payment or event recorded twice cannot multiply orders, and an order with a
-huge number of lines or events is combined map-side instead of travelling whole.
+huge number of payments or events is combined map-side instead of travelling
+whole.  Lines need their order's rate before they can be summed; an order with a
+huge number of them is split by adaptive execution in that join.
 No side is force-broadcast: dimensions may grow, and Spark broadcasts by
 measured size and falls back to a shuffle join above its threshold.
 """
@@ -136,10 +138,14 @@ def _lines(items: DataFrame, order_rows: DataFrame, promotions: DataFrame) -> Da
 
 
 def order_detail_fact(
-    items: DataFrame, orders: DataFrame, users: DataFrame, region: DataFrame, promotions: DataFrame
+    items: DataFrame, orders: DataFrame, users: DataFrame, region: DataFrame, promotions: DataFrame, with_status: bool = False,
 ) -> DataFrame:
-    """One row per line; the region joins the orders, which are fewer, before the lines do."""
-    return _lines(items, with_region(order_core(orders), users, region), promotions).drop("status")
+    """One row per line; the region joins the orders, which are fewer, before the lines do.
+
+    ``with_status`` keeps the order's status, which saves the aggregates another join with the orders.
+    """
+    lines = _lines(items, with_region(order_core(orders), users, region), promotions)
+    return lines if with_status else lines.drop("status")
 
 
 def status_event_fact(events: DataFrame, orders: DataFrame) -> DataFrame:

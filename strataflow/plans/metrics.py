@@ -89,13 +89,16 @@ def user_segment(user_stats: DataFrame, cfg: WarehouseConfig = DEFAULT, mode: st
 def gmv_by_region(
     order_facts: DataFrame, region: DataFrame, valid_only: bool = False, cfg: WarehouseConfig = DEFAULT
 ) -> DataFrame:
-    """Orders and amount per province.  All statuses count unless ``valid_only``; unknown places drop out."""
+    """Orders and amount per province.  All statuses count unless ``valid_only``; unknown places drop out.
+
+    The fact has one row per order, which the suite checks, so orders are counted without a distinct.
+    """
     facts = valid_orders(order_facts, cfg) if valid_only else order_facts
     placed = facts.select("region_id", "order_id", "total_amount").join(
         region.select("region_id", "province"), "region_id"
     )
     return placed.groupBy("province").agg(
-        F.count_distinct("order_id").alias("order_cnt"), F.sum("total_amount").alias("gmv")
+        F.count("order_id").alias("order_cnt"), F.sum("total_amount").alias("gmv")
     )
 
 
@@ -158,12 +161,15 @@ def promo_by_date_range(order_facts: DataFrame, promotions: DataFrame) -> DataFr
     """Orders with the promotion whose validity period covers their day.
 
     A range condition would compare every order with every promotion.  Written
-    out day by day, the promotions join on equality and stay shuffle-safe.
+    out day by day, the promotions join on equality and stay shuffle-safe.  Periods are clipped to the days
+    that have orders, so open ends cost nothing; a period that ends before it starts matches no day.
     """
-    valid_days = promotions.select(
-        F.col("promo_id").alias("range_promo_id"), "discount_rate",
-        F.explode(F.sequence("start_date", "end_date", F.expr("INTERVAL 1 DAY"))).alias("order_date"),
-    )
+    days = order_facts.agg(F.min("order_date").alias("low"), F.max("order_date").alias("high"))
+    first = F.greatest(F.col("start_date"), days.select("low").scalar())
+    last = F.least(F.col("end_date"), days.select("high").scalar())
+    periods = promotions.select(F.col("promo_id").alias("range_promo_id"), "discount_rate", first.alias("_first"), last.alias("_last"))
+    valid_days = periods.where("_first <= _last").select(
+        "range_promo_id", "discount_rate", F.explode(F.sequence("_first", "_last", F.expr("INTERVAL 1 DAY"))).alias("order_date"))
     return order_facts.join(valid_days, "order_date", "left")
 
 
@@ -184,7 +190,7 @@ def daily_buyers_by_calendar(order_facts: DataFrame, dates: DataFrame) -> DataFr
 
 
 def rank_products_in_category(product_days: DataFrame, products: DataFrame) -> DataFrame:
-    """Products by revenue within their category, with the next-best revenue; exact for any category size."""
+    """Products by revenue within their category; exact for any category size."""
     per_product = product_days.groupBy("sku_id").agg(F.sum("total_revenue").alias("total_revenue"))
     named = per_product.join(
         products.select(F.col("product_id").alias("sku_id"), "category"), "sku_id"

@@ -39,7 +39,8 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_LOCAL_SCRATCH: dict[str, str] = {}
+# Removed when the process ends.
+_LOCAL_SCRATCH: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -56,8 +57,8 @@ def scratch_root(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     app = context.applicationId
     if app not in _LOCAL_SCRATCH:
-        _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="strataflow-")
-    return _LOCAL_SCRATCH[app]
+        _LOCAL_SCRATCH[app] = tempfile.TemporaryDirectory(prefix="strataflow-")
+    return _LOCAL_SCRATCH[app].name
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

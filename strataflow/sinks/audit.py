@@ -33,7 +33,7 @@ class AuditLog:
         try:
             result = work()
         except Exception as error:
-            self._write(name, "failed", 0, begun, f"{type(error).__name__}: {error}"[:500])
+            self._write(name, "failed", 0, begun, f"{type(error).__name__}: {error}")
             raise
         rows, note = result if isinstance(result, tuple) else (result, "")
         self._write(name, "success", rows, begun, note)

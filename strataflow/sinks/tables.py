@@ -24,8 +24,10 @@ def with_month(df: DataFrame, ts: str, name: str = "ym") -> DataFrame:
 
 def with_key_range(df: DataFrame, key: str, step: int, first: int = 1, name: str = "key_range") -> DataFrame:
     """Integer range partition key: 0 for [first, first+step), 1 for the next range, and so on."""
-    offset = F.col(key) - F.lit(first)
-    return df.withColumn(name, ((offset - F.pmod(offset, F.lit(step))) / F.lit(step)).cast("long"))
+    offset = (F.col(key) - F.lit(first)).cast("long")
+    # Whole-number division of an exact multiple: a double would round keys above 2^53.
+    whole = F.call_function("div", offset - F.pmod(offset, F.lit(step).cast("long")), F.lit(step).cast("long"))
+    return df.withColumn(name, whole)
 
 
 def filter_range(df: DataFrame, ts: str, low: datetime, high: datetime, part: str = "ym") -> DataFrame:

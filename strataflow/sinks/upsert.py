@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,14 +46,36 @@ def upsert_partitions(
 ) -> None:
     """Merge changed rows into a stored table, rewriting only the partitions they fall into.
 
-    A key has to stay in its partition.  The touched partition values, at most as
-    many as the table has partitions, become a filter the scan prunes by.  The merged partitions are settled
-    before the old ones are replaced, so a failure never loses base rows.
+    Touched are the partitions of the changed rows and those where their keys are stored already, so a key that
+    moves leaves its old partition; NULL is a partition like any other.  The merged partitions are settled before the
+    old ones are replaced, so a failure never loses base rows.  Partitions that lose all their rows are removed last.
     """
-    touched = [row[0] for row in delta.select(part).distinct().collect()]
     base = spark.read.parquet(path)
-    merged = settle(
-        upsert_latest(base.where(F.col(part).isin(touched)), delta.select(*base.columns), keys, version), "upsert"
-    )
+    delta = settle(delta.select(*base.columns), "upsert-delta")
+    changed = delta.select(*keys).distinct()
+    homes = _matching(base, changed, keys).select(part)
+    touched = settle(homes.union(delta.select(part)).distinct(), "upsert-touched")
+    merged = settle(upsert_latest(_matching(base, touched, [part]), delta, keys, version), "upsert")
+    left = merged.select(part).distinct()
+    emptied = settle(_matching(touched, left, [part], "left_anti"), "upsert-emptied")
+    # One folder per emptied partition, at most as many as the table has partitions.
+    folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]+$", 1).alias("folder")
+    stale = [row.folder for row in _matching(base.select("*", "_metadata"), emptied, [part]).select(folder).distinct().collect()]
     writer = merged.hint("rebalance", part).sortWithinPartitions(part, *sort).write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+    for name in stale:
+        _remove(spark, name)
+
+
+def _matching(rows: DataFrame, wanted: DataFrame, on: Sequence[str], how: str = "left_semi") -> DataFrame:
+    """Rows whose values are among ``wanted``, NULL equal to NULL."""
+    right = wanted.select(*[F.col(c).alias(f"_w_{c}") for c in on])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_w_{c}")) for c in on])
+    return rows.join(right, same, how)
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder through the file system that holds it."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -26,4 +26,17 @@ def read_bus_stream(spark: SparkSession, servers: str, topic: str, schema: T.Str
         .options(**options)
         .load()
     )
-    return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("record")).select("record.*")
+    return parse_records(raw, schema)
+
+
+def parse_records(raw: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
+    """The fields of JSON records and ``malformed``: the whole text of a record that does not fit, else NULL.
+
+    Nothing is dropped: a malformed record is a row whose text can be counted, stored and read again.
+    """
+    text = F.col(value).cast("string")
+    wanted = T.StructType([*schema.fields, T.StructField("malformed", T.StringType())])
+    parsed = F.from_json(text, wanted, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"})
+    rows = raw.select(text.alias("_text"), parsed.alias("record"))
+    broken = F.when(F.col("record").isNull(), F.col("_text")).otherwise(F.col("malformed"))
+    return rows.select("_text", "record", "record.*").select(*schema.names, broken.alias("malformed"))

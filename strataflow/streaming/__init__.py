@@ -1,8 +1,9 @@
 from strataflow.streaming.continuous import (
+    Continuous,
     bucket_stats_stream,
+    compact,
+    current_rows,
     drain_to_table,
-    last_batch,
-    latest_rows,
     minute_gmv_stream,
     recent_buckets,
     session_stream,
@@ -10,6 +11,6 @@ from strataflow.streaming.continuous import (
 )
 
 __all__ = [
-    "bucket_stats_stream", "drain_to_table", "last_batch", "latest_rows", "minute_gmv_stream", "recent_buckets", "session_stream",
-    "sliding_stats_stream",
+    "Continuous", "bucket_stats_stream", "compact", "current_rows", "drain_to_table", "minute_gmv_stream", "recent_buckets",
+    "session_stream", "sliding_stats_stream",
 ]

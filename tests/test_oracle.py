@@ -4,8 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 import oracle
-
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+from strataflow.catalog import ORACLES as SQL
+from strataflow.catalog import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +18,10 @@ def test_every_query_has_an_oracle():
     assert set(SQL) == set(QUERIES)
 
 
+def test_the_contract_holds_every_query():
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
+
+
 def test_entry_has_rows(spark):
     assert contract.entry(spark).limit(1).count() == 1
 

@@ -37,7 +37,7 @@ def _same(left, right):
 def test_running_total(rows, keys, pieces):
     got = running_total(rows, ["ts", "id"], {"amount": "total"}, keys=keys, pieces=pieces)
     frame = Window.partitionBy(*keys).orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)
-    _same(got, rows.withColumn("total", F.coalesce(F.sum("amount").over(frame), F.lit(0)).cast(got.schema["total"].dataType)))
+    _same(got, rows.withColumn("total", F.sum("amount").over(frame).cast(got.schema["total"].dataType)))
 
 
 @pytest.mark.parametrize("pieces", PIECES)

@@ -3,15 +3,14 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
+from strataflow.catalog import QUERIES
 from strataflow.catalog.canon import Canon
 from strataflow.plans import dims, facts
 from strataflow.session import RUNTIME_SETTINGS, tune
 from strataflow.sinks import save_bucketed
 
-QUERIES = contract.queries()
 WRITERS = {"csv_roundtrip", "strip_crlf", "federated_join", "load_verified", "partition_row_counts", "partitions_touched",
-           "mv_equals_direct"} | {n for n in QUERIES if n.startswith("stream_")}
+           "mv_equals_direct", "warehouse_rows", "warehouse_audit", "layout_saving", "codec_saving", "upsert_partitions", "views_sql"} | {n for n in QUERIES if n.startswith("stream_")}
 
 
 def _plan(df) -> str:

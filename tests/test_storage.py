@@ -112,6 +112,11 @@ def test_key_range_and_bounds(spark):
     assert {r.k for r in out_of_range(keys, "k", 1, 20001).collect()} == {0, 20001, 200000, None}
 
 
+def test_key_ranges_of_large_keys_are_exact(spark):
+    big = 9007199254740994
+    assert [r.key_range for r in with_key_range(spark.createDataFrame([(big,)], "k long"), "k", 1).collect()] == [big - 1]
+
+
 def test_bounds_are_enforced(spark):
     keys = spark.range(1, 10).toDF("k")
     assert assert_in_range(keys, "k", 1, 10) is keys
@@ -132,6 +137,17 @@ def test_partition_upsert_rewrites_only_what_it_touches(spark):
     assert len(rows) == 901 and (rows[1], rows[4], rows[1000]) == ("new", "old", "added")
 
 
+def test_partition_upsert_keeps_null_partitions_and_moves_keys(spark):
+    path = scratch_path(spark, "nulls")
+    rows = "id long, ym int, v string, ver int"
+    base = spark.createDataFrame([(1, None, "a", 1), (2, None, "b", 1), (3, 202401, "c", 1), (5, 202402, "e", 1), (6, 202403, "f", 1)], rows)
+    load_verified(base, path, "ym", ("id",))
+    delta = spark.createDataFrame([(4, None, "d", 1), (3, 202402, "moved", 2), (2, 202403, "placed", 2), (5, 202401, "stale", 0)], rows)
+    upsert_partitions(spark, path, delta, ["id"], "ver", "ym", ("id",))
+    got = sorted((r.id, r.ym, r.v) for r in spark.read.parquet(path).collect())
+    assert got == [(1, None, "a"), (2, 202403, "placed"), (3, 202402, "moved"), (4, None, "d"), (5, 202402, "e"), (6, 202403, "f")]
+
+
 def test_upsert_and_dedupe(spark):
     base = spark.createDataFrame([(1, "a", 1), (2, "b", 5), (3, "c", 1)], "k int, v string, ver int")
     delta = spark.createDataFrame([(1, "A", 2), (2, "old", 4), (3, "C", 1), (4, "D", 1)], "k int, v string, ver int")
@@ -160,6 +176,13 @@ def test_audit_records_failures(spark):
     rows = {r.step: r for r in spark.read.parquet(path).collect()}
     assert (rows["good"].status, rows["good"].rows_processed, rows["good"].log_id, rows["good"].message) == ("success", 7, 1, "dropped: orders 2")
     assert rows["bad"].status == "failed" and "ZeroDivisionError" in rows["bad"].message
+
+    def fails():
+        raise ValueError("x" * 3000)
+
+    with pytest.raises(ValueError):
+        log.step("long", fails)
+    assert "x" * 3000 in spark.read.parquet(path).where("step = 'long'").first().message
     speed = {r.step: r for r in reports.etl_throughput(spark.read.schema(schemas.AUDIT_LOG).parquet(path)).collect()}
     assert (speed["timed"].rows_per_sec, speed["timed"].duration_sec, speed["timed"].duration) == (2000.0, 0.5, "00:00:00")
 

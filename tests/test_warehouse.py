@@ -6,9 +6,12 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from strataflow import verify
 from strataflow.catalog.canon import Canon
 from strataflow.config import WarehouseConfig
+from strataflow.operators import quality
 from strataflow.plans import dims, metrics, warehouse
+from strataflow.plans.views import register_views
 from strataflow.session import scratch_path
 
 
@@ -93,3 +96,43 @@ def test_a_sound_shop_passes_every_check(spark):
         pytest.fail(str(spark.read.parquet(f"{root}/audit/verification").where("NOT passed").collect()))
     log = {r.step: r.status for r in spark.read.parquet(f"{root}/audit/etl_log").collect()}
     assert log["verify"] == "success" and len(log) == 9
+
+
+def test_named_views_answer_sql(spark, house):
+    c, _, built = house
+    names = register_views(built, c.cfg)
+    assert {"daily_gmv", "order_fact", "dim_region", "metric_top_products"} <= set(names)
+    got = spark.sql("SELECT SUM(order_cnt) AS n FROM metric_gmv_by_region").first().n
+    assert got == c.raw("orders").count()
+    assert spark.sql("SELECT * FROM metric_top_products").count() == 10
+
+
+def test_verification_returns_an_exit_status(house, capsys):
+    c, _, built = house
+    assert verify.run(built.spark, built.root, c.cfg) == 1
+    assert "FAIL  headers match lines" in capsys.readouterr().out
+
+
+def test_unmatched_places_drop_out_of_the_province_report(house):
+    c, _, _ = house
+    some = c.region().where("region_id <> 25")
+    facts = c.order_core().join(c.users().select("user_id", "city"), "user_id").join(some.select("region_id", "city"), "city", "left").na.fill(0, ["region_id"])
+    unknown = facts.where("region_id = 0").count()
+    known = metrics.gmv_by_region(facts, some).agg(F.sum("order_cnt")).first()[0]
+    assert unknown and known == facts.count() - unknown
+
+
+def test_gaps_and_orphans_are_found(spark):
+    orders = spark.createDataFrame([(1, "completed"), (2, "cancelled"), (3, "completed"), (4, "paid")], "order_id long, status string")
+    events = spark.createDataFrame([(1, s) for s in ("created", "paid", "shipped", "completed")] + [(2, "created"), (3, "created")], "order_id long, to_status string")
+    assert {r.order_id for r in quality.event_chain_gaps(orders, events).collect()} == {2, 3}
+    items = spark.createDataFrame([(1,), (9,), (9,)], "order_id long")
+    assert [tuple(r) for r in quality.orphan_items(items, orders).collect()] == [(9, 2)]
+
+
+def test_inverted_and_open_promotion_periods(spark):
+    facts = spark.createDataFrame([(1, date(2024, 1, 5)), (2, date(2024, 2, 1))], "order_id long, order_date date")
+    periods = spark.createDataFrame([(1, Decimal("0.10"), date(2024, 1, 9), date(2024, 1, 1)), (2, Decimal("0.20"), date(2024, 1, 20), date(9999, 12, 31))],
+                                    "promo_id int, discount_rate decimal(3,2), start_date date, end_date date")
+    got = {r.order_id: r.range_promo_id for r in metrics.promo_by_date_range(facts, periods).collect()}
+    assert got == {1: None, 2: 2}
