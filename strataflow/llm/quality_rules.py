@@ -80,11 +80,11 @@ def _measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat([docs[["host", "row", "key"]], found], axis=1)
 
 
-def boilerplate(lines: DataFrame, least_docs: int = LEAST_DOCS, share: float = SHARE) -> DataFrame:
-    """(host, line) above the limits; ``lines`` holds (host, key, line), one row or more per document and line."""
+def boilerplate(lines: DataFrame, totals: DataFrame, least_docs: int = LEAST_DOCS, share: float = SHARE) -> DataFrame:
+    """(host, line) above both limits; ``lines`` holds (host, key, line), one row or more per document and line, ``totals`` (host, host_docs)."""
     once = lines.select("host", "key", "line").distinct()
-    counts = once.groupBy("host", "line").agg(F.count("*").alias("docs"))
-    return counts.where(F.col("docs") > least_docs).select("host", "line", "docs")
+    counts = once.groupBy("host", "line").agg(F.count("*").alias("docs")).where(F.col("docs") > least_docs)
+    return counts.join(totals, "host").where(F.col("docs") > F.lit(share) * F.col("host_docs")).select("host", "line")
 
 
 def quality(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source",
@@ -103,7 +103,7 @@ def quality(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str
     found = settle(rows.mapInPandas(_measured, out).withColumn("key", F.col("key").cast("long")), "quality-counts")
     lines = found.select("host", "key", "row", F.explode("lines").alias("at")).select("host", "key", "row", "at.line", "at.words")
     totals = found.groupBy("host").agg(F.count("*").alias("host_docs"))
-    common = boilerplate(lines, least_docs).join(totals, "host").where(F.col("docs") > F.lit(share) * F.col("host_docs")).select("host", "line")
+    common = boilerplate(lines, totals, least_docs, share)
     # A document that stands in the table twice has its lines twice; distinct leaves one of each.
     lost = lines.join(common, ["host", "line"]).distinct().groupBy("key", "row", "host").agg(F.sum("words").alias("lost")).select(
         F.col("key").alias("__key"), F.col("row").alias("__row"), F.col("host").alias("__host"), "lost")

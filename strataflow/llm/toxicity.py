@@ -230,14 +230,19 @@ def candidates(sample: DataFrame, terms: int) -> list[str]:
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, steps: int = 25) -> tuple[np.ndarray, float]:
-    """Weights and bias of a ridge-penalised logistic regression, by Newton steps."""
+    """Weights and bias of a ridge-penalised logistic regression, by Newton steps.
+
+    A rarer label counts for more, by the root of how much rarer it is, or few toxic rows would be outvoted.
+    """
     design = np.column_stack([x, np.ones(len(x))])
+    part = np.where(y > 0, (y <= 0).mean(), (y > 0).mean()) ** 0.5
+    part /= part.mean()
     beta, penalty = np.zeros(design.shape[1]), np.full(design.shape[1], ridge)
     penalty[-1] = 1e-6
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        hessian = (design * (p * (1 - p))[:, None]).T @ design + np.diag(penalty)
-        move = np.linalg.solve(hessian, design.T @ (y - p) - penalty * beta)
+        hessian = (design * (part * p * (1 - p))[:, None]).T @ design + np.diag(penalty)
+        move = np.linalg.solve(hessian, design.T @ (part * (y - p)) - penalty * beta)
         beta += np.clip(move, -4, 4)
         if np.abs(move).max() < 1e-6:
             break

@@ -6,14 +6,16 @@ on until a level lets nothing through.  A key's membership is the parity of the
 are arrays of 64-bit words, made by grouped bit-or, so a lookup is a few bit tests in generated code and pages are
 neither joined nor shuffled.  DataFrame functions only.
 
-Size: level 1 has ``log2(unlisted / listed) / ln 2`` bits per listed key or so, later ones two bits or fewer per key they encode.  The whole
-cascade is held to ``max_bytes``; a longer list raises and has to be split by key hash into several cascades.
+Size: level 1 has ``log2(unlisted / listed) / ln 2`` bits per listed key or so, later ones two bits or fewer per key they encode.  A
+cascade is held to ``max_bytes``, checked before each level is made.  A longer list is split by key hash into several
+cascades, each within the bound, and the pages of each part are judged by their own.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,6 +112,7 @@ def cascade(universe: DataFrame, max_bytes: int = 64 << 20) -> Cascade:
     if not n_in:
         return Cascade(())
     while n_in:
+        # The share of the other keys that level 1 may let through.
         rate = min(0.5, math.sqrt(0.5) * n_in / n_out) if number == 1 and n_out else 0.5
         used += math.ceil(max(64.0, n_in * math.log(1 / rate) / math.log(2) ** 2) / 8)
         if used > max_bytes:
@@ -122,8 +125,30 @@ def cascade(universe: DataFrame, max_bytes: int = 64 << 20) -> Cascade:
     return Cascade(tuple(levels))
 
 
-def judge(pages: DataFrame, listed: Cascade, url: str = "url", key: str = "page_id", rules=RULES) -> DataFrame:
-    """page_id, host, path, rule, verdict.  Null urls and urls without ``://`` have an empty host and path."""
+def part_of(key: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(F.coalesce(key.cast("string"), F.lit("")), F.lit("part")), F.lit(parts)).cast("int")
+
+
+def cascades(universe: DataFrame, max_bytes: int = 64 << 20) -> list[Cascade]:
+    """As many cascades as keep each within ``max_bytes``: number p serves the keys whose ``part_of`` is p."""
+    size = universe.agg(F.count("*").alias("n"), F.count_if(F.col("listed")).alias("listed")).first()
+    # Rows count at least as often as keys, so this is no less than what is needed but for chance, which the third covers.
+    odds = max(2.0, (size.n - size.listed) / max(1, size.listed))
+    needed = size.listed * ((math.log2(odds) + 0.5) / math.log(2) + 5) / 8
+    parts = max(1, math.ceil(needed * 4 / 3 / max_bytes))
+    return [cascade(universe if parts == 1 else universe.where(part_of(F.col("key"), parts) == p), max_bytes) for p in range(parts)]
+
+
+def judge(pages: DataFrame, listed: Cascade | list[Cascade], url: str = "url", key: str = "page_id", rules=RULES) -> DataFrame:
+    """page_id, host, path, rule, verdict.  Null urls and urls without ``://`` have an empty host and path.
+
+    With several cascades the urls are read once for each, and every row is judged by one.
+    """
+    if isinstance(listed, list):
+        if len(listed) > 1:
+            at = part_of(host_of(F.col(url)), len(listed))
+            return reduce(DataFrame.unionAll, [judge(pages.where(at == p), one, url, key, rules) for p, one in enumerate(listed)])
+        listed = listed[0]
     parts = pages.select(F.col(key).alias("page_id"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     rule, verdict = matched_rule(F.col("host"), F.col("path"), rules)
     method = F.when(listed.member(F.col("host")), F.lit("block")).otherwise(F.lit("allow"))
@@ -147,7 +172,7 @@ def host_list(pages: DataFrame, url: str = "url", least: int = 3) -> DataFrame:
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url by the contract's rules, else by the cascade over the hosts of all pages."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return judge(pages, cascade(host_list(pages)))
+    return judge(pages, cascades(host_list(pages)))
 
 
 OP8_SQL = r"""

@@ -377,6 +377,12 @@ def test_cascade_is_exact_on_its_universe(spark):
         assert keys.limit(50).where(flat.member(F.col("key")) != F.lit(every)).count() == 0
     with pytest.raises(ValueError):
         urlfilter.cascade(keys, max_bytes=100)
+    split = urlfilter.cascades(keys, max_bytes=1500)
+    assert len(split) > 1 and all(c.bytes <= 1500 for c in split)
+    pages = keys.select("key", "listed", F.concat(F.lit("http://"), "key", F.lit(".net/x")).alias("url"), F.monotonically_increasing_id().alias("page_id"))
+    whole = urlfilter.cascades(pages.select(urlfilter.host_of(F.col("url")).alias("key"), "listed"), max_bytes=1500)
+    judged = urlfilter.judge(pages, whole).join(pages.select("page_id", "listed"), "page_id")
+    assert judged.count() == keys.count() and judged.where((F.col("verdict") == "block") != F.col("listed")).count() == 0
 
 
 def test_rules_and_parts(spark):
