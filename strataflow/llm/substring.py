@@ -32,18 +32,40 @@ from strataflow.session import settle
 
 WINDOW, KMER = 50, 10
 CHUNK = 1 << 16  # windows looked at together when nodes are chosen
+PLACE = np.uint64((1 << 20) - 1)  # bits that hold a k-mer's place among those looked at together
 # Two odd multipliers give two independent rolling hashes.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = pow(base, -1, 1 << 64)
-    up, down = np.empty(n + 1, dtype=np.uint64), np.empty(n + 1, dtype=np.uint64)
-    for out, step in ((up, base), (down, inverse)):
-        out[0], out[1:] = 1, np.uint64(step)
-        np.multiply.accumulate(out, out=out)
-    return up, down
+class _Powers:
+    """Powers of a base and of its inverse, as many as the longest text so far has needed."""
+
+    def __init__(self, base: int):
+        self.steps = np.uint64(base), np.uint64(pow(base, -1, 1 << 64))
+        self.up = self.down = np.ones(1, dtype=np.uint64)
+
+    def reach(self, n: int) -> None:
+        if n >= len(self.up):
+            self.up, self.down = (self._grown(step, max(n + 1, 1 << 12)) for step in self.steps)
+
+    @staticmethod
+    def _grown(step: np.uint64, n: int) -> np.ndarray:
+        out = np.full(n, step)
+        out[0] = 1
+        return np.multiply.accumulate(out)
+
+
+class _WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        out = self[word] = xxhash.xxh64_intdigest(word)
+        return out
+
+
+_POWERS = [_Powers(base) for base in BASES]
+_HASHES = _WordHashes()
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -57,38 +79,35 @@ class Rolling:
 
     def __init__(self, words: list[bytes]):
         self.n = len(words)
-        marks = np.array([xxhash.xxh64_intdigest(w) for w in words], dtype=np.uint64)
-        self.sums, self.down = [], []
-        for base in BASES:
-            up, down = _powers(base, self.n)
-            total = np.zeros(self.n + 1, dtype=np.uint64)
-            np.cumsum(marks * up[:-1], out=total[1:])
-            self.sums.append(total)
-            self.down.append(down)
+        self.marks = np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=self.n)
+        self.sums: dict[int, np.ndarray] = {}
 
     def spans(self, start: np.ndarray, stop: np.ndarray, which: int) -> np.ndarray:
-        total, down = self.sums[which], self.down[which]
-        return _mixed((total[stop] - total[start]) * down[start] + (stop - start).astype(np.uint64))
-
-    def nodes(self) -> np.ndarray:
-        """Positions of the k-mers that are smallest in some window, the leftmost of equals."""
+        powers = _POWERS[which]
+        if which not in self.sums:
+            powers.reach(self.n)
+            self.sums[which] = np.zeros(self.n + 1, dtype=np.uint64)
+            np.cumsum(self.marks * powers.up[:self.n], out=self.sums[which][1:])
+        total = self.sums[which]
+        return _mixed((total[stop] - total[start]) * powers.down[start] + (stop - start).astype(np.uint64))
+
+    def smallest(self) -> np.ndarray:
+        """For each window the place of its smallest k-mer, the leftmost of equals.
+
+        A k-mer is ranked by the upper bits of its hash; its place fills the lower ones, so a running minimum finds both.
+        """
         at = np.arange(self.n - KMER + 1)
-        kmers, width = self.spans(at, at + KMER, 0), WINDOW - KMER + 1
-        found = []
+        kmers, width = self.spans(at, at + KMER, 0) & ~PLACE, WINDOW - KMER + 1
+        best = []
         for first in range(0, len(kmers) - width + 1, CHUNK):
             part = kmers[first:first + CHUNK + width - 1]
-            found.append(np.unique(np.lib.stride_tricks.sliding_window_view(part, width).argmin(axis=1) + np.arange(len(part) - width + 1)) + first)
-        return np.unique(np.concatenate(found))
-
-    def node_of_window(self, nodes: np.ndarray) -> np.ndarray:
-        """For each window the index in ``nodes`` of its smallest k-mer."""
-        at = np.arange(self.n - KMER + 1)
-        kmers, width = self.spans(at, at + KMER, 0), WINDOW - KMER + 1
-        best = np.empty(len(kmers) - width + 1, dtype=np.int64)
-        for first in range(0, len(best), CHUNK):
-            part = kmers[first:first + CHUNK + width - 1]
-            best[first:first + CHUNK] = np.lib.stride_tricks.sliding_window_view(part, width).argmin(axis=1) + np.arange(len(part) - width + 1) + first
-        return np.searchsorted(nodes, best)
+            low, span = part | np.arange(len(part), dtype=np.uint64), 1
+            while 2 * span <= width:
+                low, span = np.minimum(low[:-span], low[span:]), 2 * span
+            if span < width:
+                low = np.minimum(low[:span - width], low[width - span:])
+            best.append((low & PLACE).astype(np.int64) + first)
+        return np.concatenate(best)
 
 
 def _signed(h: np.ndarray) -> np.ndarray:
@@ -120,7 +139,7 @@ def _node_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if len(words) < WINDOW:
                 continue
             roll = Rolling(words)
-            at = roll.nodes()
+            at = np.unique(roll.smallest())
             # An edge reaches from one node's start to the next one's end; the first and last reach the document's ends.
             right = np.append(roll.spans(at[:-1], at[1:] + KMER, 0), roll.spans(at[-1:], np.array([roll.n]), 0) ^ END)
             left = np.insert(right[:-1], 0, roll.spans(np.array([0]), at[:1] + KMER, 0)[0] ^ START)
@@ -149,14 +168,15 @@ def _unsettled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def of(docs: pd.DataFrame) -> Iterator[pd.DataFrame]:
         for doc, row, text, marks in zip(docs["doc_id"], docs["row"], docs["body"], docs["marks"]):
             roll = Rolling(text.split())
-            nodes = roll.nodes()
+            best = roll.smallest()
+            nodes = np.unique(best)
             at = np.searchsorted(nodes, np.array([m["pos"] for m in marks]))
             flags = {name: np.zeros(len(nodes), dtype=bool) for name in ("shared", "earlier", "one_out", "one_in")}
             flags["shared"][at] = True
             for name in ("earlier", "one_out", "one_in"):
                 flags[name][at] = [m[name] for m in marks]
             right, left = _reaches(roll, nodes, flags["one_out"], flags["one_in"])
-            starts, node = np.arange(roll.n - WINDOW + 1), roll.node_of_window(nodes)
+            starts, node = np.arange(roll.n - WINDOW + 1), np.searchsorted(nodes, best)
             inside = flags["shared"][node] & (left[node] <= starts) & (starts + WINDOW <= right[node])
             decided = starts[inside & flags["earlier"][node]]
             if len(decided):
