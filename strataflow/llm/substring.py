@@ -119,21 +119,28 @@ def _digest(h: np.ndarray) -> np.ndarray:
     return (h & np.uint64(0x7FFFFFFF)).astype(np.int32)
 
 
-def _in_parts(frames: Iterator[pd.DataFrame], rows: int = 1 << 15) -> Iterator[pd.DataFrame]:
-    """Small frames put together up to about ``rows``, so that a batch of long texts is not held whole."""
+def _in_parts(columns: Iterator[dict], rows: int = 1 << 15) -> Iterator[pd.DataFrame]:
+    """Columns of many documents put together up to about ``rows``; a column is an array or one value for all its rows.
+
+    One frame for many documents, as a frame costs more than most documents do; and not one for a whole batch of long texts.
+    """
     held, size = [], 0
-    for frame in frames:
-        held.append(frame)
-        size += len(frame)
+
+    def whole() -> pd.DataFrame:
+        return pd.DataFrame({name: np.concatenate([np.broadcast_to(c[name], c["start"].shape) for c in held]) for name in held[0]})
+
+    for part in columns:
+        held.append(part)
+        size += len(part["start"])
         if size >= rows:
-            yield pd.concat(held, ignore_index=True)
+            yield whole()
             held, size = [], 0
     if held:
-        yield pd.concat(held, ignore_index=True)
+        yield whole()
 
 
 def _node_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    def of(docs: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    def of(docs: pd.DataFrame) -> Iterator[dict]:
         for doc, row, text in zip(docs["doc_id"], docs["row"], docs["body"]):
             words = text.split()
             if len(words) < WINDOW:
@@ -143,9 +150,9 @@ def _node_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             # An edge reaches from one node's start to the next one's end; the first and last reach the document's ends.
             right = np.append(roll.spans(at[:-1], at[1:] + KMER, 0), roll.spans(at[-1:], np.array([roll.n]), 0) ^ END)
             left = np.insert(right[:-1], 0, roll.spans(np.array([0]), at[:1] + KMER, 0)[0] ^ START)
-            yield pd.DataFrame({
-                "doc_id": doc, "row": row, "pos": at, "node": _signed(roll.spans(at, at + KMER, 0)),
-                "check": _digest(roll.spans(at, at + KMER, 1)), "out_edge": _signed(right), "in_edge": _signed(left)})
+            yield {
+                "doc_id": doc, "row": row, "start": at, "node": _signed(roll.spans(at, at + KMER, 0)),
+                "check": _digest(roll.spans(at, at + KMER, 1)), "out_edge": _signed(right), "in_edge": _signed(left)}
 
     for docs in batches:
         yield from _in_parts(of(docs))
@@ -165,12 +172,12 @@ def _reaches(roll: Rolling, nodes: np.ndarray, one_out: np.ndarray, one_in: np.n
 
 def _unsettled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Runs that a compacted path decides, with check -1, and single windows still to be looked up."""
-    def of(docs: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    def of(docs: pd.DataFrame) -> Iterator[dict]:
         for doc, row, text, marks in zip(docs["doc_id"], docs["row"], docs["body"], docs["marks"]):
             roll = Rolling(text.split())
             best = roll.smallest()
             nodes = np.unique(best)
-            at = np.searchsorted(nodes, np.array([m["pos"] for m in marks]))
+            at = np.searchsorted(nodes, np.array([m["start"] for m in marks]))
             flags = {name: np.zeros(len(nodes), dtype=bool) for name in ("shared", "earlier", "one_out", "one_in")}
             flags["shared"][at] = True
             for name in ("earlier", "one_out", "one_in"):
@@ -184,12 +191,12 @@ def _unsettled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 first, last = decided[np.insert(cut + 1, 0, 0)], decided[np.append(cut, len(decided) - 1)]
                 # Their keys meet no window's and are spread, so that these rows do not meet in one task.
                 spread = _mixed(first.astype(np.uint64) ^ np.uint64(row & (1 << 64) - 1))
-                yield pd.DataFrame({"doc_id": doc, "row": row, "start": first, "length": last - first + WINDOW, "window": _signed(spread), "check": -1})
+                yield {"doc_id": doc, "row": row, "start": first, "length": last - first + WINDOW, "window": _signed(spread), "check": -1}
             single = starts[flags["shared"][node] & ~inside]
             if len(single):
-                yield pd.DataFrame({
+                yield {
                     "doc_id": doc, "row": row, "start": single, "length": WINDOW,
-                    "window": _signed(roll.spans(single, single + WINDOW, 0)), "check": _digest(roll.spans(single, single + WINDOW, 1))})
+                    "window": _signed(roll.spans(single, single + WINDOW, 0)), "check": _digest(roll.spans(single, single + WINDOW, 1))}
 
     for docs in batches:
         yield from _in_parts(of(docs))
@@ -219,18 +226,18 @@ def repeated_spans(base: DataFrame) -> DataFrame:
     """(doc_id, row, spans) for documents with words to remove; ``base`` holds (doc_id, row, body, ...), no null doc_id."""
     nodes = settle(
         base.select("doc_id", "row", "body").mapInPandas(
-            _node_rows, "doc_id long, row long, pos int, node long, check int, out_edge long, in_edge long"), "kmer-nodes")
+            _node_rows, "doc_id long, row long, start int, node long, check int, out_edge long, in_edge long"), "kmer-nodes")
     # An edge is unbranched only if all occurrences agree; where digests differ, windows are looked up one by one.
     known = settle(nodes.groupBy("node").agg(
-        F.min(F.struct("doc_id", "pos", "check")).alias("source"), F.max("doc_id").alias("last"),
+        F.min(F.struct("doc_id", "start", "check")).alias("source"), F.max("doc_id").alias("last"),
         (F.min("out_edge") == F.max("out_edge")).alias("one_out"), (F.min("in_edge") == F.max("in_edge")).alias("one_in"),
         (F.min("check") == F.max("check")).alias("sound"),
     ).where("source.doc_id < last").select(
         "node", F.col("source.doc_id").alias("source_doc"), F.col("source.check").alias("source_check"),
         (F.col("one_out") & F.col("sound")).alias("one_out"), (F.col("one_in") & F.col("sound")).alias("one_in")), "kmer-shared")
     earlier = (F.col("source_doc") < F.col("doc_id")) & (F.col("check") == F.col("source_check"))
-    marks = nodes.select("doc_id", "row", "pos", "node", "check").join(known, "node").groupBy("doc_id", "row").agg(
-        F.collect_list(F.struct("pos", earlier.alias("earlier"), "one_out", "one_in")).alias("marks"))
+    marks = nodes.select("doc_id", "row", "start", "node", "check").join(known, "node").groupBy("doc_id", "row").agg(
+        F.collect_list(F.struct("start", earlier.alias("earlier"), "one_out", "one_in")).alias("marks"))
     rows = base.join(marks, ["doc_id", "row"]).mapInPandas(
         _unsettled, "doc_id long, row long, start int, length int, window long, check int")
     # Joined by another hash of the key than the one it was grouped by: the join then has a shuffle of its own on either side, which
