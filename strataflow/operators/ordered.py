@@ -14,7 +14,8 @@ every border cuts at most one key, so the summary holds at most two rows per
 chunk: a proven size, and therefore broadcast.
 
 Where few rows per calendar unit are known beforehand (minutes of a day, days of
-a year), the caller passes that unit as the chunk and the plan stays lazy.
+a year), the caller passes that unit as the chunk and the plan stays lazy.  Spark then
+chooses how to join the summary, which has one row per unit.
 """
 
 from __future__ import annotations
@@ -50,11 +51,11 @@ def _across_borders(summary: DataFrame, keys: Sequence[str]) -> DataFrame:
     return summary.withColumn("_chunks", chunks).where(F.col("_chunks") > 1).drop("_chunks")
 
 
-def _carry(df: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
-    """Join a bounded summary to the rows, NULL keys included."""
+def _carry(df: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left", bounded: bool = True) -> DataFrame:
+    """Join a summary to the rows, NULL keys included; broadcast only if its size is proven."""
     right = small.select(*[F.col(c).alias(f"_s_{c}") if c in on else F.col(c) for c in small.columns])
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in on])
-    return df.join(F.broadcast(right), same, how).drop(*[f"_s_{c}" for c in on])
+    return df.join(F.broadcast(right) if bounded else right, same, how).drop(*[f"_s_{c}" for c in on])
 
 
 def running_total(
@@ -79,7 +80,8 @@ def running_total(
         before_chunk, so_far = F.col(f"_o_{out}"), F.sum(measure).over(inside)
         return F.coalesce(before_chunk + so_far, before_chunk, so_far).alias(out)
 
-    return _carry(rows, offsets, [*keys, _CHUNK]).select(*df.columns, *[total(m, out) for m, out in measures.items()])
+    carried = _carry(rows, offsets, [*keys, _CHUNK], bounded=chunk is None)
+    return carried.select(*df.columns, *[total(m, out) for m, out in measures.items()])
 
 
 def ordinals(
@@ -143,27 +145,23 @@ def _with_halo(
 ) -> DataFrame:
     """The rows of each (key, chunk) plus copies of the ``reach`` rows that precede them, flagged ``_halo``."""
     rows = _chunked(df, order, keys, pieces, chunk).withColumn("_halo", F.lit(False))
-    carried = list(dict.fromkeys([*order, measure]))
-    crossing = rows.select(*keys, _CHUNK, *[c for c in carried if c not in keys])
-    if keys:
-        # Only keys cut by a border lend rows to their next chunk: at most one per border.
-        present = rows.select(*keys, _CHUNK).distinct()
-        cut = _across_borders(present, keys).select(*keys).distinct()
-        crossing = _carry(crossing, cut, keys, "left_semi")
+    bounded, width = chunk is None, max(reach, 1)
+    lent = [c for c in dict.fromkeys([*order, measure]) if c not in keys]
+    # Only keys cut by a border lend rows to their next chunks: at most one per border.
+    sizes = _across_borders(rows.groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias("_n")), keys)
+    before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    # The last rows of every chunk, numbered through the whole key from 0.
     latest = Window.partitionBy(*keys, _CHUNK).orderBy(*[F.col(c).desc() for c in order])
-    tails = (
-        crossing.withColumn("_rn", F.row_number().over(latest)).where(F.col("_rn") <= reach)
-        .groupBy(*keys, _CHUNK)
-        .agg(F.sort_array(F.collect_list(F.struct(*carried))).alias("_tail"))
-    )
-    earlier = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(-reach, -1)
-    halo = (
-        tails.withColumn("_previous", F.flatten(F.collect_list("_tail").over(earlier)))
-        .select(*keys, _CHUNK, F.explode(
-            F.expr(f"slice(_previous, greatest(size(_previous) - {reach - 1}, 1), {reach})")).alias("_row"))
-        .select(*keys, _CHUNK, *[F.col(f"_row.{c}").alias(c) for c in carried if c not in keys], F.lit(True).alias("_halo"))
-    )
-    return rows.unionByName(halo, allowMissingColumns=True)
+    crossing = _carry(rows.select(*keys, _CHUNK, *lent), starts, [*keys, _CHUNK], "inner", bounded)
+    tails = crossing.withColumn("_rn", F.row_number().over(latest)).where(F.col("_rn") <= reach).select(
+        *keys, *lent, (F.col("_start") + F.col("_n") - F.col("_rn")).alias("_at"))
+    # A chunk wants the numbers just below its first.  They lie in one or two spans of ``reach`` numbers, so the join is on equality.
+    spans = F.array_distinct(F.array(*[F.floor((F.col("_start") - back) / width) for back in (width, 1)]))
+    wanted = starts.where("_start > 0").select(*keys, _CHUNK, "_start", F.explode(spans).alias("_span"))
+    found = _carry(tails.withColumn("_span", F.floor(F.col("_at") / width)), wanted, [*keys, "_span"], "inner", bounded)
+    halo = found.where((F.col("_at") < F.col("_start")) & (F.col("_at") >= F.col("_start") - reach))
+    return rows.unionByName(halo.select(*keys, _CHUNK, *lent, F.lit(True).alias("_halo")), allowMissingColumns=True)
 
 
 def moving_average(

@@ -77,6 +77,23 @@ def test_lagged(rows, keys, offset, pieces):
     _same(got, rows.withColumn("previous", F.lag("id", offset).over(Window.partitionBy(*keys).orderBy("ts", "id"))))
 
 
+@pytest.mark.parametrize("pieces", [2, 40])
+def test_frame_longer_than_most_chunks(rows, pieces):
+    got = moving_average(rows, ["ts", "id"], "amount", 1000, pieces=pieces)
+    frame = Window.orderBy("ts", "id").rowsBetween(-999, 0)
+    _same(got, rows.withColumn("moving_avg", F.try_divide(F.sum("amount").over(frame).cast("double"), F.count("amount").over(frame).cast("double"))))
+
+
+def test_long_frame_on_a_calendar_chunk(rows):
+    got = lagged(rows, ["ts", "id"], "id", offset=700, chunk=F.date_trunc("hour", "ts"))
+    _same(got, rows.withColumn("previous", F.lag("id", 700).over(Window.orderBy("ts", "id"))))
+
+
+def test_frame_of_one_row(rows):
+    got = moving_average(rows, ["ts", "id"], "amount", 1, pieces=7)
+    _same(got, rows.withColumn("moving_avg", F.col("amount").cast("double")))
+
+
 def test_empty_input(rows):
     none = rows.where("id < 0")
     assert running_total(none, ["ts", "id"], {"amount": "t"}).count() == 0
