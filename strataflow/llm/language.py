@@ -33,8 +33,9 @@ NO_LETTER = re.compile(r"[\W\d_]+")
 
 
 def letters(text: str | None) -> str:
-    """Lower-cased letters; every run of anything else is one space."""
-    return NO_LETTER.sub(" ", text.lower()).strip() if text else ""
+    """Lower-cased letters; every run of anything else is one space.  Number signs alone, such as a raised two, are no text."""
+    found = NO_LETTER.sub(" ", text.lower()).strip() if text else ""
+    return found if any(map(str.isalpha, found)) else ""
 
 
 def suffix_automaton(text: list[int]) -> np.ndarray:

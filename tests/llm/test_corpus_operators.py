@@ -313,6 +313,10 @@ def test_language_on_the_given_documents_and_odd_rows(spark, sf_dir, docs, none)
     assert language.identify(none, model).count() == 0
 
 
+def test_number_signs_are_no_letters():
+    assert [language.letters(t) for t in ("12 \u00b2 \u00bd _", "x\u00b2", "\u00d1\u00d8 1", None)] == ["", "x\u00b2", "\u00f1\u00f8", ""]
+
+
 # 7 packing
 
 def test_fast_ids_equal_the_tokenizer_s():
