@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,12 +45,18 @@ def read_jdbc(spark: SparkSession, url: str, table: str, **options) -> DataFrame
 def extract_all(
     spark: SparkSession,
     url: str,
-    bounds: Mapping[str, tuple[int, int]] | None = None,
-    partitions: int = 1,
+    bounds: Mapping[str, tuple[int, int]],
+    partitions: int = 32,
+    whole: Collection[str] = (),
     **extra: str,
 ) -> dict[str, DataFrame]:
-    """The six operational tables as lazy frames; tables with known key bounds are read in parallel."""
-    bounds = bounds or {}
+    """The six operational tables as lazy frames, each read by ranges of its key.
+
+    A table without bounds would pass through one task, so it raises unless ``whole`` names it as small enough for that.
+    """
+    unbounded = [table for table in schemas.KEYS if table not in bounds and table not in whole]
+    if unbounded:
+        raise ValueError(f"no key bounds for {', '.join(unbounded)}")
     frames = {}
     for table, keys in schemas.KEYS.items():
         split = {"part_col": keys[0], "bounds": bounds[table], "partitions": partitions} if table in bounds else {}

@@ -26,7 +26,7 @@ from strataflow.sinks import (
     with_month,
 )
 from strataflow.session import scratch_path, scratch_root
-from strataflow.sources import jdbc_options, read_csv, replicate, row_counts
+from strataflow.sources import extract_all, jdbc_options, read_csv, replicate, row_counts
 
 
 @pytest.fixture(scope="module")
@@ -226,3 +226,8 @@ def test_row_counts_and_replicate(spark):
 def test_scratch_follows_the_session_setting(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_an_extract_needs_bounds_or_a_table_named_as_small(spark):
+    with pytest.raises(ValueError, match="payments"):
+        extract_all(spark, "jdbc:x", {"orders": (1, 9)}, whole=("users", "products", "order_items", "order_status_events"))
