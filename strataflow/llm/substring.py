@@ -2,15 +2,15 @@
 
 Corpus text is read as a De Bruijn graph whose nodes are sampled 10-word k-mers.  In every window of 50 words the k-mer
 with the smallest hash is a node, so whoever holds a window holds its node at the same place, while only about one k-mer in
-21 is kept.  An edge is the span of words between consecutive nodes of a document, known by its hash.
+21 is kept.  An edge is the span of words from one node of a document to the next, both included, known by another hash than nodes are.
 
 1. Nodes in several documents are kept; joining their occurrences with what all occurrences have in common marks the edges
    that do not branch.  Along them a document's path compacts: every window inside a compacted path is the same wherever
    its node occurs, so one source, the smallest document at the node, decides the whole run.
 2. Windows that a branch or an end keeps out of the compacted paths are looked up one by one: the smallest document
    of each window, again by a join.
-3. Source coordinates verify each claim: an occurrence counts as a repeat only if the span digest that it carries,
-   made of another hash than its key, equals that at the source's position.
+3. Each claim is verified at its source: nodes and windows meet by one hash, and an occurrence counts as a repeat only if what it
+   carries of a second hash (the edges around a node, the digest of a window) equals that at the source's position.
 
 Only hashes and positions are shuffled for the search; the texts are shuffled once, by document, and read twice from there.
 Counts are combined before their shuffles, and joins on a hot node or window are split by adaptive execution.
@@ -148,11 +148,12 @@ def _node_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             roll = Rolling(words)
             at = np.unique(roll.smallest())
             # An edge reaches from one node's start to the next one's end; the first and last reach the document's ends.
-            right = np.append(roll.spans(at[:-1], at[1:] + KMER, 0), roll.spans(at[-1:], np.array([roll.n]), 0) ^ END)
-            left = np.insert(right[:-1], 0, roll.spans(np.array([0]), at[:1] + KMER, 0)[0] ^ START)
+            # Edges cover their nodes by the second hash, so nodes whose keys collide have edges that differ.
+            right = np.append(roll.spans(at[:-1], at[1:] + KMER, 1), roll.spans(at[-1:], np.array([roll.n]), 1) ^ END)
+            left = np.insert(right[:-1], 0, roll.spans(np.array([0]), at[:1] + KMER, 1)[0] ^ START)
             yield {
                 "doc_id": doc, "row": row, "start": at, "node": _signed(roll.spans(at, at + KMER, 0)),
-                "check": _digest(roll.spans(at, at + KMER, 1)), "out_edge": _signed(right), "in_edge": _signed(left)}
+                "out_edge": _signed(right), "in_edge": _signed(left)}
 
     for docs in batches:
         yield from _in_parts(of(docs))
@@ -226,17 +227,15 @@ def repeated_spans(base: DataFrame) -> DataFrame:
     """(doc_id, row, spans) for documents with words to remove; ``base`` holds (doc_id, row, body, ...), no null doc_id."""
     nodes = settle(
         base.select("doc_id", "row", "body").mapInPandas(
-            _node_rows, "doc_id long, row long, start int, node long, check int, out_edge long, in_edge long"), "kmer-nodes")
-    # An edge is unbranched only if all occurrences agree; where digests differ, windows are looked up one by one.
+            _node_rows, "doc_id long, row long, start int, node long, out_edge long, in_edge long"), "kmer-nodes")
+    # An edge is unbranched only if all occurrences agree, the source's among them; windows beyond such edges are looked up one by one.
+    # Smallest and largest numbers alone: Spark combines them in place, without sorting and without wider rows.
     known = settle(nodes.groupBy("node").agg(
-        F.min(F.struct("doc_id", "start", "check")).alias("source"), F.max("doc_id").alias("last"),
+        F.min("doc_id").alias("source_doc"), F.max("doc_id").alias("last"),
         (F.min("out_edge") == F.max("out_edge")).alias("one_out"), (F.min("in_edge") == F.max("in_edge")).alias("one_in"),
-        (F.min("check") == F.max("check")).alias("sound"),
-    ).where("source.doc_id < last").select(
-        "node", F.col("source.doc_id").alias("source_doc"), F.col("source.check").alias("source_check"),
-        (F.col("one_out") & F.col("sound")).alias("one_out"), (F.col("one_in") & F.col("sound")).alias("one_in")), "kmer-shared")
-    earlier = (F.col("source_doc") < F.col("doc_id")) & (F.col("check") == F.col("source_check"))
-    marks = nodes.select("doc_id", "row", "start", "node", "check").join(known, "node").groupBy("doc_id", "row").agg(
+    ).where("source_doc < last").drop("last"), "kmer-shared")
+    earlier = F.col("source_doc") < F.col("doc_id")
+    marks = nodes.select("doc_id", "row", "start", "node").join(known, "node").groupBy("doc_id", "row").agg(
         F.collect_list(F.struct("start", earlier.alias("earlier"), "one_out", "one_in")).alias("marks"))
     rows = base.join(marks, ["doc_id", "row"]).mapInPandas(
         _unsettled, "doc_id long, row long, start int, length int, window long, check int")
