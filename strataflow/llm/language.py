@@ -170,7 +170,7 @@ def fit(docs: DataFrame, learnable, key: str = "doc_id", text: str = "text", lan
     """Learns from rows where ``learnable`` holds and lang is not null.
 
     About ``sample_docs`` documents per language, drawn by a hash of the id at a rate that follows the language's size, ``doc_chars``
-    characters of each and ``sample_chars`` of all; more languages than ``max_languages`` raise.
+    characters of each and ``sample_chars`` of all; more languages than ``max_languages`` raise.  Rows that repeat an id count once.
     """
     named = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & learnable)
     # One number per language, and then about sample_docs short strings per language, reach the driver.
@@ -183,7 +183,8 @@ def fit(docs: DataFrame, learnable, key: str = "doc_id", text: str = "text", lan
     rate = F.lit(0.0)
     for r in sizes:
         rate = F.when(F.col(lang) == r.lang, F.lit(sample_docs / r.n)).otherwise(rate)
-    drawn = named.where(mixed < rate).select(F.col(lang).cast("string").alias("lang"), mixed.alias("h"), F.substring(F.col(text), 1, 8 * doc_chars).alias("t"))
+    drawn = named.where(mixed < rate).groupBy(F.col(lang).cast("string").alias("lang"), mixed.alias("h")).agg(
+        F.min(F.substring(F.col(text), 1, 8 * doc_chars)).alias("t"))
     samples: dict[str, list[str]] = {}
     seen: set[tuple[str, str]] = set()
     for r in sorted(drawn.collect(), key=lambda r: (r.lang, r.h, r.t)):

@@ -191,7 +191,10 @@ def presence(text: str) -> set[str]:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, learnable, sample_docs: int = SAMPLE_DOCS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, text, toxic) of at most about ``sample_docs`` labelled rows, chosen by a hash of the id."""
+    """(key, text, toxic) of at most about ``sample_docs`` labelled rows, chosen by a hash of the id.
+
+    Rows that repeat an id count once, by the smallest of their texts, so an id of many rows doesn't widen the sample.
+    """
     marks = labels.where(F.col("toxic").isNotNull() & F.col(key).isNotNull() & learnable).groupBy(F.col(key).alias("key")).agg(F.max("toxic").alias("toxic"))
     marks = settle(marks, "labels")
     share = min(1.0, sample_docs / max(1, marks.count()))
@@ -199,7 +202,7 @@ def labelled(docs: DataFrame, labels: DataFrame, learnable, sample_docs: int = S
     # At most about sample_docs rows of two numbers, whatever the size of the label table.
     few = F.broadcast(marks.where(spread < share))
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    return rows.join(few, "key")
+    return rows.join(few, "key").groupBy("key", "toxic").agg(F.min("text").alias("text"))
 
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

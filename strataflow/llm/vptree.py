@@ -124,14 +124,15 @@ def neighbours(vectors: DataFrame, is_query, k: int = 20, relax: float = RELAX,
     Vectors of another length than the query's are no candidates; a row with the query's id is its own.  Rows that repeat
     id and vector count once.  An empty table gives an empty result.
     """
-    rows = settle(usable(vectors, key, vector), "vectors")
-    asked = rows.where(is_query(F.col("vec_id"))).distinct()
+    # Repeated rows are combined before anything else, so shards are even however often an id stands in the table.
+    rows = settle(usable(vectors, key, vector).distinct(), "vectors")
+    asked = rows.where(is_query(F.col("vec_id")))
     # Sizes per vector length: a handful of numbers that set how many shards and blocks there are.
     sizes = rows.groupBy("dim").agg(F.count("*").alias("n"), F.sum(is_query(F.col("vec_id")).cast("long")).alias("asked")).select(
         "dim", F.ceil(F.col("n") * F.col("dim") / float(values)).cast("int").alias("shards"),
         F.ceil(F.col("asked") * F.col("dim") / float(values)).cast("int").alias("blocks"))
     sizes = settle(sizes.where("blocks > 0"), "vector-sizes")
-    deal = lambda n, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.col(n)).cast("int")
+    deal = lambda n, salt: F.pmod(F.xxhash64("vec_id", "vector", F.lit(salt)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = rows.join(sizes, "dim").select("dim", deal("shards", 1).alias("shard"), every("blocks").alias("block"), "vec_id", "vector")
     right = asked.join(sizes, "dim").select(

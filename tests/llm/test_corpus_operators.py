@@ -232,6 +232,18 @@ def test_toxicity_learns_from_the_right_rows_and_spares_the_clean(spark, docs, n
     assert toxicity.learnt(frame, flipped).terms == model.terms
 
 
+def test_an_id_of_many_rows_does_not_widen_the_samples(spark):
+    rows = [(7, prose(n, 30)) for n in range(500)] + [(n, prose(n, 30)) for n in range(600, 620)]
+    frame = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    marks = spark.createDataFrame([(i, i % 2) for i in [7, *range(600, 620)]], "doc_id long, toxic int")
+    drawn = toxicity.labelled(frame, marks, F.lit(True)).collect()
+    assert sorted(r.key for r in drawn) == [7, *range(600, 620)]
+    assert {r.text for r in drawn if r.key == 7} == {min(t for i, t in rows if i == 7)}
+    one, many = (language.fit(f, F.lit(True), sample_docs=10_000, sample_chars=10**6) for f in (frame.where("doc_id <> 7"), frame))
+    # One more text of at most 200 letters with its end mark.
+    assert one.bits[0] < many.bits[0] <= np.log2(2 ** one.bits[0] + 201)
+
+
 # 5 nearest neighbours
 
 def test_factor_one_is_exact_with_ties_and_odd_vectors(spark):
@@ -249,6 +261,9 @@ def test_factor_one_is_exact_with_ties_and_odd_vectors(spark):
         want = sorted((-sum(a * b for a, b in zip(seen[q], v)), i) for i, v in seen.items() if i != q and len(v) == len(seen[q]))[:20]
         assert sorted(got.pop(q)) == [(n + 1, i, -s) for n, (s, i) in enumerate(want)]
     assert not got
+    several = spark.createDataFrame([(1, [float(n), 1.0]) for n in range(200)] * 2 + [(20, [1.0, 0.0])], "vec_id long, embedding array<double>")
+    found = vptree.neighbours(several, lambda i: i == 20, k=5, relax=1.0, values=40).collect()
+    assert sorted((r.rank, r.vec_id, r.score) for r in found) == [(n, 1, 200.0 - n) for n in range(1, 6)]
     assert vptree.neighbours(frame.limit(0), lambda i: i % 20 == 0).count() == 0
 
 
