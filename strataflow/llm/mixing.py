@@ -3,7 +3,9 @@
 Documents are summed into cells (source, language, topic).  Raking scales the cells' token weights to the target share
 of each source, then of each language, then of each topic, and again, until the marginals agree.  The ratio of a cell's raked
 weight to its own mass, over the largest such ratio, is the probability with which its documents are drawn, so expected tokens follow
-the targets and no document is needed twice.  The draw is a hash of the document id: a task that runs again draws alike.
+the targets and no document is needed twice.  Where a rare cell's ratio would so thin out the whole corpus below a budget of tokens,
+the divisor is lowered until the budget is met: cells above 1 are kept whole, the others still follow the targets among themselves.
+The draw is a hash of the document id: a task that runs again draws alike.
 
 Cells are sums, so a hot source is one row per language and topic before anything is shuffled or joined.  DataFrame functions only.
 """
@@ -22,6 +24,8 @@ DIMENSIONS = ("source", "lang", "topic")
 # Target share of a value: its share of all tokens to this power, scaled to one.  Below 1 lifts the rare values.
 FLATTEN = {"source": 0.7, "lang": 0.85, "topic": 1.0}
 SWEEPS = 6
+# At least this share of all tokens is drawn, however rare the rarest cell is.
+BUDGET = 0.6
 NONE = "(none)"
 
 
@@ -72,6 +76,26 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], sweeps: int = SWEEP
     return now.drop(*[f"__{name}" for name in targets])
 
 
+def divisor(raked: DataFrame, budget: float = BUDGET) -> float:
+    """What ratios of weight to mass are divided by: the largest, or what draws ``budget`` of all mass with probabilities limited to 1.
+
+    The drawn mass is a concave, piecewise linear function of 1 / divisor, so Newton's steps from the largest ratio rise to
+    the budget without passing it.  Only sums reach the driver.
+    """
+    ratio = F.col("weight") / F.col("mass")
+    base = raked.agg(F.max(ratio)).first()[0]
+    while base:
+        whole = ratio >= base
+        at = raked.agg(
+            F.sum("mass").alias("all"), F.sum(F.when(whole, F.col("mass")).otherwise(0)).alias("whole"),
+            F.sum(F.when(whole, 0.0).otherwise(F.col("weight"))).alias("rest")).first()
+        wanted = budget * at["all"] - at["whole"]
+        if not at["rest"] or at["rest"] / base >= wanted * (1 - 1e-9):
+            break
+        base = at["rest"] / wanted
+    return base or 1.0
+
+
 def described(docs: DataFrame, text: str = "text", topic: Column | None = None) -> DataFrame:
     """The rows with dimensions and tokens in columns of their own, so that columns of the input may have any names."""
     value = {"source": F.col("source"), "lang": F.col("lang"), "topic": topic if topic is not None else topic_of(F.col(text))}
@@ -80,16 +104,17 @@ def described(docs: DataFrame, text: str = "text", topic: Column | None = None)
         *[F.coalesce(value[d].cast("string"), F.lit(NONE)).alias(d) for d in DIMENSIONS], tokens_of(F.col(text)).alias("tokens"))
 
 
-def calibrated(docs: DataFrame, power: Mapping[str, float] = FLATTEN, sweeps: int = SWEEPS, rate: float = 1.0) -> DataFrame:
+def calibrated(docs: DataFrame, power: Mapping[str, float] = FLATTEN, sweeps: int = SWEEPS, rate: float = 1.0,
+               budget: float = BUDGET) -> DataFrame:
     """(row, source, lang, topic, tokens, probability).  Null dimensions are a value of their own, ``(none)``.
 
-    An empty table gives an empty result; rows that repeat are weighed each.
+    The expected tokens are at least ``budget`` of all, times ``rate``.  An empty table gives an empty result; rows that repeat are weighed each.
     """
     marked = described(docs)
     cells = settle(marked.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("mass")), "mix-cells")
     raked = rake(cells, {d: flattened(cells, d, power[d]) for d in DIMENSIONS}, sweeps)
     ratio = F.col("weight") / F.col("mass")
-    chances = raked.select(*DIMENSIONS, (F.lit(rate) * ratio / raked.agg(F.max(ratio)).scalar()).alias("probability"))
+    chances = raked.select(*DIMENSIONS, (F.lit(rate) * F.least(F.lit(1.0), ratio / divisor(raked, budget))).alias("probability"))
     return marked.join(chances, list(DIMENSIONS))
 
 

@@ -498,3 +498,16 @@ def test_drawn_documents_follow_their_probability(spark, docs, none):
         assert abs(found - expected) <= 5 * max(1.0, (cell["probability"] * (1 - cell["probability"])).sum() ** 0.5)
     assert mixing.sample(docs).schema == docs.schema and mixing.calibrated(docs).count() == docs.count()
     assert mixing.sample(none).count() == 0
+
+
+def test_a_stray_source_does_not_thin_out_the_corpus(spark):
+    texts = {n: prose(n, 100) for n in range(50)}
+    rows = [(n, texts[n % 50], ("en", "de")[n % 2], f"s{n % 4}") for n in range(4000)]
+    frame = spark.createDataFrame([*rows, (4000, "one stray word", "en", "stray"), (4001, "and one", None, None)], "doc_id long, text string, lang string, source string")
+    chances = mixing.calibrated(frame).select("row.doc_id", "tokens", "probability").toPandas()
+    kept = (chances["tokens"] * chances["probability"]).sum() / chances["tokens"].sum()
+    assert abs(kept - mixing.BUDGET) < 1e-6 and chances["probability"].max() == 1.0
+    assert (chances[chances["doc_id"] >= 4000]["probability"] == 1.0).all()
+    assert mixing.sample(frame).count() > 2200
+    even = mixing.calibrated(spark.createDataFrame(rows, frame.schema)).agg(F.min("probability")).first()[0]
+    assert even > 0.99
