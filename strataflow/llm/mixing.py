@@ -12,7 +12,10 @@ Cells are sums, so a hot source is one row per language and topic before anythin
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import warnings
+from collections import deque
+from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +26,10 @@ from strataflow.session import settle
 DIMENSIONS = ("source", "lang", "topic")
 # Target share of a value: its share of all tokens to this power, scaled to one.  Below 1 lifts the rare values.
 FLATTEN = {"source": 0.7, "lang": 0.85, "topic": 1.0}
-SWEEPS = 6
+# Raking makes SWEEPS sweeps at least and goes on until every marginal is within TOLERANCE of its target, relative to the target.
+SWEEPS, TOLERANCE = 6, 0.005
+# Targets that the cells cannot meet together show by an error that falls by less than a hundredth in so many sweeps.
+STALLED = 10
 # At least this share of all tokens is drawn, however rare the rarest cell is.
 BUDGET = 0.6
 NONE = "(none)"
@@ -58,21 +64,40 @@ def flattened(cells: DataFrame, dimension: str, power: float) -> DataFrame:
     return lifted.select(dimension, (F.col("lifted") / lifted.agg(F.sum("lifted")).scalar()).alias("share"))
 
 
-def rake(cells: DataFrame, targets: Mapping[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
+def misfit(now: DataFrame, dimensions: Iterable[str]) -> float:
+    """The largest relative error of a value's weight against its target, which ``now`` holds as ``__`` and the dimension's name."""
+    errors = [
+        now.groupBy(name).agg(F.sum("weight").alias("weight"), F.max(f"__{name}").alias("share")).where("share > 0")
+        .select(F.abs(F.col("weight") / F.col("share") - 1).alias("error")) for name in dimensions]
+    return reduce(DataFrame.union, errors).agg(F.max("error")).first()[0] or 0.0
+
+
+def rake(cells: DataFrame, targets: Mapping[str, DataFrame], sweeps: int = SWEEPS, tolerance: float = TOLERANCE) -> DataFrame:
     """Cells with ``weight``: the mass scaled to the target share of every dimension.
 
-    ``targets`` holds (dimension, share) by dimension; a value without a target gets weight 0.  The dimension raked
-    last fits exactly, the others as far as the cells that have mass allow.
+    ``targets`` holds (dimension, share) by dimension; a value without a target gets weight 0.  After ``sweeps`` sweeps
+    raking goes on until every target is met within ``tolerance``.  Targets that the cells with mass cannot meet together
+    give a warning with the error that is left; the dimension raked last then fits exactly.
     """
     now = cells.withColumn("weight", F.col("mass").cast("double"))
     for name, shares in targets.items():
         now = now.join(shares.select(F.col(name), F.col("share").alias(f"__{name}")), name, "left")
     now = settle(now.na.fill(0.0, [f"__{name}" for name in targets]), "mix-cells")
-    for _ in range(sweeps):
+    errors, done = deque(maxlen=STALLED + 1), 0
+    while True:
         for name in targets:
             margin = now.groupBy(name).agg(F.sum("weight").alias("__margin"))
             scaled = F.when(F.col("__margin") > 0, F.col("weight") * F.col(f"__{name}") / F.col("__margin")).otherwise(F.lit(0.0))
             now = settle(now.join(margin, name).withColumn("weight", scaled).drop("__margin"), "mix-cells")
+        done += 1
+        if done < sweeps:
+            continue
+        errors.append(misfit(now, targets))
+        if errors[-1] <= tolerance:
+            break
+        if len(errors) > STALLED and errors[-1] > 0.99 * errors[0]:
+            warnings.warn(f"mixing targets cannot be met: a marginal is off by {errors[-1]:.1%} after {done} sweeps", stacklevel=2)
+            break
     return now.drop(*[f"__{name}" for name in targets])
 
 

@@ -511,3 +511,32 @@ def test_a_stray_source_does_not_thin_out_the_corpus(spark):
     assert mixing.sample(frame).count() > 2200
     even = mixing.calibrated(spark.createDataFrame(rows, frame.schema)).agg(F.min("probability")).first()[0]
     assert even > 0.99
+
+
+def correlated(spark, aligned: float):
+    """Six sources, each nearly one language, and three topics."""
+    cells = []
+    for s in range(6):
+        for lang in range(3):
+            for n, t in enumerate("xyz"):
+                share = aligned if lang == s % 3 else (1 - aligned) / 2
+                cells.append((f"s{s}", f"l{lang}", t, int(1e6 * share * (s + 1) ** 2 * (n + 1))))
+    return spark.createDataFrame(cells, "source string, lang string, topic string, mass long")
+
+
+def test_raking_goes_on_until_correlated_cells_meet_the_targets(spark):
+    frame = correlated(spark, 0.95)
+    targets = {d: mixing.flattened(frame, d, mixing.FLATTEN[d]) for d in mixing.DIMENSIONS}
+    got = mixing.rake(frame, targets).toPandas()
+    for d in mixing.DIMENSIONS:
+        shares = {r[d]: r.share for r in targets[d].collect()}
+        for value, weight in got.groupby(d)["weight"].sum().items():
+            assert abs(weight / shares[value] - 1) <= mixing.TOLERANCE
+
+
+def test_raking_reports_targets_that_cannot_be_met(spark):
+    frame = spark.createDataFrame([("a", "en", "x", 100), ("b", "de", "x", 100)], "source string, lang string, topic string, mass long")
+    want = {"source": dict(a=.7, b=.3), "lang": dict(en=.5, de=.5), "topic": dict(x=1.0)}
+    targets = {d: spark.createDataFrame(list(v.items()), f"{d} string, share double") for d, v in want.items()}
+    with pytest.warns(UserWarning, match="cannot be met"):
+        assert mixing.rake(frame, targets).count() == 2
