@@ -4,8 +4,9 @@ A suffix automaton per language holds every substring of a sample of its labelle
 into longest matches: each phrase is as long as the sample allows.  Text in the sample's language needs few phrases; the language with the
 fewest, times the bits that name a place in its sample, wins.
 
-Automata are tables of next states.  A task parses many blocks of text in step, all languages at once, one table
-lookup per character.  Blocks are 1,024 characters of a text and every character of every text is in one, so long
+Automata are tables of next states for the commonest letters and sorted lists of steps for all others, so every letter of the samples
+counts, in any number of scripts.  A task parses many blocks of text in step, up to 64 languages at once, one table
+lookup per common letter and one search per other letter.  Blocks are 1,024 characters of a text and every character of every text is in one, so long
 texts are spread over many blocks instead of holding up a batch.
 """
 
@@ -27,8 +28,11 @@ FOLDS, HELD = 4, 2
 UNDETERMINED = "und"
 # The bounded sample: about so many documents per language, chosen by a hash of the id, so many characters of each, and so many in all.
 SAMPLE_DOCS, DOC_CHARS, SAMPLE_CHARS = 200, 200, 16_000
-MAX_LANGUAGES = 64
-ALPHABET, BLOCK = 64, 1024
+# Languages parsed at once; more are parsed group by group.
+GROUP = 64
+# Codes that have a column in the tables, at most, and cells of all tables together; steps by other codes are searched.
+ALPHABET, CELLS = 64, 1 << 24
+BLOCK = 1024
 NO_LETTER = re.compile(r"[\W\d_]+")
 
 
@@ -38,8 +42,8 @@ def letters(text: str | None) -> str:
     return found if any(map(str.isalpha, found)) else ""
 
 
-def suffix_automaton(text: list[int]) -> np.ndarray:
-    """Next-state table, -1 where no substring goes on.  State 0 is the start."""
+def automaton(text: list[int]) -> list[dict[int, int]]:
+    """The next state by letter of every state.  State 0 is the start."""
     after: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
     last = 0
@@ -66,51 +70,84 @@ def suffix_automaton(text: list[int]) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = twin
         last = new
-    out = np.full((len(after), ALPHABET), -1, dtype=np.int32)
-    for state, row in enumerate(after):
-        for c, target in row.items():
-            out[state, c] = target
+    return after
+
+
+def steps_of(after: list[dict[int, int]]) -> np.ndarray:
+    """(state, letter, next state) of every step, by state and letter."""
+    return np.array([(state, c, row[c]) for state, row in enumerate(after) for c in sorted(row)], dtype=np.int64).reshape(-1, 3)
+
+
+def suffix_automaton(text: list[int], width: int = ALPHABET) -> np.ndarray:
+    """Next-state table for letters below ``width``, -1 where no substring goes on."""
+    after = automaton(text)
+    return table_of(steps_of(after), len(after), width)
+
+
+def table_of(steps: np.ndarray, states: int, width: int) -> np.ndarray:
+    out = np.full((states, width), -1, dtype=np.int32)
+    near = steps[steps[:, 1] < width]
+    out[near[:, 0], near[:, 1]] = near[:, 2]
     return out
 
 
 @dataclass(frozen=True)
 class Model:
     languages: list[str]
-    chars: dict[str, int]  # letter -> code from 2; 0 is any other, 1 ends a sample text
-    tables: np.ndarray  # the languages' tables below each other
+    chars: dict[str, int]  # letter -> code from 2; 0 is any letter of no sample, 1 ends a sample text
+    tables: np.ndarray  # the languages' tables below each other, for the codes that have a column
+    keys: np.ndarray  # state and code of the other steps as one sorted number, and
+    targets: np.ndarray  # the states they lead to
     roots: np.ndarray
     bits: np.ndarray  # to name a place in each sample
 
     @staticmethod
-    def fit(samples: dict[str, list[str]]) -> Model:
+    def fit(samples: dict[str, list[str]], alphabet: int = ALPHABET, cells: int = CELLS) -> Model:
         languages = sorted(samples)
         common = Counter(c for texts in samples.values() for t in texts for c in t).most_common()
-        chars = {c: n + 2 for n, (c, _) in enumerate(sorted(common, key=lambda x: (-x[1], x[0]))[:ALPHABET - 2])}
-        tables, roots, bits, at = [], [], [], 0
+        chars = {c: n + 2 for n, (c, _) in enumerate(sorted(common, key=lambda x: (-x[1], x[0])))}
+        steps, roots, bits, at = [np.empty((0, 3), dtype=np.int64)], [], [], 0
         for name in languages:
-            codes = [c for t in samples[name] for c in [*(chars.get(x, 0) for x in t), 1]]
-            own = suffix_automaton(codes)
-            own[:, :2] = -1  # neither an unknown letter nor the end of a text is matched
-            tables.append(np.where(own >= 0, own + at, -1).astype(np.int32))
+            codes = [c for t in samples[name] for c in [*(chars[x] for x in t), 1]]
+            after = automaton(codes)
+            own = steps_of(after)
+            steps.append(own[own[:, 1] > 1] + [at, 0, at])  # the end of a text is not matched
             roots.append(at)
             bits.append(math.log2(len(codes) + 2))
-            at += len(own)
-        whole = np.concatenate(tables) if tables else np.full((1, ALPHABET), -1, dtype=np.int32)
-        return Model(languages, chars, whole, np.array(roots, dtype=np.int64), np.array(bits))
+            at += len(after)
+        whole, states = np.concatenate(steps), max(at, 1)
+        width = max(2, min(alphabet, cells // states))
+        far = whole[whole[:, 1] >= width]
+        return Model(
+            languages, chars, table_of(whole, states, width), far[:, 0] * (len(chars) + 2) + far[:, 1], far[:, 2].astype(np.int32),
+            np.array(roots, dtype=np.int64), np.array(bits))
 
     def codes(self, text: str) -> np.ndarray:
-        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        return self._lookup()[np.minimum(points, 0xFFFF)]
+        points, known = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4"), self._lookup()
+        return known[np.minimum(points, len(known) - 1)]
 
     def _lookup(self) -> np.ndarray:
         if "_codes" not in self.__dict__:
-            out = np.zeros(0x10000, dtype=np.uint8)
+            # The last place is for all letters beyond.
+            out = np.zeros(max(map(ord, self.chars), default=0) + 2, dtype=np.min_scalar_type(len(self.chars) + 1))
             for c, n in self.chars.items():
-                if ord(c) < 0xFFFF:
-                    out[ord(c)] = n
+                out[ord(c)] = n
             self.__dict__["_codes"] = out
         return self.__dict__["_codes"]
 
+    def _next(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """The states, one row per language, after one more code per column; -1 where no substring goes on."""
+        width = self.tables.shape[1]
+        if len(self.keys) == 0 and len(self.chars) + 2 <= width:
+            return self.tables.ravel()[state * width + c]
+        out = self.tables.ravel()[state * width + np.minimum(c, width - 1)]
+        far = np.flatnonzero(c >= width)
+        if len(far):
+            key = state[:, far] * (len(self.chars) + 2) + c[far]
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            out[:, far] = np.where(self.keys[at] == key, self.targets[at], -1)
+        return out
+
     def phrases(self, texts: list[str]) -> np.ndarray:
         """(texts, languages): phrases of each text's blocks against each language."""
         blocks, owner = [], []
@@ -124,27 +161,32 @@ class Model:
             return total
         order = np.argsort([-len(b) for b in blocks], kind="stable")
         lengths = np.array([len(blocks[i]) for i in order])
-        padded = np.zeros((int(lengths[0]), len(blocks)), dtype=np.uint8)
+        padded = np.zeros((int(lengths[0]), len(blocks)), dtype=self._lookup().dtype)
         for column, i in enumerate(order):
             padded[:len(blocks[i]), column] = blocks[i]
-        flat, roots = self.tables.ravel(), self.roots[:, None]
-        state = np.repeat(roots, len(blocks), axis=1)
+        running = np.searchsorted(-lengths, -np.arange(len(padded)), side="left")
+        for first in range(0, len(self.roots), GROUP):
+            counts = self._parsed(padded, running, self.roots[first:first + GROUP, None])
+            np.add.at(total[:, first:first + GROUP], np.array(owner)[order], counts.T)
+        return total
+
+    def _parsed(self, padded: np.ndarray, running: np.ndarray, roots: np.ndarray) -> np.ndarray:
+        """Phrases of every block, a column, against the languages that start at ``roots``."""
+        state = np.repeat(roots, padded.shape[1], axis=1)
         counts = np.zeros(state.shape)
-        started = flat[roots * ALPHABET + np.arange(ALPHABET)]
+        codes = np.arange(len(self.chars) + 2)
+        started = self._next(np.repeat(roots, len(codes), axis=1), codes)
         started = np.where(started < 0, roots, started)
-        running = np.searchsorted(-lengths, -np.arange(len(padded)), side="left")
         for t, m in enumerate(running):
             c = padded[t, :m]
-            ahead = flat[state[:, :m] * ALPHABET + c]
+            ahead = self._next(state[:, :m], c)
             miss = ahead < 0
             again = started[:, c]
             # A miss ends the phrase under way, if there is one; a letter that no phrase starts with is one of its own.
             counts[:, :m] += miss & (state[:, :m] != roots)
             counts[:, :m] += miss & (again == roots)
             state[:, :m] = np.where(miss, again, ahead)
-        counts += state != roots
-        np.add.at(total, np.array(owner)[order], counts.T)
-        return total
+        return counts + (state != roots)
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         """Language and score of normalised texts; the score compares the winner's entropy with the runner-up's, 0.5 for a tie."""
@@ -166,25 +208,20 @@ class Model:
 
 
 def fit(docs: DataFrame, learnable, key: str = "doc_id", text: str = "text", lang: str = "lang", sample_docs: int = SAMPLE_DOCS,
-        doc_chars: int = DOC_CHARS, sample_chars: int = SAMPLE_CHARS, max_languages: int = MAX_LANGUAGES) -> Model:
+        doc_chars: int = DOC_CHARS, sample_chars: int = SAMPLE_CHARS) -> Model:
     """Learns from rows where ``learnable`` holds and lang is not null.
 
     About ``sample_docs`` documents per language, drawn by a hash of the id at a rate that follows the language's size, ``doc_chars``
-    characters of each and ``sample_chars`` of all; more languages than ``max_languages`` raise.  Rows that repeat an id count once.
+    characters of each and ``sample_chars`` of all, for any number of languages.  Rows that repeat an id count once.
     """
     named = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & learnable)
-    # One number per language, and then about sample_docs short strings per language, reach the driver.
-    sizes = named.groupBy(F.col(lang).cast("string").alias("lang")).agg(F.count("*").alias("n")).limit(max_languages + 1).collect()
-    if len(sizes) > max_languages:
-        raise ValueError(f"over {max_languages} languages")
-    if not sizes:
-        return Model.fit({})
-    mixed = F.xxhash64(F.col(key), F.lit("language")) / 2.0 ** 64 + 0.5
-    rate = F.lit(0.0)
-    for r in sizes:
-        rate = F.when(F.col(lang) == r.lang, F.lit(sample_docs / r.n)).otherwise(rate)
-    drawn = named.where(mixed < rate).groupBy(F.col(lang).cast("string").alias("lang"), mixed.alias("h")).agg(
-        F.min(F.substring(F.col(text), 1, 8 * doc_chars)).alias("t"))
+    named = named.select(F.col(lang).cast("string").alias("lang"), F.col(key).alias("key"), F.col(text).alias("text"))
+    # One number per language, as few as the automata every task holds.
+    rates = F.broadcast(named.groupBy("lang").agg((F.lit(sample_docs) / F.count("*")).alias("rate")))
+    mixed = F.xxhash64("key", F.lit("language")) / 2.0 ** 64 + 0.5
+    # About sample_docs short strings per language reach the driver.
+    drawn = named.join(rates, "lang").where(mixed < F.col("rate")).groupBy("lang", mixed.alias("h")).agg(
+        F.min(F.substring("text", 1, 8 * doc_chars)).alias("t"))
     samples: dict[str, list[str]] = {}
     seen: set[tuple[str, str]] = set()
     for r in sorted(drawn.collect(), key=lambda r: (r.lang, r.h, r.t)):

@@ -314,6 +314,29 @@ def test_phrases_are_longest_matches():
             assert model.phrases([text])[0, column] == count
 
 
+def test_every_letter_of_every_script_counts():
+    rng, letters = random.Random(4), {"a": 0x61, "b": 0x430, "c": 0x4E00, "d": 0x5E00, "e": 0x20000}
+    texts = {n: ["".join(chr(at + rng.randrange(25 if at < 0x500 else 300)) for _ in range(600))] for n, at in letters.items()}
+    for cells in (language.CELLS, 1):
+        model = language.Model.fit(texts, cells=cells)
+        for name, (sample,) in texts.items():
+            assert model.predict([sample[100:200]])[0] == [name]
+            text, at, count = sample[40:90] + sample[7:30] + sample[300:301] + chr(0x3B1), 0, 0
+            while at < len(text):
+                size = 1
+                while text[at] in sample and at + size < len(text) and text[at:at + size + 1] in sample:
+                    size += 1
+                at, count = at + size, count + 1
+            assert model.phrases([text])[0, sorted(texts).index(name)] == count
+
+
+def test_more_languages_than_are_parsed_at_once(spark):
+    rows = [(n, prose(n % 70, 30), f"l{n % 70:02}") for n in range(140)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert len(model.languages) == 70 > language.GROUP
+    assert model.predict([language.letters(prose(n, 30)[:150]) for n in (3, 69)])[0] == ["l03", "l69"]
+
+
 def test_language_on_the_given_documents_and_odd_rows(spark, sf_dir, docs, none):
     given = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = language.fit(given, common.fold_remainder(F.col("doc_id"), 4) != 2)
