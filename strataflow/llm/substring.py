@@ -235,8 +235,10 @@ def repeated_spans(base: DataFrame) -> DataFrame:
         (F.min("out_edge") == F.max("out_edge")).alias("one_out"), (F.min("in_edge") == F.max("in_edge")).alias("one_in"),
     ).where("source_doc < last").drop("last"), "kmer-shared")
     earlier = F.col("source_doc") < F.col("doc_id")
+    # Rows that repeat id and text have the same nodes and spans; sets, combined before their shuffle, hold them once, so that an
+    # array is bounded by one text however many copies it is joined back to.
     marks = nodes.select("doc_id", "row", "start", "node").join(known, "node").groupBy("doc_id", "row").agg(
-        F.collect_list(F.struct("start", earlier.alias("earlier"), "one_out", "one_in")).alias("marks"))
+        F.collect_set(F.struct("start", earlier.alias("earlier"), "one_out", "one_in")).alias("marks"))
     rows = base.join(marks, ["doc_id", "row"]).mapInPandas(
         _unsettled, "doc_id long, row long, start int, length int, window long, check int")
     # Joined by another hash of the key than the one it was grouped by: the join then has a shuffle of its own on either side, which
@@ -245,7 +247,7 @@ def repeated_spans(base: DataFrame) -> DataFrame:
         .where("source_doc < last").select(F.xxhash64("window", "check").alias("key"), "window", "check", "source_doc")
     keyed = rows.withColumn("key", F.xxhash64("window", "check"))
     gone = keyed.join(source, ["key", "window", "check"], "left").where("check = -1 OR source_doc < doc_id")
-    return gone.groupBy("doc_id", "row").agg(F.collect_list(F.struct("start", "length")).alias("spans"))
+    return gone.groupBy("doc_id", "row").agg(F.collect_set(F.struct("start", "length")).alias("spans"))
 
 
 def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = True) -> DataFrame:

@@ -112,6 +112,19 @@ def test_substring_texts_keep_their_columns(docs, none):
     assert substring.substring_dedup(none).count() == 0
 
 
+def test_copies_of_a_row_do_not_lengthen_its_spans(spark):
+    common.ready(spark)
+    shared = prose(31, 120)
+    late = prose(32, 70) + " " + shared + " " + prose(33, 70)
+    rows = [(1, shared)] + [(2, late)] * 40 + [(3, prose(34, 60) + " " + shared)]
+    base = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).select(
+        "doc_id", substring.text_hash(F.col("text")).alias("row"), substring.body(F.col("text")).alias("body"))
+    spans = {r.doc_id: sorted((s.start, s.length) for s in r.spans) for r in substring.repeated_spans(base).collect()}
+    assert set(spans) == {2, 3} and all(len(s) == len(set(s)) <= 71 for s in spans.values())
+    got = [r.n_removed for r in substring.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got) == [0] + [120] * 41
+
+
 # 2 quality rules
 
 def test_quality_counts_equal_the_definition(docs, texts):
