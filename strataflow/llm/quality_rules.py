@@ -24,8 +24,8 @@ from strataflow.session import settle
 SYMBOLS = (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">")
 SPACES = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
 DIGITS = re.compile(rb"[0-9]+")
-# A line is boilerplate in a host if it stands in more than both of these.
-LEAST_DOCS, SHARE = 20, 0.01
+# A line is boilerplate in a host if it stands in more documents than this, however many the host has.
+LEAST_DOCS = 20
 # Rejected is a document that loses more than this share of its words.
 DEPLETED = 0.5
 LINE = "array<struct<line: bigint, words: bigint>>"
@@ -80,15 +80,20 @@ def _measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat([docs[["host", "row", "key"]], found], axis=1)
 
 
-def boilerplate(lines: DataFrame, totals: DataFrame, least_docs: int = LEAST_DOCS, share: float = SHARE) -> DataFrame:
-    """(host, line) above both limits; ``lines`` holds (host, key, line), one row or more per document and line, ``totals`` (host, host_docs)."""
+def boilerplate(lines: DataFrame, totals: DataFrame, least_docs: int = LEAST_DOCS, share: float | None = None) -> DataFrame:
+    """(host, line) above the limit; ``lines`` holds (host, key, line), one row or more per document and line, ``totals`` (host, host_docs).
+
+    With a ``share``, the line must also stand in more than that share of the host's documents, a limit that grows with the host.
+    """
     once = lines.select("host", "key", "line").distinct()
     counts = once.groupBy("host", "line").agg(F.count("*").alias("docs")).where(F.col("docs") > least_docs)
+    if share is None:
+        return counts.select("host", "line")
     return counts.join(totals, "host").where(F.col("docs") > F.lit(share) * F.col("host_docs")).select("host", "line")
 
 
 def quality(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source",
-            least_docs: int = LEAST_DOCS, share: float = SHARE, depleted: float = DEPLETED) -> DataFrame:
+            least_docs: int = LEAST_DOCS, share: float | None = None, depleted: float = DEPLETED) -> DataFrame:
     """key, the counts, removed_words, base_failed and kept of every row.
 
     Null texts are empty and fail the base rules; documents of a null host share a host of their own.  Rows that

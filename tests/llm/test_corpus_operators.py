@@ -156,6 +156,14 @@ def test_common_lines_deplete_a_document_of_one_host_only(spark, none):
     assert quality_rules.quality(none).count() == 0
 
 
+def test_a_line_is_as_common_in_a_large_host_as_in_a_small_one(spark):
+    line = "please accept all cookies before you read on " * 9
+    rows = [(n, prose(n, 60) + ("\n" + line if n % 100 == 0 else ""), "en", "hot") for n in range(2500)]
+    rows += [(3000 + n, prose(n, 60) + "\n" + line, "en", "small") for n in range(25)]
+    got = quality_rules.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).where("removed_words > 0").collect()
+    assert {r.key for r in got} == {*range(0, 2500, 100), *range(3000, 3025)} and not any(r.kept for r in got)
+
+
 # 3 sharding
 
 def test_shards_are_stable_gapless_and_near_their_weights(docs, texts, none):
