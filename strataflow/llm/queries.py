@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from strataflow.llm.audit import OP12_SQL, op12_filter_audit
 from strataflow.llm.language import op6_language_id
 from strataflow.llm.mixing import op10_mixing, op10_sql
 from strataflow.llm.packing import op7_best_fit_packing
@@ -13,6 +14,7 @@ from strataflow.llm.substring import op1_substring_dedup
 from strataflow.llm.toxicity import op4_toxicity
 from strataflow.llm.urlfilter import OP8_SQL, op8_url_filters
 from strataflow.llm.vptree import op5_nearest_neighbours
+from strataflow.llm.whitening import op11_whitening
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -26,6 +28,9 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_simhash": op9_simhash,
     "op10_mixing": op10_mixing,
+    "op11_whitening": op11_whitening,
+    "op12_filter_audit": op12_filter_audit,
 }
 
-ORACLES = {"op2_quality_rules": OP2_SQL, "op8_url_filters": OP8_SQL, "op10_mixing": op10_sql()}
+ORACLES = {
+    "op2_quality_rules": OP2_SQL, "op8_url_filters": OP8_SQL, "op10_mixing": op10_sql(), "op12_filter_audit": OP12_SQL}

@@ -19,7 +19,7 @@ def test_query_matches_oracle(name, spark, sf_dir):
 
 
 def test_every_operator_has_one_query():
-    assert [n.split("_")[0] for n in QUERIES] == ["pipeline", *[f"op{n}" for n in range(1, 11)]]
+    assert [n.split("_")[0] for n in QUERIES] == ["pipeline", *[f"op{n}" for n in range(1, 13)]]
     assert [name.split()[0] for name, _ in corpus_pipeline.STAGES] == ["toxicity", "simhash", "substring", "mixing", "best-fit"]
 
 
