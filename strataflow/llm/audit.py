@@ -53,9 +53,11 @@ def flagged(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
         F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"),
         F.unhex(F.sha2(body.cast("binary"), 256)).alias("same"),
         *[failed.alias(name) for name, failed in text_failures(F.col(text)).items()]), "audit-rows")
-    # One row per text that several ids share; adaptive execution splits a text that very many rows hold.
-    first = rows.groupBy("same").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last")
-    copies = rows.join(first, "same", "left").withColumn("E", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)))
+    # One row per text that several ids share.  Joined by a hash of the text's hash too: both sides then have a shuffle of their own, so that
+    # adaptive execution can split a text that very many rows hold.
+    spread = F.xxhash64("same").alias("spread")
+    first = rows.groupBy("same").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("same", spread, "first")
+    copies = rows.select("*", spread).join(first, ["spread", "same"], "left").withColumn("E", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)))
     marked = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         *[F.coalesce(F.max(F.col(source) == 1), F.lit(False)).alias(name) for source, name in (("quality", "good"), ("toxic", "toxic"))])
     known = copies.join(marked, "doc_id", "left")

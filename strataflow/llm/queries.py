@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from strataflow.llm.audit import OP12_SQL, op12_filter_audit
+from strataflow.llm.jaccard import op13_jaccard_join
 from strataflow.llm.language import op6_language_id
 from strataflow.llm.mixing import op10_mixing, op10_sql
 from strataflow.llm.packing import op7_best_fit_packing
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_mixing": op10_mixing,
     "op11_whitening": op11_whitening,
     "op12_filter_audit": op12_filter_audit,
+    "op13_jaccard_join": op13_jaccard_join,
 }
 
 ORACLES = {

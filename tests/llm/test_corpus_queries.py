@@ -19,11 +19,11 @@ def test_query_matches_oracle(name, spark, sf_dir):
 
 
 def test_every_operator_has_one_query():
-    assert [n.split("_")[0] for n in QUERIES] == ["pipeline", *[f"op{n}" for n in range(1, 13)]]
+    assert [n.split("_")[0] for n in QUERIES] == ["pipeline", *[f"op{n}" for n in range(1, 14)]]
     assert [name.split()[0] for name, _ in corpus_pipeline.STAGES] == ["toxicity", "simhash", "substring", "mixing", "best-fit"]
 
 
-@pytest.mark.parametrize("name", ["op1_substring_dedup", "op3_sharding", "op4_toxicity", "op5_nearest_neighbours", "op6_language_id", "op7_best_fit_packing", "op9_simhash"])
+@pytest.mark.parametrize("name", ["op1_substring_dedup", "op3_sharding", "op4_toxicity", "op5_nearest_neighbours", "op6_language_id", "op7_best_fit_packing", "op9_simhash", "op13_jaccard_join"])
 def test_query_returns_a_row_for_every_document(name, spark, sf_dir):
     out = QUERIES[name](spark, sf_dir)
     if name == "op5_nearest_neighbours":
