@@ -137,7 +137,7 @@ def test_an_empty_table(spark):
 def test_hot_groups_are_split(spark, corpus):
     """Joins with a summary shuffle both sides anew, which is what lets adaptive execution split a hot key."""
     common.ready(spark)
-    sets = spark.range(100).select(F.col("id").cast("string").cast("binary").alias("sig"), F.lit(1).alias("band"))
+    sets = spark.range(100).select(F.col("id").cast("string").cast("binary").alias("sig"), (F.col("id") % 2).alias("band"))
     summary = sets.groupBy("band").agg(F.min("sig").alias("v"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
