@@ -35,6 +35,7 @@ CHUNK = 1 << 16  # windows looked at together when nodes are chosen
 PLACE = np.uint64((1 << 20) - 1)  # bits that hold a k-mer's place among those looked at together
 # Two odd multipliers give two independent rolling hashes.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+FLAGS = ("earlier", "one_out", "one_in")
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 
@@ -58,7 +59,7 @@ class _Powers:
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) >= 200_000:
             self.clear()
         out = self[word] = xxhash.xxh64_intdigest(word)
         return out
@@ -68,6 +69,15 @@ _POWERS = [_Powers(base) for base in BASES]
 _HASHES = _WordHashes()
 
 
+def _forgetting(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The frames of a partition; afterwards a worker, which may live on for other work, holds none of what they needed."""
+    try:
+        yield from frames
+    finally:
+        _HASHES.clear()
+        _POWERS[:] = [_Powers(base) for base in BASES]
+
+
 def _mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -155,8 +165,7 @@ def _node_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 "doc_id": doc, "row": row, "start": at, "node": _signed(roll.spans(at, at + KMER, 0)),
                 "out_edge": _signed(right), "in_edge": _signed(left)}
 
-    for docs in batches:
-        yield from _in_parts(of(docs))
+    yield from _forgetting(part for docs in batches for part in _in_parts(of(docs)))
 
 
 def _reaches(roll: Rolling, nodes: np.ndarray, one_out: np.ndarray, one_in: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,15 +183,16 @@ def _reaches(roll: Rolling, nodes: np.ndarray, one_out: np.ndarray, one_in: np.n
 def _unsettled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Runs that a compacted path decides, with check -1, and single windows still to be looked up."""
     def of(docs: pd.DataFrame) -> Iterator[dict]:
-        for doc, row, text, marks in zip(docs["doc_id"], docs["row"], docs["body"], docs["marks"]):
+        columns = (docs[name] for name in ("doc_id", "row", "body", "start", *FLAGS))
+        for doc, row, text, start, *marked in zip(*columns):
             roll = Rolling(text.split())
             best = roll.smallest()
             nodes = np.unique(best)
-            at = np.searchsorted(nodes, np.array([m["start"] for m in marks]))
-            flags = {name: np.zeros(len(nodes), dtype=bool) for name in ("shared", "earlier", "one_out", "one_in")}
+            at = np.searchsorted(nodes, start)
+            flags = {name: np.zeros(len(nodes), dtype=bool) for name in ("shared", *FLAGS)}
             flags["shared"][at] = True
-            for name in ("earlier", "one_out", "one_in"):
-                flags[name][at] = [m[name] for m in marks]
+            for name, values in zip(FLAGS, marked):
+                flags[name][at] = values
             right, left = _reaches(roll, nodes, flags["one_out"], flags["one_in"])
             starts, node = np.arange(roll.n - WINDOW + 1), np.searchsorted(nodes, best)
             inside = flags["shared"][node] & (left[node] <= starts) & (starts + WINDOW <= right[node])
@@ -199,28 +209,26 @@ def _unsettled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     "doc_id": doc, "row": row, "start": single, "length": WINDOW,
                     "window": _signed(roll.spans(single, single + WINDOW, 0)), "check": _digest(roll.spans(single, single + WINDOW, 1))}
 
-    for docs in batches:
-        yield from _in_parts(of(docs))
+    yield from _forgetting(part for docs in batches for part in _in_parts(of(docs)))
 
 
-def _cleaner(with_text: bool):
-    schema = "n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if with_text else "")
+def _kept(text: bytes, starts: np.ndarray | None, lengths: np.ndarray | None) -> tuple[int, int, bytes]:
+    """Words of the text, words inside the spans, and the others joined by one space."""
+    words = text.split()
+    gone = np.zeros(len(words), dtype=bool)
+    for at, size in zip(starts, lengths) if starts is not None else ():
+        gone[at:at + size] = True
+    return len(words), int(gone.sum()), b" ".join(w for w, g in zip(words, gone) if not g)
 
-    @F.pandas_udf(schema)
-    def clean(bodies: pd.Series, starts: pd.Series, lengths: pd.Series) -> pd.DataFrame:
-        out = []
-        for text, start, length in zip(bodies, starts, lengths):
-            words = text.split()
-            gone = np.zeros(len(words), dtype=bool)
-            for at, size in zip(start, length) if start is not None else ():
-                gone[at:at + size] = True
-            cut = int(gone.sum())
-            kept = b" ".join(w for w, g in zip(words, gone) if not g) if cut else b" ".join(words)
-            row = [len(words), cut, hashlib.sha256(kept).hexdigest()]
-            out.append([*row, (kept if cut else text).decode()] if with_text else row)
-        return pd.DataFrame(out, columns=["n_words", "n_removed", "kept_sha256", "kept_text"][:3 + with_text])
 
-    return clean
+def _counted(bodies: pd.Series, starts: pd.Series, lengths: pd.Series) -> pd.DataFrame:
+    out = [_kept(*row) for row in zip(bodies, starts, lengths)]
+    return pd.DataFrame([(n, cut, hashlib.sha256(kept).hexdigest()) for n, cut, kept in out], columns=["n_words", "n_removed", "kept_sha256"])
+
+
+def _shortened(bodies: pd.Series, starts: pd.Series, lengths: pd.Series) -> pd.Series:
+    """The text without the words inside its spans; null, like the body, for a text that has none."""
+    return pd.Series([None if text is None else _kept(text, start, length)[2].decode() for text, start, length in zip(bodies, starts, lengths)], dtype=object)
 
 
 def repeated_spans(base: DataFrame) -> DataFrame:
@@ -239,7 +247,9 @@ def repeated_spans(base: DataFrame) -> DataFrame:
     # array is bounded by one text however many copies it is joined back to.
     marks = nodes.select("doc_id", "row", "start", "node").join(known, "node").groupBy("doc_id", "row").agg(
         F.collect_set(F.struct("start", earlier.alias("earlier"), "one_out", "one_in")).alias("marks"))
-    rows = base.join(marks, ["doc_id", "row"]).mapInPandas(
+    # Flat arrays instead of an array of rows, which Python would hold as one dictionary a node.
+    flat = marks.select("doc_id", "row", *[F.col(f"marks.{name}").alias(name) for name in ("start", *FLAGS)])
+    rows = base.select("doc_id", "row", "body").join(flat, ["doc_id", "row"]).mapInPandas(
         _unsettled, "doc_id long, row long, start int, length int, window long, check int")
     # Joined by another hash of the key than the one it was grouped by: the join then has a shuffle of its own on either side, which
     # adaptive execution can split where a window is in very many documents.
@@ -250,35 +260,45 @@ def repeated_spans(base: DataFrame) -> DataFrame:
     return gone.groupBy("doc_id", "row").agg(F.collect_set(F.struct("start", "length")).alias("spans"))
 
 
-def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = True) -> DataFrame:
-    """(carry, n_words, n_removed, kept_sha256[, kept_text]) per row; ``carry`` holds the other columns of the row.
-
-    Null texts have no words.  Documents without a key lose nothing and are no one's source.  Rows that repeat a key are
-    never each other's source; each is judged by its own text.  Texts that lose nothing keep their spacing.
-    """
+def _with_spans(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc_id, row, body, carry, spans) per row; ``carry`` holds all columns but the text, ``spans`` is null where nothing is to be removed."""
     base = docs.select(
         F.col(key).cast("long").alias("doc_id"), text_hash(F.col(text)).alias("row"), body(F.col(text)).alias("body"),
         F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("carry"))
     keyed = base.where("doc_id IS NOT NULL")
     # The search reads the same columns by the same key as this join, so one shuffle of the texts serves both.
     marked = keyed.join(repeated_spans(keyed), ["doc_id", "row"], "left")
-    rest = base.where("doc_id IS NULL").withColumn("spans", F.lit(None).cast(marked.schema["spans"].dataType))
-    found = _cleaner(with_text)(F.col("body"), F.col("spans.start"), F.col("spans.length"))
-    return marked.unionByName(rest).select("carry", found.alias("found")).select("carry", "found.*")
+    return marked.unionByName(base.where("doc_id IS NULL").withColumn("spans", F.lit(None).cast(marked.schema["spans"].dataType)))
+
+
+def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(carry, n_words, n_removed, kept_sha256) per row; ``carry`` holds the other columns of the row.
+
+    Null texts have no words.  Documents without a key lose nothing and are no one's source.  Rows that repeat a key are
+    never each other's source; each is judged by its own text.  Very long texts are read whole.  An empty table gives an empty result.
+    """
+    counted = F.pandas_udf(_counted, "n_words long, n_removed long, kept_sha256 string")
+    found = counted(F.col("body"), F.col("spans.start"), F.col("spans.length"))
+    return _with_spans(docs, key, text).select("carry", found.alias("found")).select("carry", "found.*")
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows with their repeated words removed and n_chars, where there is one, brought up to date; columns as in ``docs``."""
-    found = substring_dedup(docs, key, text)
-    cut = F.col("n_removed") > 0
+    """The rows with their repeated words removed and n_chars, where there is one, brought up to date; columns as in ``docs``.
+
+    Texts that lose nothing keep their spacing and never leave the JVM; null texts become empty.  Other cases as in ``substring_dedup``.
+    """
+    rows = _with_spans(docs, key, text)
+    cut = F.col("spans").isNotNull()
+    short = F.pandas_udf(_shortened, "string")(F.when(cut, F.col("body")), F.col("spans.start"), F.col("spans.length"))
+    rows = rows.select("carry", "body", cut.alias("cut"), short.alias("short"))
     kept = {c: F.col("carry").getField(c) for c in docs.columns if c != text}
-    kept[text] = F.col("kept_text")
+    kept[text] = F.when(F.col("cut"), F.col("short")).otherwise(F.col("body").cast("string"))
     if "n_chars" in kept:
-        kept["n_chars"] = F.when(cut, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(kept["n_chars"])
-    return found.select(*[kept[c].alias(c) for c in docs.columns])
+        kept["n_chars"] = F.when(F.col("cut"), F.length("short").cast(docs.schema["n_chars"].dataType)).otherwise(kept["n_chars"])
+    return rows.select(*[kept[c].alias(c) for c in docs.columns])
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words in, words removed and the digest of the kept words of every document."""
-    found = substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), with_text=False)
+    found = substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("carry.doc_id", "n_words", "n_removed", "kept_sha256")

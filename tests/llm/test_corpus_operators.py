@@ -99,7 +99,7 @@ def test_substring_dedup_on_mosaics(spark, seed):
         for _ in range(rng.randrange(3)):
             w[rng.randrange(len(w))] = f"edit{rng.randrange(3)}"
         rows.append((rng.randrange(50), " ".join(w)))
-    found = substring.substring_dedup(spark.createDataFrame(rows_of(rows), DOCS), with_text=False)
+    found = substring.substring_dedup(spark.createDataFrame(rows_of(rows), DOCS))
     assert Counter((r.carry.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in found.collect()) == repeated(rows)
 
 
@@ -112,6 +112,22 @@ def test_substring_texts_keep_their_columns(docs, none):
     assert substring.substring_dedup(none).count() == 0
 
 
+def test_shortened_texts_have_the_counted_digest(docs):
+    """The rows that the stage returns against the digests; texts that lose nothing keep their spacing, which a digest doesn't see."""
+    digests = Counter((r.carry.doc_id, r.kept_sha256) for r in substring.substring_dedup(docs).collect())
+    texts = Counter((r.doc_id, hashlib.sha256(b" ".join(words(r.text))).hexdigest()) for r in substring.without_repeats(docs).collect())
+    assert texts == digests
+
+
+def test_very_long_texts_are_cut_whole(spark):
+    """More windows than are looked at together."""
+    shared, long = prose(41, 150_000, 60_000), prose(42, 60_000, 60_000)
+    rows = [(1, shared), (2, long + " " + shared), (3, " ".join(shared.split()[140_000:]))]
+    got = substring.substring_dedup(common.ready(spark).createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.carry.doc_id, r.n_words, r.n_removed) for r in got} == {(1, 150_000, 0), (2, 210_000, 150_000), (3, 10_000, 10_000)}
+    assert not substring._HASHES
+
+
 def test_copies_of_a_row_do_not_lengthen_its_spans(spark):
     common.ready(spark)
     shared = prose(31, 120)
