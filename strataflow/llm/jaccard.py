@@ -218,12 +218,13 @@ def star_pairs(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def group_pairs(matrix: DataFrame) -> DataFrame:
-    """(a, b): groups whose token unions overlap by as much as links between their members need."""
-    left = matrix.select("token", F.col("grp").alias("a"), F.col("spare").alias("a_spare"))
-    right = matrix.select("token", F.col("grp").alias("b"), F.col("spare").alias("b_spare"))
+    """(query, grp): groups whose token unions overlap by as much as links between their members need; the smaller one is the query."""
+    left = matrix.select("token", F.col("grp").alias("a"), F.col("spare").alias("a_spare"), F.col("members").alias("a_members"))
+    right = matrix.select("token", F.col("grp").alias("b"), F.col("spare").alias("b_spare"), F.col("members").alias("b_members"))
     met = left.join(right, (left.token == right.token) & (F.col("a") < F.col("b")))
-    counted = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("overlap"), F.min(F.least("a_spare", "b_spare")).alias("needed"))
-    return counted.where("overlap >= needed").select("a", "b")
+    counted = met.groupBy("a", "b", "a_members", "b_members").agg(F.count(F.lit(1)).alias("overlap"), F.min(F.least("a_spare", "b_spare")).alias("needed"))
+    swap = F.col("a_members") > F.col("b_members")
+    return counted.where("overlap >= needed").select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("query"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("grp"))
 
 
 def _grouped(sets: DataFrame, links: DataFrame, label: str) -> DataFrame:
@@ -257,23 +258,25 @@ def jaccard_components(
     groups = settle(_grouped(sets, near, "bands"), "groups")
     sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
     grouped = settle(_met(groups, sizes, "root").join(sets, "sig").select(
-        "sig", "doc_id", "row", "times", "n", "bits", F.xxhash64("root").alias("grp"), (F.col("members") > 1).alias("several")), "grouped-sets")
+        "sig", "doc_id", "row", "times", "n", "bits", F.xxhash64("root").alias("grp"), "members"), "grouped-sets")
 
     hot = spark.sparkContext.broadcast(common_tokens(found))
-    of_set = grouped.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "grp", "several", (F.col("times") > 1).alias("again"))
+    of_set = grouped.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "grp", "members", (F.col("times") > 1).alias("again"))
     firsts = settle(matrix_rows(rows, hot, shingle, percent).join(
-        of_set, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row"))).select("grp", "several", "again", "spare", "first"), "first-tokens")
+        of_set, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row"))).select("grp", "members", "again", "spare", "first"), "first-tokens")
     token = F.explode("first").alias("token")
     # The union of a group holds each token once; a set on its own is its own union.
-    union = firsts.where("several OR again").select("grp", "spare", token).groupBy("grp", "token").agg(F.min("spare").alias("spare"))
-    matrix = firsts.where("NOT (several OR again)").select(token, "grp", "spare").unionByName(settle(union, "group-unions"))
+    several = (F.col("members") > 1) | F.col("again")
+    union = firsts.where(several).select("grp", "members", "spare", token).groupBy("grp", "members", "token").agg(F.min("spare").alias("spare"))
+    matrix = firsts.where(~several).select(token, "grp", "members", "spare").unionByName(settle(union, "group-unions"))
 
     opened = settle(group_pairs(matrix), "group-pairs")
     member = grouped.select("grp", "sig", "n", "bits")
     left, right = (member.select(F.col("grp").alias(g), F.col("sig").alias(s), F.col("n").alias(f"{s}_n"), F.col("bits").alias(f"{s}_bits"))
-                   for g, s in (("a", "u"), ("b", "v")))
-    query = opened.join(left, "a").select("b", "u", "u_n", "u_bits").alias("q")
-    met = query.join(right.alias("m"), (F.col("q.b") == F.col("m.b")) & _near(percent)).select("u", "v")
+                   for g, s in (("query", "u"), ("grp", "v")))
+    # The members of the smaller group are the queries; those of the larger one only meet them inside the join.
+    queries = opened.join(left, "query").alias("q")
+    met = queries.join(right.alias("m"), (F.col("q.grp") == F.col("m.grp")) & _near(percent)).select("u", "v")
     across = linked(settle(met, "opened-pairs"), sets, rows, shingle, percent)
     roots = settle(_grouped(sets, settle(near.union(across), "links"), "linked"), "set-roots")
 
