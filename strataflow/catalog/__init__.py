@@ -5,6 +5,7 @@ from __future__ import annotations
 from strataflow.catalog import (  # noqa: F401  (importing an area registers its queries)
     aggregates,
     cleaning,
+    event_time,
     facts,
     landing,
     metrics,
