@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from strataflow.catalog import (  # noqa: F401  (importing an area registers its queries)
     aggregates,
+    changes,
     cleaning,
     event_time,
     facts,

@@ -79,3 +79,9 @@ def _remove(spark: SparkSession, folder: str) -> None:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _exists(spark: SparkSession, folder: str) -> bool:
+    """Whether there is such a folder in the file system that would hold it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
