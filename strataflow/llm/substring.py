@@ -249,7 +249,8 @@ def repeated_spans(base: DataFrame) -> DataFrame:
         F.collect_set(F.struct("start", earlier.alias("earlier"), "one_out", "one_in")).alias("marks"))
     # Flat arrays instead of an array of rows, which Python would hold as one dictionary a node.
     flat = marks.select("doc_id", "row", *[F.col(f"marks.{name}").alias(name) for name in ("start", *FLAGS)])
-    rows = base.select("doc_id", "row", "body").join(flat, ["doc_id", "row"]).mapInPandas(
+    # All columns of the base, though not all are needed: then one shuffle of the texts serves this join and the one of the caller.
+    rows = base.join(flat, ["doc_id", "row"]).mapInPandas(
         _unsettled, "doc_id long, row long, start int, length int, window long, check int")
     # Joined by another hash of the key than the one it was grouped by: the join then has a shuffle of its own on either side, which
     # adaptive execution can split where a window is in very many documents.
