@@ -13,6 +13,7 @@ from strataflow.catalog import (  # noqa: F401  (importing an area registers its
     ordered,
     panels,
     quality,
+    ranges,
     storage,
     streams,
 )
