@@ -1,17 +1,19 @@
 """N-gram Jaccard join by a token-group matrix: documents whose sets of word shingles overlap enough are linked.
 
-1. Equal sets are one set.  Min-hash bands bring similar sets to a leader; those that an exact comparison links with it form groups, so
-   that a group of near copies of any size is connected by one comparison per member and band.
-2. The matrix holds the union of its members' tokens for every group.  Of a set of ``a`` tokens whose links share ``t`` at least, the first
-   ``a - t + l`` in one order of all tokens do: two linked sets have ``l`` of these in common.  The order puts tokens that many documents
-   share last, so common passages seldom enter the matrix.
+1. Equal sets are one set.  Min-hash bands bring similar sets together; an exact comparison with a few leaders of each band connects
+   near copies by a few comparisons per member, however many they are.
+2. Similar sets, those of one band, are partitioned into groups of about ``GROUP``; a set like no other is a group of its own.  The matrix holds the
+   union of its members' tokens for every group.  Of a set of ``a`` tokens whose links share ``t`` at least, the first ``a - t + l`` in one
+   order of all tokens do: two linked sets have ``l`` of these in common.  The order puts tokens that many documents share last, so common
+   passages seldom enter the matrix.
 3. A query's overlap with a group is bounded by the tokens the two have in common in the matrix, which is joined with itself by token and counted
-   for each pair of groups; a group bounds all its members as queries at once.  Pairs below their ``l`` are never opened.
-4. In a group that is opened, members are compared with the query by parities: each token flips one of 2,048 bits, so the bits that differ are at most as many as
-   the tokens that do.  Pairs too far apart never leave that join, and the others are compared token by token.
+   for each pair of groups: a group bounds all its members as queries at once.  Pairs below their ``l``, and groups whose members are connected
+   already, are never opened.
+4. Where a group is opened, its members meet the queries of the other group in one task, by parities: each token flips one of 2,048 bits, so the
+   bits that differ are at most as many as the tokens that do.  Only pairs near enough leave the task; they are compared token by token.
 
-Every link between sets of different groups is found; links within a group are only followed as far as they connect it.  Tokens are 64-bit hashes of
-shingles, sets are known by 128 bits.  The order of the tokens has no influence on the result.
+Every link between sets that are not connected yet is found.  Tokens are 64-bit hashes of shingles, sets are known by 128 bits.  Neither the order of the
+tokens nor the grouping has any influence on the result.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.llm.common import body, components, table, text_hash
@@ -31,11 +33,13 @@ from strataflow.session import settle
 
 SHINGLE, PERCENT = 5, 80
 BANDS, ROWS = 4, 2  # min-hash bands for the groups; hashes in each
+LEADERS = 3  # members of a band that all its members are compared with
+GROUP = 64  # similar sets in a group, about
 PARITY = 2048  # bits that hold the parities of a set
 HEAVY = 4  # sets of one batch that share a token for it to be counted as common
 HOT = 1 << 20  # common tokens the order knows of, 16 MB: beyond them the rarer ones are ordered like any other
 PROBE = 500_000  # rows of keys that are sent to the texts; with more, texts are shuffled to the keys
-MARKS = "doc_id long, row long, n long, sig binary, keys array<long>, bits array<long>, token long, times long"
+MARKS = "doc_id long, row long, n long, sig binary, keys array<long>, bits binary, token long, times long"
 SEEDS = np.random.default_rng(13).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -90,7 +94,14 @@ def _keys(found: np.ndarray) -> np.ndarray:
 
 def _bits(found: np.ndarray) -> np.ndarray:
     odd = np.bincount((found >> np.uint64(20)).astype(np.int64) % PARITY, minlength=PARITY) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
+def _near(n: np.ndarray, bits: np.ndarray, other_n: np.ndarray, other_bits: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets can be linked, by their sizes and by the parities that differ; the arrays are broadcast against each other."""
+    differ = np.bitwise_count(bits ^ other_bits).sum(axis=-1, dtype=np.int64)
+    # Linked sets share at least percent (a + b) / (100 + percent) tokens; all others of a and b differ.
+    return (100 * n >= percent * other_n) & (100 * other_n >= percent * n) & (differ * (100 + percent) <= (n + other_n) * (100 - percent))
 
 
 def _long(values: np.ndarray) -> np.ndarray:
@@ -110,13 +121,13 @@ def marks(rows: DataFrame, shingle: int) -> DataFrame:
             yield _batch(
                 batch.column("doc_id"), batch.column("row"), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()),
                 pa.array([_keys(s) if f else [] for s, f in zip(sets, full)], pa.list_(pa.int64())),
-                pa.array([_bits(s) if f else [] for s, f in zip(sets, full)], pa.list_(pa.int64())),
+                pa.array([_bits(s).tobytes() if f else b"" for s, f in zip(sets, full)], pa.binary()),
                 blank(len(sets), pa.int64()), blank(len(sets), pa.int64()))
             if common.any():
                 size = int(common.sum())
                 yield _batch(
                     *[blank(size, pa.int64()) for _ in range(3)], blank(size, pa.binary()), blank(size, pa.list_(pa.int64())),
-                    blank(size, pa.list_(pa.int64())), pa.array(_long(token[common])), pa.array(times[common].astype(np.int64)))
+                    blank(size, pa.binary()), pa.array(_long(token[common])), pa.array(times[common].astype(np.int64)))
 
     def _batch(*columns: pa.Array) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(list(columns), [part.split()[0] for part in MARKS.split(", ")])
@@ -166,14 +177,6 @@ def matrix_rows(rows: DataFrame, hot: Broadcast, shingle: int, percent: int) ->
     return rows.mapInArrow(of, "doc_id long, row long, spare long, first array<long>").where("size(first) > 0")
 
 
-def _near(percent: int) -> Column:
-    """Whether sets u and v can be linked, by their sizes and by the parities that differ."""
-    u, v = F.col("u_n"), F.col("v_n")
-    differ = F.aggregate(F.zip_with("u_bits", "v_bits", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, c: s + c)
-    # Linked sets share at least percent (a + b) / (100 + percent) tokens; all others of a and b differ.
-    return (100 * u >= percent * v) & (100 * v >= percent * u) & (differ * (100 + percent) <= (u + v) * (100 - percent))
-
-
 def _named(sets: DataFrame, name: str) -> DataFrame:
     return sets.select(F.col("sig").alias(name), F.col("n").alias(f"{name}_n"), F.col("bits").alias(f"{name}_bits"))
 
@@ -210,21 +213,62 @@ def _met(rows: DataFrame, summary: DataFrame, key: str) -> DataFrame:
 
 
 def star_pairs(sets: DataFrame, percent: int) -> DataFrame:
-    """(u, v): every set with the leader of each of its bands, where they can be linked."""
+    """(u, v): every set with the leaders of each of its bands, where they can be linked."""
+    @F.pandas_udf("boolean")
+    def near(n: pd.Series, bits: pd.Series, other_n: pd.Series, other_bits: pd.Series) -> pd.Series:
+        left, right = (np.frombuffer(b"".join(column), np.uint64).reshape(len(column), -1) for column in (bits, other_bits))
+        return pd.Series(_near(n.to_numpy(), left, other_n.to_numpy(), right, percent))
+
     bands = sets.select("sig", F.explode("keys").alias("band"))
-    leaders = bands.groupBy("band").agg(F.min("sig").alias("v"), F.max("sig").alias("last")).where("v < last").select("band", "v")
-    pairs = _met(bands, leaders, "band").where("sig <> v").select(F.col("sig").alias("u"), "v").distinct()
-    return pairs.join(_named(sets, "u"), "u").join(_named(sets, "v"), "v").where(_near(percent)).select("u", "v")
+    leaders = bands.groupBy("band").agg(
+        F.min("sig").alias("least"), F.max("sig").alias("last"), *[F.min_by("sig", F.xxhash64("sig", F.lit(n))).alias(f"leader{n}") for n in range(1, LEADERS)])
+    leaders = leaders.where("least < last").select("band", F.array("least", *[f"leader{n}" for n in range(1, LEADERS)]).alias("leaders"))
+    pairs = _met(bands, leaders, "band").select(F.col("sig").alias("u"), F.explode("leaders").alias("v")).where("u <> v")
+    pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    both = pairs.join(_named(sets, "u"), "u").join(_named(sets, "v"), "v")
+    return both.where(near("u_n", "u_bits", "v_n", "v_bits")).select("u", "v")
+
+
+def similar_groups(sets: DataFrame, connected: DataFrame) -> DataFrame:
+    """The sets with ``grp``, the group of similar sets they are in, and ``comp``, what they are connected with so far."""
+    banded = sets.withColumn("band", F.get("keys", F.lit(0)))
+    sizes = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size"))
+    part = F.pmod(F.xxhash64("sig"), F.ceil(F.col("size") / GROUP))
+    grouped = _met(banded, sizes, "band").withColumn("grp", F.when(F.col("size") == 1, F.xxhash64("sig")).otherwise(F.xxhash64("band", part)))
+    return grouped.join(connected, "sig").select("sig", "doc_id", "row", "times", "n", "bits", "grp", F.xxhash64("root").alias("comp"))
 
 
 def group_pairs(matrix: DataFrame) -> DataFrame:
-    """(query, grp): groups whose token unions overlap by as much as links between their members need; the smaller one is the query."""
-    left = matrix.select("token", F.col("grp").alias("a"), F.col("spare").alias("a_spare"), F.col("members").alias("a_members"))
-    right = matrix.select("token", F.col("grp").alias("b"), F.col("spare").alias("b_spare"), F.col("members").alias("b_members"))
-    met = left.join(right, (left.token == right.token) & (F.col("a") < F.col("b")))
-    counted = met.groupBy("a", "b", "a_members", "b_members").agg(F.count(F.lit(1)).alias("overlap"), F.min(F.least("a_spare", "b_spare")).alias("needed"))
-    swap = F.col("a_members") > F.col("b_members")
-    return counted.where("overlap >= needed").select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("query"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("grp"))
+    """(a, b): groups whose token unions overlap by as much as links between their members need, unless all members are connected already."""
+    left, right = (matrix.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("grp", "spare", "comp")]) for side in "ab")
+    apart = ~F.coalesce(F.col("a_comp") == F.col("b_comp"), F.lit(False))
+    met = left.join(right, (left.token == right.token) & (F.col("a_grp") < F.col("b_grp")) & apart)
+    counted = met.groupBy(F.col("a_grp").alias("a"), F.col("b_grp").alias("b")).agg(
+        F.count(F.lit(1)).alias("overlap"), F.min(F.least("a_spare", "b_spare")).alias("needed"))
+    return counted.where("overlap >= needed").select("a", "b")
+
+
+def opened_pairs(pairs: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
+    """(u, v): members of opened groups that can be linked and are not connected yet; the others never leave the task."""
+    members = grouped.groupBy("grp").agg(F.collect_list(F.struct("sig", "n", "comp", "bits")).alias("held"))  # about GROUP entries
+    left, right = (members.select(F.col("grp").alias(side), *[F.col(f"held.{c}").alias(f"{side}_{c}") for c in ("sig", "n", "comp", "bits")]) for side in "ab")
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, u, v = batch.to_pydict(), [], []
+            for at in range(batch.num_rows):
+                sig, n, comp, bits = ([rows[f"{side}_{c}"][at] for side in "ab"] for c in ("sig", "n", "comp", "bits"))
+                sizes, comps = [np.array(x) for x in n], [np.array(x) for x in comp]
+                marks = [np.frombuffer(b"".join(x), np.uint64).reshape(len(x), -1) for x in bits]
+                for one in range(len(sig[0])):
+                    near = _near(sizes[0][one], marks[0][one], sizes[1], marks[1], percent) & (comps[1] != comps[0][one])
+                    for other in np.flatnonzero(near):
+                        if rows["a"][at] != rows["b"][at] or sig[0][one] < sig[1][other]:
+                            u.append(sig[0][one])
+                            v.append(sig[1][other])
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], ["u", "v"])
+
+    return pairs.join(left, "a").join(right, "b").mapInArrow(of, "u binary, v binary")
 
 
 def _grouped(sets: DataFrame, links: DataFrame, label: str) -> DataFrame:
@@ -256,28 +300,24 @@ def jaccard_components(
 
     near = settle(linked(settle(star_pairs(sets, percent), "band-pairs"), sets, rows, shingle, percent), "band-links")
     groups = settle(_grouped(sets, near, "bands"), "groups")
-    sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    grouped = settle(_met(groups, sizes, "root").join(sets, "sig").select(
-        "sig", "doc_id", "row", "times", "n", "bits", F.xxhash64("root").alias("grp"), "members"), "grouped-sets")
+    grouped = settle(similar_groups(sets, groups), "grouped-sets")
+    sizes = grouped.groupBy("grp").agg(
+        F.count(F.lit(1)).alias("members"), F.when(F.min("comp") == F.max("comp"), F.min("comp")).alias("comp"))
 
     hot = spark.sparkContext.broadcast(common_tokens(found))
-    of_set = grouped.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "grp", "members", (F.col("times") > 1).alias("again"))
+    of_set = grouped.drop("comp").join(sizes, "grp").select(
+        F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "grp", "comp", (F.col("members") > 1).alias("several"), (F.col("times") > 1).alias("again"))
     firsts = settle(matrix_rows(rows, hot, shingle, percent).join(
-        of_set, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row"))).select("grp", "members", "again", "spare", "first"), "first-tokens")
+        of_set, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row"))).select("grp", "comp", "several", "again", "spare", "first"), "first-tokens")
     token = F.explode("first").alias("token")
     # The union of a group holds each token once; a set on its own is its own union.
-    several = (F.col("members") > 1) | F.col("again")
-    union = firsts.where(several).select("grp", "members", "spare", token).groupBy("grp", "members", "token").agg(F.min("spare").alias("spare"))
-    matrix = firsts.where(~several).select(token, "grp", "members", "spare").unionByName(settle(union, "group-unions"))
-
-    opened = settle(group_pairs(matrix), "group-pairs")
-    member = grouped.select("grp", "sig", "n", "bits")
-    left, right = (member.select(F.col("grp").alias(g), F.col("sig").alias(s), F.col("n").alias(f"{s}_n"), F.col("bits").alias(f"{s}_bits"))
-                   for g, s in (("query", "u"), ("grp", "v")))
-    # The members of the smaller group are the queries; those of the larger one only meet them inside the join.
-    queries = opened.join(left, "query").alias("q")
-    met = queries.join(right.alias("m"), (F.col("q.grp") == F.col("m.grp")) & _near(percent)).select("u", "v")
-    across = linked(settle(met, "opened-pairs"), sets, rows, shingle, percent)
+    several = F.col("several") | F.col("again")
+    union = firsts.where(several).select("grp", "comp", "spare", token).groupBy("grp", "comp", "token").agg(F.min("spare").alias("spare"))
+    matrix = firsts.where(~several).select(token, "grp", "comp", "spare").unionByName(settle(union, "group-unions"))
+    # A group whose members are not all connected is opened for its own members too.
+    mixed = sizes.where("comp IS NULL").select(F.col("grp").alias("a"), F.col("grp").alias("b"))
+    opened = settle(group_pairs(matrix).unionByName(mixed), "group-pairs")
+    across = linked(settle(opened_pairs(opened, grouped, percent), "opened-pairs"), sets, rows, shingle, percent)
     roots = settle(_grouped(sets, settle(near.union(across), "links"), "linked"), "set-roots")
 
     least = roots.join(sets.select("sig", "doc_id"), "sig").groupBy("root").agg(F.min("doc_id").alias("component_id"))

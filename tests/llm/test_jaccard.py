@@ -99,6 +99,7 @@ def test_matrix_alone_finds_every_link(spark, corpus, monkeypatch):
     rows = corpus[:230]
     assert found(spark, rows) == by_hand(rows)
     monkeypatch.setattr(jaccard, "HOT", 8)
+    monkeypatch.setattr(jaccard, "GROUP", 3)
     monkeypatch.setattr(jaccard, "PROBE", 0)
     assert found(spark, rows) == by_hand(rows)
 
@@ -118,8 +119,9 @@ def test_bounds_hold_for_linked_sets():
         order = hot, np.arange(1, len(hot) + 1)
         met = len(np.intersect1d(jaccard._first(a, order, 80), jaccard._first(b, order, 80)))
         assert met >= min(jaccard._spare(len(a), 80), jaccard._spare(len(b), 80))
-        differ = int(np.bitwise_count((jaccard._bits(a) ^ jaccard._bits(b)).view(np.uint64)).sum())
+        differ = int(np.bitwise_count(jaccard._bits(a) ^ jaccard._bits(b)).sum())
         assert differ * 180 <= 20 * (len(a) + len(b))
+        assert jaccard._near(np.array(len(a)), jaccard._bits(a), np.array(len(b)), jaccard._bits(b), 80)
 
 
 def test_very_long_texts_and_repeated_rows(spark):
