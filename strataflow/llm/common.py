@@ -56,13 +56,15 @@ def fold_remainder(doc_id: Column, folds: int) -> Column:
 def prefix_ranks(df: DataFrame, group: list[str], order: list[str], buckets: int, name: str) -> DataFrame:
     """Gapless numbers from 0 within ``group`` without bringing a group into one task.
 
-    Rows of a group are dealt into ``buckets`` by a hash of ``order``; numbers within a bucket are
+    Rows of a group are dealt into ``buckets`` by a hash of ``order`` and their place in the input; numbers within a bucket are
     shifted by the sizes of the buckets before it.  The table of sizes has at most groups x buckets
-    rows.  ``order`` must tell rows apart; rows that agree in all of it may swap numbers.
+    rows.  Rows that agree in all of ``order`` are spread like any others, as their numbers may be swapped; the dealt rows are
+    written, so a task that runs again deals alike.
     """
     from pyspark.sql import Window
 
-    dealt = df.withColumn("__bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
+    place = F.xxhash64(F.xxhash64(*order), F.monotonically_increasing_id())
+    dealt = settle(df.withColumn("__bucket", F.pmod(place, F.lit(buckets)).cast("int")), "dealt")
     sizes = dealt.groupBy(*group, "__bucket").agg(F.count("*").alias("__size"))
     earlier = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select(

@@ -26,7 +26,7 @@ from strataflow.llm.common import fold_remainder, table
 
 FOLDS, HELD = 4, 2
 UNDETERMINED = "und"
-# The bounded sample: about so many documents per language, chosen by a hash of the id, so many characters of each, and so many in all.
+# The bounded sample: about so many documents per language, chosen by a hash of the id, so many letters of each at most, and so many in all.
 SAMPLE_DOCS, DOC_CHARS, SAMPLE_CHARS = 200, 200, 16_000
 # Languages parsed at once; more are parsed group by group.
 GROUP = 64
@@ -211,26 +211,42 @@ def fit(docs: DataFrame, learnable, key: str = "doc_id", text: str = "text", lan
         doc_chars: int = DOC_CHARS, sample_chars: int = SAMPLE_CHARS) -> Model:
     """Learns from rows where ``learnable`` holds and lang is not null.
 
-    About ``sample_docs`` documents per language, drawn by a hash of the id at a rate that follows the language's size, ``doc_chars``
-    characters of each and ``sample_chars`` of all, for any number of languages.  Rows that repeat an id count once.
+    About ``sample_docs`` documents per language, drawn by a hash of the id at a rate that follows the language's size, for any number of
+    languages.  A document gives a piece of at most ``doc_chars`` letters from a hashed place of its whole text, and all drawn documents share
+    ``sample_chars``, so a header that the texts open with weighs no more than it is long.  Rows that repeat an id count once.
     """
     named = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & learnable)
-    named = named.select(F.col(lang).cast("string").alias("lang"), F.col(key).alias("key"), F.col(text).alias("text"))
+    named = named.select(F.col(lang).cast("string").alias("lang"), F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     # One number per language, as few as the automata every task holds.
     rates = F.broadcast(named.groupBy("lang").agg((F.lit(sample_docs) / F.count("*")).alias("rate")))
-    mixed = F.xxhash64("key", F.lit("language")) / 2.0 ** 64 + 0.5
-    # About sample_docs short strings per language reach the driver.
-    drawn = named.join(rates, "lang").where(mixed < F.col("rate")).groupBy("lang", mixed.alias("h")).agg(
-        F.min(F.substring("text", 1, 8 * doc_chars)).alias("t"))
-    samples: dict[str, list[str]] = {}
-    seen: set[tuple[str, str]] = set()
-    for r in sorted(drawn.collect(), key=lambda r: (r.lang, r.h, r.t)):
-        text_part, kept = letters(r.t)[:doc_chars], samples.setdefault(r.lang, [])
-        room = sample_chars - sum(map(len, kept))
-        if text_part and room > 0 and (r.lang, text_part) not in seen:
-            seen.add((r.lang, text_part))
-            kept.append(text_part[:room])
-    return Model.fit({name: texts for name, texts in samples.items() if texts})
+    hashed = F.xxhash64("key", F.lit("language"))
+    drawn = named.join(rates, "lang").where(hashed / 2.0 ** 64 + 0.5 < F.col("rate")).groupBy("lang", hashed.alias("h")).agg(F.min("text").alias("t"))
+
+    @F.pandas_udf("string")
+    def piece(texts: pd.Series, places: pd.Series) -> pd.Series:
+        return pd.Series([sampled(letters(t), h, doc_chars) for t, h in zip(texts, places)], dtype=object)
+
+    # About sample_docs strings of at most doc_chars letters per language reach the driver.
+    pieces: dict[str, dict[str, None]] = {}
+    for r in sorted(drawn.select("lang", "h", piece("t", "h").alias("t")).collect(), key=lambda r: (r.lang, r.h, r.t)):
+        if r.t:
+            pieces.setdefault(r.lang, {})[r.t] = None
+    return Model.fit({name: shared_out(list(held), sample_chars) for name, held in pieces.items()})
+
+
+def sampled(text: str, place: int, size: int) -> str:
+    """At most ``size`` letters of a text from a place that a number picks, the same for the same number."""
+    start = place % (len(text) - size + 1) if len(text) > size else 0
+    return text[start:start + size]
+
+
+def shared_out(pieces: list[str], total: int) -> list[str]:
+    """The pieces cut so that they hold ``total`` letters at most: short ones whole, the others equally long."""
+    out, left = {}, total
+    for waiting, (n, text) in zip(range(len(pieces), 0, -1), sorted(enumerate(pieces), key=lambda x: len(x[1]))):
+        out[n] = text[:left // waiting]
+        left -= len(out[n])
+    return [out[n] for n in range(len(pieces)) if out[n]]
 
 
 def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", folds: int = FOLDS, held: int = HELD) -> DataFrame:

@@ -158,15 +158,25 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         (uniform(F.col("row.doc_id")) < chance).alias("kept"))
 
 
-def op10_sql(sweeps: int = SWEEPS) -> str:
-    """The same fitting as chained relations."""
-    steps, at = [], "start_cells"
-    for n in range(sweeps):
+def op10_sql(sweeps: int = SWEEPS, most: int = 24, budget: float = BUDGET, tolerance: float = TOLERANCE) -> str:
+    """The same fitting as chained relations: the first sweep after which every marginal fits, of ``most`` written out, and the budget in closed form.
+
+    The divisor that draws the budget keeps the cells of the largest ratios whole; sums over the cells in the order of their ratios give, for every number
+    of whole cells, the divisor that goes with it, and the right one lies between the ratios at that place.
+    """
+    steps, at, errors = [], "start_cells", []
+    for n in range(most):
         for d in DIMENSIONS:
             steps.append(
                 f"r{n}_{d} AS MATERIALIZED (SELECT c.source, c.lang, c.topic, c.mass, "
                 f"c.weight * t.share / sum(c.weight) OVER (PARTITION BY c.{d}) AS weight FROM {at} c JOIN t_{d} t ON t.v = c.{d})")
             at = f"r{n}_{d}"
+        if n + 1 >= sweeps:
+            parts = " UNION ALL ".join(
+                f"SELECT max(abs(w / share - 1)) AS e FROM (SELECT {d} AS v, sum(weight) AS w FROM {at} GROUP BY 1) JOIN t_{d} USING (v)" for d in DIMENSIONS)
+            errors.append(f"SELECT {n} AS n, (SELECT max(e) FROM ({parts})) AS e")
+    fits = "\n  UNION ALL ".join(errors)
+    found = "\n  UNION ALL ".join(f"SELECT *, {n} AS n FROM r{n}_{DIMENSIONS[-1]}" for n in range(sweeps - 1, most))
     shares = ",\n".join(
         f"t_{d} AS (SELECT v, lifted / sum(lifted) OVER () AS share FROM "
         f"(SELECT {d} AS v, pow(sum(mass)::DOUBLE, {FLATTEN[d]}) AS lifted FROM start_cells GROUP BY 1))" for d in DIMENSIONS)
@@ -184,7 +194,19 @@ WITH d AS (
 ),
 {shares},
 {", ".join(steps)},
-chances AS (SELECT source, lang, topic, weight / mass / max(weight / mass) OVER () AS p FROM {at})
+fits AS MATERIALIZED ({fits}),
+raked AS MATERIALIZED (SELECT * FROM ({found}) WHERE n = (SELECT coalesce(min(n) FILTER (WHERE e <= {tolerance}), max(n)) FROM fits)),
+ratios AS (SELECT weight / mass AS ratio, sum(mass)::DOUBLE AS mass, sum(weight) AS weight FROM raked GROUP BY 1),
+places AS (
+  SELECT ratio, coalesce(lead(ratio) OVER (ORDER BY ratio DESC), 0) AS below, sum(mass) OVER (ORDER BY ratio DESC) AS whole,
+    coalesce(sum(weight) OVER (ORDER BY ratio DESC ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0) AS rest, {budget} * sum(mass) OVER () AS wanted
+  FROM ratios
+), divisors AS (
+  SELECT CASE WHEN (SELECT sum(least(1.0, weight / mass / m) * mass) FROM raked, (SELECT max(ratio) AS m FROM ratios)) >= (SELECT max(wanted) FROM places)
+              THEN (SELECT max(ratio) FROM ratios)
+              ELSE (SELECT min(rest / (wanted - whole)) FROM places WHERE wanted > whole AND rest / (wanted - whole) <= ratio AND rest / (wanted - whole) > below) END AS base
+),
+chances AS (SELECT source, lang, topic, least(1.0, weight / mass / base) AS p FROM raked, divisors)
 SELECT doc_id, source, lang, topic, tokens, round(p, 9) AS probability,
        ('0x' || substr(md5('mix/' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / pow(16, 13) < p AS kept
 FROM marked JOIN chances USING (source, lang, topic)

@@ -121,27 +121,6 @@ def quality(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str
         "kept", ~F.col("base_failed") & (F.col("removed_words") <= F.lit(depleted) * F.col("n_words")))
 
 
-def without_boilerplate(docs: DataFrame, common: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
-    """The rows with the common lines cut out of ``text``; ``common`` holds (host, line).
-
-    A host's common lines travel with its documents, so their number must be small; the texts are not shuffled if the list is.
-    """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            texts = []
-            for value, gone in zip(rows[text], rows["__gone"]):
-                if value is None or gone is None:
-                    texts.append(value)
-                    continue
-                drop = {int(h) & (1 << 64) - 1 for h in gone}
-                texts.append("\n".join(x for x in value.split("\n") if xxhash.xxh64_intdigest(normalised(x.encode())) not in drop))
-            yield rows.assign(**{text: texts}).drop(columns="__gone")
-
-    listed = common.groupBy(F.col("host").alias("__host")).agg(F.collect_set("line").alias("__gone"))
-    joined = docs.join(listed, F.coalesce(F.col(host).cast("string"), F.lit("(none)")) == F.col("__host"), "left").drop("__host")
-    return joined.mapInPandas(run, docs.schema)
-
-
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract's counts and the verdict for every document, with ``source`` as the host."""
     return quality(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).withColumnRenamed("key", "doc_id")
@@ -166,11 +145,7 @@ words AS MATERIALIZED (
   FROM (SELECT doc_id, host, unnest(string_split(text, chr(10))) AS line FROM d)
 ), full_lines AS (SELECT * FROM lines WHERE n > 0),
 dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM full_lines GROUP BY 1),
-hosts AS (SELECT host, count(*) AS docs FROM d GROUP BY 1),
-common AS (
-  SELECT l.host, l.norm FROM full_lines l JOIN hosts h USING (host) GROUP BY l.host, l.norm, h.docs
-  HAVING count(DISTINCT doc_id) > 20 AND count(DISTINCT doc_id) > CAST(0.01 AS DOUBLE) * h.docs
-), lost AS (SELECT doc_id, sum(n) AS n FROM full_lines JOIN common USING (host, norm) GROUP BY 1),
+common AS (SELECT host, norm FROM full_lines GROUP BY host, norm HAVING count(DISTINCT doc_id) > 20), lost AS (SELECT doc_id, sum(n) AS n FROM full_lines JOIN common USING (host, norm) GROUP BY 1),
 counted AS (
   SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
     len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(dups.n, 0)::BIGINT AS n_dup_lines,

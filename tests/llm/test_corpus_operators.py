@@ -8,7 +8,9 @@ import struct
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
+import oracle
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -166,9 +168,6 @@ def test_common_lines_deplete_a_document_of_one_host_only(spark, none):
     assert got[1].removed_words == 54 and got[1].kept and got[59].removed_words == 0
     doubled = {r.key: r for r in quality_rules.quality(frame.union(frame), least_docs=10, share=0.1).collect()}
     assert doubled[100].removed_words == got[100].removed_words
-    common_lines = spark.createDataFrame([("a", int(np.array(xxhash.xxh64_intdigest(quality_rules.normalised(line.encode())), dtype=np.uint64).view(np.int64)))], "host string, line long")
-    cut = {r.doc_id: r.text for r in quality_rules.without_boilerplate(frame, common_lines).collect()}
-    assert cut[1] == prose(1, 60) and line in cut[0] and cut[100] == prose(100, 55)
     assert quality_rules.quality(none).count() == 0
 
 
@@ -180,8 +179,39 @@ def test_a_line_is_as_common_in_a_large_host_as_in_a_small_one(spark):
     assert {r.key for r in got} == {*range(0, 2500, 100), *range(3000, 3025)} and not any(r.kept for r in got)
 
 
+def differs_from_sql(spark, tmp_path, rows, query, sql):
+    """What a registered query and its SQL say of a table of documents."""
+    common.ready(spark).createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    return oracle.compare(query(spark, str(tmp_path)), con, sql)
+
+
+def test_quality_sql_has_the_limit_of_the_query(spark, tmp_path):
+    """A host of 3,000 documents, thirty of which share a line: fewer than one in a hundred."""
+    line = "please accept all cookies before you read on " * 9
+    rows = [(n, prose(n, 60) + ("\n" + line if n % 100 == 0 else ""), "en", "hot") for n in range(3000)]
+    assert differs_from_sql(spark, tmp_path, rows, quality_rules.op2_quality_rules, quality_rules.OP2_SQL) is None
+
+
+def test_mixing_sql_has_the_budget_of_the_query(spark, tmp_path):
+    """A stray document with a source of its own would thin out all others; sources that go with languages need more sweeps."""
+    rows = [(n, prose(n, 40 + n % 90), ("en", "de", "fr")[n % 3 if n % 10 == 0 else 0], f"s{n % 7}") for n in range(900)] + [(5000, prose(1, 50), "en", "stray")]
+    assert differs_from_sql(spark, tmp_path, rows, mixing.op10_mixing, mixing.op10_sql()) is None
+
+
 # 3 sharding
 
+def test_equal_rows_are_numbered_in_many_buckets(spark, monkeypatch):
+    dealt, real = [], common.settle
+    monkeypatch.setattr(common, "settle", lambda df, label: dealt.append(real(df, label)) or dealt[-1])
+    rows = spark.range(20_000).select(F.lit(1).alias("g"), F.lit(7).alias("a"))
+    got = common.prefix_ranks(rows, ["g"], ["a"], 16, "n")
+    assert sorted(r.n for r in got.collect()) == list(range(20_000))
+    sizes = [r["count"] for r in dealt[0].groupBy("__bucket").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 20_000 / 16
+
+
 def test_shards_are_stable_gapless_and_near_their_weights(docs, texts, none):
     got = sharding.shard(docs, [1.0] * 24, grown=[1.0] * 25).collect()
     assert len(got) == len(texts)
@@ -388,6 +418,19 @@ def test_language_on_the_given_documents_and_odd_rows(spark, sf_dir, docs, none)
     assert language.identify(none, model).count() == 0
 
 
+def test_pieces_come_from_anywhere_in_a_text(spark):
+    """Texts of two languages behind one long header: the header alone tells nothing, what follows does."""
+    header = "this page is kept by the council of the town and may be read by all who live there " * 40
+    rows = [(n, header + prose(n, 300, 40) if n % 2 else header + " ".join(f"za{w}ok" for w in prose(n, 300, 40).split()), "w" if n % 2 else "z") for n in range(120)]
+    docs = common.ready(spark).createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs, F.lit(True), sample_docs=1000)
+    assert max(len(model.languages), 0) == 2
+    names, _ = model.predict([language.letters(prose(500, 100, 40)), language.letters(" ".join(f"za{w}ok" for w in prose(501, 100, 40).split()))])
+    assert names == ["w", "z"]
+    assert language.sampled("abcdef", 4, 3) in ("abc", "bcd", "cde", "def") and language.sampled("ab", 9, 3) == "ab"
+    assert language.shared_out(["a" * 10, "b", "c" * 100], 21) == ["a" * 10, "b", "c" * 10] and language.shared_out([], 5) == []
+
+
 def test_number_signs_are_no_letters():
     assert [language.letters(t) for t in ("12 \u00b2 \u00bd _", "x\u00b2", "\u00d1\u00d8 1", None)] == ["", "x\u00b2", "\u00f1\u00f8", ""]
 
