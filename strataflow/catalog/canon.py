@@ -8,10 +8,11 @@ from __future__ import annotations
 from datetime import date
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.config import WarehouseConfig
+from strataflow.operators.ordered import ordinals
 from strataflow.plans import aggregates, facts
 from strataflow.functions import time_bucket
 
@@ -47,13 +48,17 @@ class Canon:
         )
 
     def items(self, with_id: bool = False) -> DataFrame:
-        """Lines have no key of their own; ``with_id`` numbers the lines of an order, of which there are fewer than a million.
+        """Lines have no key of their own; ``with_id`` numbers all of them from 1, order by order.
 
-        Lines that agree in every column get different numbers, so none is taken for a repeat of another.
+        Lines that agree in every column get different numbers, so none is taken for a repeat of another.  The numbers are dealt in
+        chunks of a range partitioning, so an order of any number of lines is spread like any other rows.
         """
         lines = self.raw("lineitem")
-        place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*lines.columns))
-        ids = [(F.col("l_orderkey") * 1_000_000 + place).alias("item_id")] if with_id else []
+        ids = []
+        if with_id:
+            first = [c for c in lines.columns if c != "l_orderkey"]
+            lines = ordinals(lines, ["l_orderkey", *first])
+            ids = [F.col("row_no").alias("item_id")]
         price = self.raw("part").select("p_partkey", F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price"))
         return lines.select(
             *ids, F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),

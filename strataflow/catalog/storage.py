@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 from functools import reduce
 
@@ -222,3 +223,41 @@ def _(c: Canon) -> DataFrame:
     register_views(_built(c), c.cfg)
     return shown(c.spark.sql(
         "SELECT province, order_cnt, gmv, (SELECT COUNT(*) FROM metric_category_share) AS categories FROM metric_gmv_by_region"))
+
+
+@query("bucketed_join", """
+SELECT CAST(year(order_date) AS INTEGER) AS year, COUNT(*) AS lines, CAST(SUM(line_amount) AS DOUBLE) AS line_amount,
+       CAST(SUM(total_amount) AS DOUBLE) AS order_amount FROM f_detail JOIN (SELECT order_id, total_amount FROM f_order) USING (order_id) GROUP BY 1""")
+def _(c: Canon) -> DataFrame:
+    """Lines with their orders from the bucketed facts of the build."""
+    tables = warehouse.bucket_facts(_built(c), 8, f"b{uuid.uuid4().hex}_")
+    lines, orders = c.spark.table(tables["order_detail_fact"]), c.spark.table(tables["order_fact"]).select("order_id", "total_amount")
+    return shown(lines.join(orders.hint("merge"), "order_id").groupBy(F.year("order_date").alias("year")).agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("line_amount").alias("line_amount"), F.sum("total_amount").alias("order_amount")))
+
+
+@query("point_lookup", """
+, keys AS (SELECT CAST(MAX(order_id) AS BIGINT) AS some_order, CAST(MAX(user_id) AS BIGINT) AS some_user FROM f_order)
+SELECT 'order present' AS lookup, (SELECT COUNT(*) FROM f_order WHERE order_id = some_order) AS found, TRUE AS reads_part, TRUE AS reads_no_more FROM keys
+UNION ALL SELECT 'order absent', 0, TRUE, TRUE
+UNION ALL SELECT 'user present', (SELECT COUNT(*) FROM f_order WHERE user_id = some_user), TRUE, TRUE FROM keys
+UNION ALL SELECT 'user absent', 0, TRUE, TRUE""")
+def _(c: Canon) -> DataFrame:
+    """Lookups in a table sorted by order with Bloom filters on the buyer, next to a plain one: rows found, whether only a part of the table was
+    read for them, and no more than of the plain one.
+
+    Every other order key is unused, and buyers are known by a hash, so absent keys lie within the range of present ones.
+    """
+    order_key, user_key = (F.col("order_id") * 2).alias("order_key"), F.xxhash64("user_id").alias("user_key")
+    rows = c.order_core().select(order_key, user_key, "order_date", "total_amount")
+    tuned, plain = scratch_path(c.spark, "lookup-tuned"), scratch_path(c.spark, "lookup-plain")
+    held = load_verified(rows.repartitionByRange(4, "order_key"), tuned, sort=("order_key",), lookup={"user_key": 10_000}, row_group_bytes=2 << 10)
+    load_verified(rows.repartition(4, F.xxhash64("order_key")), plain)
+    top = c.order_core().agg(F.max(order_key).alias("o"), F.max("user_id").alias("u")).select("o", F.xxhash64("u").alias("u"), F.xxhash64(F.lit(-1).cast("long")).alias("nobody")).first()
+    wanted = (("order present", "order_key", top.o), ("order absent", "order_key", top.o - 1), ("user present", "user_key", top.u), ("user absent", "user_key", top.nobody))
+    out = []
+    for label, name, key in wanted:
+        found, read = reports.rows_scanned(c.spark.read.parquet(tuned).where(F.col(name) == key))
+        _, plainly = reports.rows_scanned(c.spark.read.parquet(plain).where(F.col(name) == key))
+        out.append((label, found, read < held, read <= plainly))
+    return c.spark.createDataFrame(out, "lookup string, found long, reads_part boolean, reads_no_more boolean")

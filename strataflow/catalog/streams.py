@@ -21,17 +21,18 @@ from strataflow.streaming import (
     session_stream,
     sliding_stats_stream,
 )
+from strataflow.streaming.running import drain_running, running_rows
 
 
 def _events(c: Canon) -> DataFrame:
     return c.raw("events").select("event_id", "ts", "user_id", F.col("value").cast("decimal(10,2)").alias("amount"))
 
 
-def _arriving(c: Canon) -> DataFrame:
-    """The event table in six files that arrive one per batch, each holding rows of all times."""
+def _arriving(c: Canon, lots: int = 6) -> DataFrame:
+    """The event table in files that arrive one per batch, each holding rows of all times."""
     path = scratch_path(c.spark, "arriving")
-    for part in range(6):
-        _events(c).where(F.pmod(F.xxhash64("event_id"), F.lit(6)) == part).write.mode("append").parquet(path)
+    for part in range(lots):
+        _events(c).where(F.pmod(F.xxhash64("event_id"), F.lit(lots)) == part).write.mode("append").parquet(path)
     return read_file_stream(c.spark, path, _events(c).schema, max_files=1)
 
 
@@ -114,3 +115,29 @@ def _(c: Canon) -> DataFrame:
     both = c.activity_minutes().join(stream, F.col("bucket_time").eqNullSafe(F.col("_time")), "full")
     same = F.col("minute_order_count").eqNullSafe(F.col("_count")) & F.col("minute_gmv").eqNullSafe(F.col("_gmv"))
     return both.agg(F.count(F.lit(1)).alias("minutes"), F.count_if(~same).cast("int").alias("different"))
+
+
+@query("stream_running_carried", "SELECT * FROM activity_running")
+def _(c: Canon) -> DataFrame:
+    """The running total from carried day totals, over batches without order."""
+    root = scratch_path(c.spark, "running")
+    drain_running(_arriving(c, 3), root, scratch_path(c.spark, "running-checkpoint"), "ts", "amount")
+    return shown(running_rows(c.spark, root))
+
+
+_LATE = "event_id % 97 = 0 AND day(ts) <= 5"
+
+
+@query("stream_running_late", f"""
+, placed AS (SELECT ts, CASE WHEN {_LATE} THEN 3 ELSE least((day(ts) - 1) // 10, 2) END AS batch FROM activity),
+written AS (SELECT CAST(batch AS INTEGER) AS batch, COUNT(DISTINCT CAST(ts AS DATE)) AS days_written FROM placed GROUP BY batch)
+SELECT batch, days_written, (SELECT CAST(SUM(amount) AS DOUBLE) FROM activity) AS total FROM written""")
+def _(c: Canon) -> DataFrame:
+    """Three batches of ten days each and one of rows that come late: the days each one writes are its own, and the last total has everything."""
+    path, root = scratch_path(c.spark, "by-day"), scratch_path(c.spark, "running")
+    place = F.when(F.expr(_LATE), 3).otherwise(F.least(F.floor((F.day("ts") - 1) / 10), F.lit(2)))
+    for number in range(4):
+        _events(c).where(place == number).coalesce(1).write.mode("append").parquet(path)
+    _, written = drain_running(read_file_stream(c.spark, path, _events(c).schema, max_files=1), root, scratch_path(c.spark, "cp"), "ts", "amount")
+    rows = c.spark.createDataFrame(list(enumerate(written)), "batch int, days_written long")
+    return shown(rows.withColumn("total", running_rows(c.spark, root).agg(F.max_by("running_gmv", "bucket_time")).scalar()))

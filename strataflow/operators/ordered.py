@@ -84,6 +84,25 @@ def running_total(
     return carried.select(*df.columns, *[total(m, out) for m, out in measures.items()])
 
 
+def preceding_max(
+    df: DataFrame,
+    order: Sequence[str],
+    measure: str,
+    keys: Sequence[str] = (),
+    name: str = "reached",
+    pieces: int | None = None,
+    chunk: Column | None = None,
+) -> DataFrame:
+    """Adds the greatest measure of all earlier rows, per ``keys``; NULL for the first row."""
+    rows = _chunked(df, order, keys, pieces, chunk)
+    tops = rows.groupBy(*keys, _CHUNK).agg(F.max(measure).alias("_top"))
+    before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = _across_borders(tops, keys).select(*keys, _CHUNK, F.max("_top").over(before).alias("_earlier"))
+    inside = Window.partitionBy(*keys, _CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    carried = _carry(rows, offsets, [*keys, _CHUNK], bounded=chunk is None)
+    return carried.select(*df.columns, F.greatest("_earlier", F.max(measure).over(inside)).alias(name))
+
+
 def ordinals(
     df: DataFrame,
     order: Sequence[str],

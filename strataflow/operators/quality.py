@@ -186,21 +186,22 @@ def price_deviation(items: DataFrame, products: DataFrame, tolerance: float = 0.
     )
 
 
-def event_chain_gaps(orders: DataFrame, events: DataFrame) -> DataFrame:
-    """Completed orders lacking one of their four events and cancelled orders lacking one of their two."""
-    seen = events.groupBy("order_id").agg(
-        *[F.max(F.col("to_status") == s).alias(f"_{s}") for s in ("created", "paid", "shipped", "completed", "cancelled")]
-    )
-    joined = orders.where(F.col("status").isin("completed", "cancelled")).select("order_id", "status").join(
-        seen, "order_id", "left"
-    )
+_CHAINS = {"completed": ("created", "paid", "shipped", "completed"), "cancelled": ("created", "cancelled")}
 
-    def has(status: str) -> Column:
-        return F.coalesce(F.col(f"_{status}"), F.lit(False))
 
-    full = F.when(
-        F.col("status") == "completed", has("created") & has("paid") & has("shipped") & has("completed")
-    ).otherwise(has("created") & has("cancelled"))
+def event_chain_gaps(orders: DataFrame, events: DataFrame) -> DataFrame:
+    """Completed and cancelled orders whose chain of events has a gap: an event that is missing, has no time, or comes before the one it follows.
+
+    Repeated events count by their first time.  Events of the same moment are in order.
+    """
+    statuses = dict.fromkeys(s for chain in _CHAINS.values() for s in chain)
+    seen = events.where(F.col("to_status").isin(*statuses)).groupBy("order_id").agg(
+        *[F.min(F.when(F.col("to_status") == s, F.col("event_time"))).alias(f"_{s}") for s in statuses])
+    joined = orders.where(F.col("status").isin(*_CHAINS)).select("order_id", "status").join(seen, "order_id", "left")
+    full = F.lit(True)
+    for status, chain in _CHAINS.items():
+        steps = [F.col(f"_{a}") <= F.col(f"_{b}") for a, b in zip(chain, chain[1:])]
+        full = F.when(F.col("status") == status, F.coalesce(reduce(lambda a, b: a & b, steps), F.lit(False))).otherwise(full)
     return joined.where(~full).select("order_id", "status")
 
 

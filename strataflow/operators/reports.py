@@ -64,6 +64,19 @@ def partitions_touched(df: DataFrame, ts: str, low: datetime, high: datetime, pa
     return measured(filter_range(df, ts, low, high, part), "range").unionByName(measured(df, "full"))
 
 
+def rows_scanned(df: DataFrame) -> tuple[int, int]:
+    """Runs a query that filters one table; the rows it gives and the rows its scan has read to find them.
+
+    Row groups and pages that statistics or Bloom filters rule out are not read and don't count.
+    """
+    found = len(df.collect())
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        plan = plan.executedPlan()
+    leaves = plan.collectLeaves()
+    return found, sum(int(leaves.apply(n).metrics().apply("numOutputRows").value()) for n in range(leaves.size()))
+
+
 def etl_throughput(log: DataFrame) -> DataFrame:
     """Rows per second and seconds of each logged step; 0 where no time was measured."""
     millis = F.col("duration_ms").cast("decimal(18,0)")

@@ -128,7 +128,7 @@ def refresh_changed(spark: SparkSession, root: str, spec: Increment, signed: Dat
     alive = merged.where(F.col(_ROWS) > 0).select(F.col(_PART).alias("_alive")).distinct()
     gone = merged.join(alive, F.col(_PART).eqNullSafe(F.col("_alive")), "left_anti")
     left = merged.where(F.col(_ROWS) > 0).unionByName(gone.where(F.col(_ROWS) <= 0))
-    replace_partitions(spark, path, settle(left, f"{spec.name}-left"), values, _PART, tuple(spec.keys))
+    replace_partitions(spark, path, left, values, _PART, tuple(spec.keys))
     return len(values)
 
 

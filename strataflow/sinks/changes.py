@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strataflow.session import settle
-from strataflow.sinks.upsert import _exists, _matching, _remove
+from strataflow.sinks.folders import _exists, _remove
+from strataflow.sinks.upsert import _matching
 
 SEQ, GONE, SIGN, BATCH = "_seq", "_gone", "_sign", "batch_no"
 INSERT, UPDATE, DELETE = "I", "U", "D"
@@ -78,13 +79,14 @@ def partition_values(rows: DataFrame, part: str) -> list:
 
 
 def replace_partitions(spark: SparkSession, path: str, merged: DataFrame, values: Sequence, part: str, sort: Sequence[str] = ()) -> None:
-    """Puts ``merged``, a settled frame, in the place of the partitions ``values``; partitions without rows are removed last."""
+    """Puts ``merged``, which must not read the table itself, in the place of the partitions ``values``; partitions without rows are removed last."""
     base = _read(spark, path)
     if base is not None:
         left = set(partition_values(merged, part))
         folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]+$", 1).alias("folder")
-        emptied = base.select("*", "_metadata").where(in_partitions(part, [v for v in values if v not in left]))
-        stale = [r.folder for r in emptied.select(folder).distinct().collect()]
+        lost = [v for v in values if v not in left]
+        emptied = base.select("*", "_metadata").where(in_partitions(part, lost))
+        stale = [r.folder for r in emptied.select(folder).distinct().collect()] if lost else []
     writer = merged.hint("rebalance", part).sortWithinPartitions(part, *sort).write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
     for name in stale if base is not None else ():

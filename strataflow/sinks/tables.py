@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.functions import wall
+from strataflow.sinks.folders import _remove, swap
 
 
 def stamp_sync_time(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -65,41 +67,60 @@ def load_verified(
     sort: Sequence[str | Column] = (),
     codec: str = "zstd",
     distribute: Sequence[str] = (),
+    lookup: Mapping[str, int] | None = None,
+    row_group_bytes: int | None = None,
 ) -> int:
     """Replace the table at ``path``; return its row count or raise if rows went missing.
 
     ``distribute`` names the distribution key of an unpartitioned table, ``sort``
     the order inside each file, which makes its min/max statistics selective.
+    ``lookup`` names columns that single values are looked up by, with the number of
+    different values expected in a file: each row group gets a Bloom filter of
+    them, which tells most row groups without the value although the column is not
+    sorted.  ``row_group_bytes`` sizes the row groups, the least that a scan skips.
 
     Partitioned tables are written through a REBALANCE on the partition key:
     adaptive execution splits a month that holds far more rows than the others
     into several tasks and merges the small ones, so there is neither one huge
     writer nor a file per task and month.  The input is counted inside the
     write itself, in the stage that writes, where re-run tasks count once.
+
+    The rows are written beside the table and counted there; only a complete copy takes its place, so a load that fails
+    leaves the old table as it was, and a table may be loaded from itself.
     """
     spark = df.sparkSession
-    counted = Observation()
+    counted, aside = Observation(), f"{path.rstrip('/')}.loading-{uuid.uuid4().hex}"
     spread = [part] if part else list(distribute)
     shaped = df.hint("rebalance", *spread) if spread else df
     shaped = shaped.observe(counted, F.count(F.lit(1)).alias("rows"))
     if part or sort:
         shaped = shaped.sortWithinPartitions(*([part] if part else []), *sort)
     writer = shaped.write.mode("overwrite").option("compression", codec)
-    (writer.partitionBy(part) if part else writer).parquet(path)
-    submitted = int(counted.get["rows"])
-    loaded = spark.read.schema(df.schema).parquet(path).count()
-    if loaded != submitted:
-        raise RuntimeError(f"{path}: wrote {submitted} rows, table holds {loaded}")
+    for column, values in (lookup or {}).items():
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true").option(f"parquet.bloom.filter.expected.ndv#{column}", str(values))
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", str(row_group_bytes))
+    try:
+        (writer.partitionBy(part) if part else writer).parquet(aside)
+        submitted = int(counted.get["rows"])
+        loaded = spark.read.schema(df.schema).parquet(aside).count()
+        if loaded != submitted:
+            raise RuntimeError(f"{path}: wrote {submitted} rows, table holds {loaded}")
+        swap(spark, aside, path)
+    except BaseException:
+        _remove(spark, aside)
+        raise
     return loaded
 
 
-def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, sort: Sequence[str] = ()) -> None:
-    """Catalog table bucketed by ``key``: two such tables join on it without a shuffle.
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, sort: Sequence[str] = (), path: str | None = None) -> None:
+    """Catalog table bucketed by ``key``, at ``path`` or in the warehouse folder: two such tables join on it without a shuffle.
 
     A bucket is one task, which cannot be split, so this suits keys that spread
     evenly; ``load_verified`` tables keep adaptive skew handling.
     """
-    df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key, *sort).saveAsTable(table)
+    writer = df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key, *sort)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def refresh(spark: SparkSession, aggregates: Mapping[str, DataFrame], root: str, parallel: int = 4) -> dict[str, int]:

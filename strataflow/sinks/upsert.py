@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.session import settle
+from strataflow.sinks.folders import _remove
 
 
 def _latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -72,16 +73,3 @@ def _matching(rows: DataFrame, wanted: DataFrame, on: Sequence[str], how: str =
     right = wanted.select(*[F.col(c).alias(f"_w_{c}") for c in on])
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_w_{c}")) for c in on])
     return rows.join(right, same, how)
-
-
-def _remove(spark: SparkSession, folder: str) -> None:
-    """Delete a folder through the file system that holds it."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def _exists(spark: SparkSession, folder: str) -> bool:
-    """Whether there is such a folder in the file system that would hold it."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)

@@ -13,11 +13,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.functions import safe_ratio, time_bucket
 from strataflow.functions.timing import width_seconds
+from strataflow.operators.ordered import preceding_max, running_total
 
 
 @dataclass(frozen=True)
@@ -79,7 +80,8 @@ def session_stream(events: DataFrame, ts: str, key: str, gap: str = "30 minutes"
     """Activity sessions per key, closed by ``gap`` of silence.
 
     A batch is reduced to its sessions; sessions of different batches that overlap or touch are one.  Rows
-    without a time are counted in a session without bounds.  Merging orders a key's sessions, not its rows.
+    without a time are counted in a session without bounds.  Merging orders sessions, not rows, in chunks of a range partitioning over
+    keys and times: a key that holds most sessions is spread over several tasks.
     """
     def partial(rows: DataFrame) -> DataFrame:
         timed = rows.where(F.col(ts).isNotNull()).groupBy(F.col(key), F.session_window(ts, gap).alias("_w")).agg(
@@ -88,11 +90,12 @@ def session_stream(events: DataFrame, ts: str, key: str, gap: str = "30 minutes"
         return timed.unionByName(untimed, allowMissingColumns=True)
 
     def merge(partials: DataFrame) -> DataFrame:
-        order = Window.partitionBy(key).orderBy("session_start", "session_end")
-        reached = F.max("session_end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-        fresh = F.coalesce((F.col("session_start") > reached).cast("int"), F.lit(1))
-        timed = partials.where(F.col("session_start").isNotNull()).withColumn("_fresh", fresh)
-        merged = timed.withColumn("_no", F.sum("_fresh").over(order.rowsBetween(Window.unboundedPreceding, 0))).groupBy(key, "_no").agg(
+        # Stretches that agree are one, so that the order is total.
+        span = ["session_start", "session_end"]
+        timed = partials.where(F.col("session_start").isNotNull()).groupBy(key, *span).agg(F.sum("n").alias("n"))
+        reached = preceding_max(timed, span, "session_end", [key], "_reached")
+        fresh = reached.withColumn("_fresh", F.coalesce((F.col("session_start") > F.col("_reached")).cast("long"), F.lit(1)))
+        merged = running_total(fresh, span, {"_fresh": "_no"}, [key]).groupBy(key, "_no").agg(
             F.min("session_start").alias("session_start"), F.max("session_end").alias("session_end"), F.sum("n").alias("n")).drop("_no")
         untimed = partials.where(F.col("session_start").isNull()).groupBy(key).agg(F.sum("n").alias("n"))
         return merged.unionByName(untimed, allowMissingColumns=True)
