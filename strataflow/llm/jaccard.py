@@ -10,7 +10,8 @@
    for each pair of groups: a group bounds all its members as queries at once.  Pairs below their ``l``, and groups whose members are connected
    already, are never opened.
 4. Where a group is opened, its members meet the queries of the other group in one task, by parities: each token flips one of 2,048 bits, so the
-   bits that differ are at most as many as the tokens that do.  Only pairs near enough leave the task; they are compared token by token.
+   bits that differ are at most as many as the tokens that do.  Only pairs near enough leave the task; they are compared token by token.  At first
+   a query leaves with the nearest of every connected set alone; then groups are opened again for what is not connected yet, without that limit.
 
 Every link between sets that are not connected yet is found.  Tokens are 64-bit hashes of shingles, sets are known by 128 bits.  Neither the order of the
 tokens nor the grouping has any influence on the result.
@@ -248,8 +249,11 @@ def group_pairs(matrix: DataFrame) -> DataFrame:
     return counted.where("overlap >= needed").select("a", "b")
 
 
-def opened_pairs(pairs: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
-    """(u, v): members of opened groups that can be linked and are not connected yet; the others never leave the task."""
+def opened_pairs(pairs: DataFrame, grouped: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """(u, v): members of opened groups that can be linked and are not connected yet; the others never leave the task.
+
+    With ``nearest``, of the members of a group that are connected with each other only the one nearest to a query.
+    """
     members = grouped.groupBy("grp").agg(F.collect_list(F.struct("sig", "n", "comp", "bits")).alias("held"))  # about GROUP entries
     left, right = (members.select(F.col("grp").alias(side), *[F.col(f"held.{c}").alias(f"{side}_{c}") for c in ("sig", "n", "comp", "bits")]) for side in "ab")
 
@@ -262,13 +266,17 @@ def opened_pairs(pairs: DataFrame, grouped: DataFrame, percent: int) -> DataFram
                 marks = [np.frombuffer(b"".join(x), np.uint64).reshape(len(x), -1) for x in bits]
                 for one in range(len(sig[0])):
                     near = _near(sizes[0][one], marks[0][one], sizes[1], marks[1], percent) & (comps[1] != comps[0][one])
-                    for other in np.flatnonzero(near):
-                        if rows["a"][at] != rows["b"][at] or sig[0][one] < sig[1][other]:
-                            u.append(sig[0][one])
-                            v.append(sig[1][other])
+                    found = np.flatnonzero(near)
+                    if nearest and len(found) > 1:
+                        found = found[np.argsort(np.bitwise_count(marks[0][one] ^ marks[1][found]).sum(axis=1), kind="stable")]
+                        found = found[np.unique(comps[1][found], return_index=True)[1]]
+                    u += [sig[0][one]] * len(found)
+                    v += [sig[1][other] for other in found]
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], ["u", "v"])
 
-    return pairs.join(left, "a").join(right, "b").mapInArrow(of, "u binary, v binary")
+    found = pairs.join(left, "a").join(right, "b").mapInArrow(of, "u binary, v binary")
+    # A group that is opened for its own members finds a pair from either side.
+    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
 def _grouped(sets: DataFrame, links: DataFrame, label: str) -> DataFrame:
@@ -317,7 +325,11 @@ def jaccard_components(
     # A group whose members are not all connected is opened for its own members too.
     mixed = sizes.where("comp IS NULL").select(F.col("grp").alias("a"), F.col("grp").alias("b"))
     opened = settle(group_pairs(matrix).unionByName(mixed), "group-pairs")
-    across = linked(settle(opened_pairs(opened, grouped, percent), "opened-pairs"), sets, rows, shingle, percent)
+    nearest = settle(linked(settle(opened_pairs(opened, grouped, percent, True), "nearest-pairs"), sets, rows, shingle, percent), "nearest-links")
+    near = settle(near.union(nearest), "near-links")
+    so_far = _grouped(sets, near, "nearest").select("sig", F.xxhash64("root").alias("comp"))
+    regrouped = settle(grouped.drop("comp").join(so_far, "sig"), "regrouped-sets")
+    across = linked(settle(opened_pairs(opened, regrouped, percent, False), "opened-pairs"), sets, rows, shingle, percent)
     roots = settle(_grouped(sets, settle(near.union(across), "links"), "linked"), "set-roots")
 
     least = roots.join(sets.select("sig", "doc_id"), "sig").groupBy("root").agg(F.min("doc_id").alias("component_id"))
