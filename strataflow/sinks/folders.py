@@ -33,7 +33,7 @@ def swap(spark: SparkSession, fresh: str, folder: str) -> None:
     was_there = files.exists(target)
     if was_there and not files.rename(target, old):
         raise OSError(f"{folder} cannot be moved aside")
-    if not files.rename(source, target):
+    if not files.exists(source) or not files.rename(source, target):
         if was_there:
             files.rename(old, target)
         raise OSError(f"{fresh} cannot take the place of {folder}")
