@@ -37,8 +37,10 @@ HEADLINE = [
     "promo_compare", "order_fact", "order_detail_fact", "status_event_fact", "top_products", "category_share",
     "user_repurchase", "user_segment", "gmv_by_region", "traffic_peak_minutes", "gmv_running_total",
     "running_total_all_days", "running_total_rows", "rolling_avg", "rank_products_in_category", "reconcile_amounts", "upsert_latest", "dq_summary",
-    "stream_5m_stats", "stream_session",
+    "stream_5m_stats", "stream_session", "user_segment_selection", "amount_percentiles", "distinct_buyers_month", "promo_by_time_range",
 ]
+# Streams and maintained tables are built from nothing in each run, so once is enough.
+ONCE = ["change_feed_orders", "stream_event_minutes", "stream_running_carried"]
 
 
 def run(df) -> None:
@@ -79,6 +81,11 @@ def main() -> None:
 
     queries = {name: mean(lambda name=name: QUERIES[name](spark, SF_DIR)) for name in HEADLINE}
 
+    for name in ONCE:
+        begun = time.perf_counter()
+        run(QUERIES[name](spark, SF_DIR))
+        queries[name] = round(time.perf_counter() - begun, 4)
+
     compact, plain = scratch_path(spark, "compact"), scratch_path(spark, "plain")
     copies = replicate(c.orders(), 40).repartition(int(CPUS), "order_id")
     begun = time.perf_counter()
