@@ -9,8 +9,9 @@ with the smallest hash is a node, so whoever holds a window holds its node at th
    its node occurs, so one source, the smallest document at the node, decides the whole run.
 2. Windows that a branch or an end keeps out of the compacted paths are looked up one by one: the smallest document
    of each window, again by a join.
-3. Each claim is verified at its source: nodes and windows meet by one hash, and an occurrence counts as a repeat only if what it
-   carries of a second hash (the edges around a node, the digest of a window) equals that at the source's position.
+3. Each claim is checked by a second hash: nodes and windows meet by one hash, and an occurrence counts as a repeat only if what it
+   carries of another (the edges around a node, the digest of a window) equals what the source document has there.  The source's
+   position itself is not carried.
 
 Only hashes and positions are shuffled for the search; the texts are shuffled once, by document, and read twice from there.
 Counts are combined before their shuffles, and joins on a hot node or window are split by adaptive execution.
