@@ -11,7 +11,7 @@
    already, are never opened.
 4. Where a group is opened, its members meet the queries of the other group in one task, by parities: each token flips one of 2,048 bits, so the
    bits that differ are at most as many as the tokens that do.  Only pairs near enough leave the task; they are compared token by token.  At first
-   a query leaves with the nearest of every connected set alone; then groups are opened again for what is not connected yet, without that limit.
+   only the nearest pair between two connected sets leaves; then groups are opened again for what is not connected yet, without that limit.
 
 Every link between sets that are not connected yet is found.  Tokens are 64-bit hashes of shingles, sets are known by 128 bits.  Neither the order of the
 tokens nor the grouping has any influence on the result.
@@ -252,7 +252,7 @@ def group_pairs(matrix: DataFrame) -> DataFrame:
 def opened_pairs(pairs: DataFrame, grouped: DataFrame, percent: int, nearest: bool) -> DataFrame:
     """(u, v): members of opened groups that can be linked and are not connected yet; the others never leave the task.
 
-    With ``nearest``, of the members of a group that are connected with each other only the one nearest to a query.
+    With ``nearest``, of all pairs between two sets of connected members only the nearest one of an opened pair of groups.
     """
     members = grouped.groupBy("grp").agg(F.collect_list(F.struct("sig", "n", "comp", "bits")).alias("held"))  # about GROUP entries
     left, right = (members.select(F.col("grp").alias(side), *[F.col(f"held.{c}").alias(f"{side}_{c}") for c in ("sig", "n", "comp", "bits")]) for side in "ab")
@@ -264,14 +264,15 @@ def opened_pairs(pairs: DataFrame, grouped: DataFrame, percent: int, nearest: bo
                 sig, n, comp, bits = ([rows[f"{side}_{c}"][at] for side in "ab"] for c in ("sig", "n", "comp", "bits"))
                 sizes, comps = [np.array(x) for x in n], [np.array(x) for x in comp]
                 marks = [np.frombuffer(b"".join(x), np.uint64).reshape(len(x), -1) for x in bits]
-                for one in range(len(sig[0])):
-                    near = _near(sizes[0][one], marks[0][one], sizes[1], marks[1], percent) & (comps[1] != comps[0][one])
-                    found = np.flatnonzero(near)
-                    if nearest and len(found) > 1:
-                        found = found[np.argsort(np.bitwise_count(marks[0][one] ^ marks[1][found]).sum(axis=1), kind="stable")]
-                        found = found[np.unique(comps[1][found], return_index=True)[1]]
-                    u += [sig[0][one]] * len(found)
-                    v += [sig[1][other] for other in found]
+                near = _near(sizes[0][:, None], marks[0][:, None], sizes[1], marks[1], percent) & (comps[0][:, None] != comps[1])
+                one, other = np.nonzero(near)
+                if nearest and len(one) > 1:
+                    order = np.bitwise_count(marks[0][one] ^ marks[1][other]).sum(axis=1).argsort(kind="stable")
+                    ends = np.stack([comps[0][one], comps[1][other]], axis=1)[order]
+                    kept = order[np.unique(ends, axis=0, return_index=True)[1]]
+                    one, other = one[kept], other[kept]
+                u += [sig[0][n] for n in one]
+                v += [sig[1][n] for n in other]
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], ["u", "v"])
 
     found = pairs.join(left, "a").join(right, "b").mapInArrow(of, "u binary, v binary")
@@ -327,10 +328,12 @@ def jaccard_components(
     opened = settle(group_pairs(matrix).unionByName(mixed), "group-pairs")
     nearest = settle(linked(settle(opened_pairs(opened, grouped, percent, True), "nearest-pairs"), sets, rows, shingle, percent), "nearest-links")
     near = settle(near.union(nearest), "near-links")
-    so_far = _grouped(sets, near, "nearest").select("sig", F.xxhash64("root").alias("comp"))
+    roots = settle(_grouped(sets, near, "nearest"), "set-roots")
+    so_far = roots.select("sig", F.xxhash64("root").alias("comp"))
     regrouped = settle(grouped.drop("comp").join(so_far, "sig"), "regrouped-sets")
-    across = linked(settle(opened_pairs(opened, regrouped, percent, False), "opened-pairs"), sets, rows, shingle, percent)
-    roots = settle(_grouped(sets, settle(near.union(across), "links"), "linked"), "set-roots")
+    across = settle(linked(settle(opened_pairs(opened, regrouped, percent, False), "opened-pairs"), sets, rows, shingle, percent), "opened-links")
+    if not across.isEmpty():
+        roots = settle(_grouped(sets, near.union(across), "linked"), "set-roots")
 
     least = roots.join(sets.select("sig", "doc_id"), "sig").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = _met(roots, least, "root").select("sig", "component_id")
