@@ -49,10 +49,10 @@ def rows_of(seed, n, days=5):
 
 
 def test_batches_out_of_order_equal_the_whole_series(spark):
-    root, rows = scratch_path(spark, "running"), rows_of(1, 120) + [(START - timedelta(days=9), None), (None, "5.00")]
-    for number in range(3):
-        add_batch(spark, root, frame(spark, rows[number::3]), "ts", "amount", number)
-        assert add_batch(spark, root, frame(spark, rows[number::3]), "ts", "amount", number) == 0  # a replay
+    root, rows = scratch_path(spark, "running"), rows_of(1, 120, 3) + [(START - timedelta(days=9), None), (None, "5.00")]
+    for number in range(2):
+        add_batch(spark, root, frame(spark, rows[number::2]), "ts", "amount", number)
+    assert add_batch(spark, root, frame(spark, rows[1::2]), "ts", "amount", 1) == 0  # a replay
     assert shown(running_rows(spark, root)) == by_hand(rows)
     day = date(2024, 1, 1)
     one = running_rows(spark, root, day, day)
@@ -156,9 +156,14 @@ def test_lookups_read_few_row_groups(spark):
 
 
 @pytest.fixture(scope="module")
-def house(spark, sf_dir):
-    c = Canon(spark, sf_dir)
-    return warehouse.build(spark, c.sources(), scratch_path(spark, "house"), c.region(), c.promotions(), c.cfg, verify=False)
+def house(spark):
+    """Two fact tables where a build would have put them."""
+    built = warehouse.Warehouse(spark, scratch_path(spark, "house"))
+    orders = spark.range(500).select(F.col("id").alias("order_id"), F.lit(date(2024, 1, 1)).alias("order_date"), F.lit(1.0).alias("total_amount"), F.lit(202401).alias("ym"))
+    lines = spark.range(2000).select((F.col("id") % 500).alias("order_id"), F.col("id").alias("detail_id"), F.lit(202401).alias("ym"))
+    load_verified(orders, built.path("dwd", "order_fact"), "ym")
+    load_verified(lines, built.path("dwd", "order_detail_fact"), "ym")
+    return built
 
 
 def test_bucketed_facts_join_without_a_shuffle(spark, house):
