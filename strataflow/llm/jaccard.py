@@ -232,10 +232,12 @@ def star_pairs(sets: DataFrame, percent: int) -> DataFrame:
 
 def similar_groups(sets: DataFrame, connected: DataFrame) -> DataFrame:
     """The sets with ``grp``, the group of similar sets they are in, and ``comp``, what they are connected with so far."""
-    banded = sets.withColumn("band", F.get("keys", F.lit(0)))
+    banded = sets.select("sig", F.explode("keys").alias("band"))
     sizes = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size"))
+    # Of its bands a set goes by the one that most sets share, so that similar sets seldom fall apart into groups of one.
+    fullest = _met(banded, sizes, "band").groupBy("sig").agg(F.max(F.struct("size", "band")).alias("top")).select("sig", "top.size", "top.band")
     part = F.pmod(F.xxhash64("sig"), F.ceil(F.col("size") / GROUP))
-    grouped = _met(banded, sizes, "band").withColumn("grp", F.when(F.col("size") == 1, F.xxhash64("sig")).otherwise(F.xxhash64("band", part)))
+    grouped = sets.join(fullest, "sig").withColumn("grp", F.when(F.col("size") == 1, F.xxhash64("sig")).otherwise(F.xxhash64("band", part)))
     return grouped.join(connected, "sig").select("sig", "doc_id", "row", "times", "n", "bits", "grp", F.xxhash64("root").alias("comp"))
 
 
