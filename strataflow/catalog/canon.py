@@ -51,13 +51,15 @@ class Canon:
         """Lines have no key of their own; ``with_id`` numbers all of them from 1, order by order.
 
         Lines that agree in every column get different numbers, so none is taken for a repeat of another.  The numbers are dealt in
-        chunks of a range partitioning, so an order of any number of lines is spread like any other rows.
+        chunks of a range partitioning, so an order of any number of lines is spread like any other rows.  Columns behind the quantity
+        are not carried: lines that agree up to it are the same rows here, whichever comes first.
         """
         lines = self.raw("lineitem")
         ids = []
         if with_id:
-            first = [c for c in lines.columns if c != "l_orderkey"]
-            lines = ordinals(lines, ["l_orderkey", *first])
+            order = ["l_orderkey", *[c for c in lines.columns if c != "l_orderkey"]]
+            order = order[:order.index("l_quantity") + 1]
+            lines = ordinals(lines.select(*order), order)
             ids = [F.col("row_no").alias("item_id")]
         price = self.raw("part").select("p_partkey", F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price"))
         return lines.select(

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from strataflow.catalog.canon import Canon
 from strataflow.catalog.prelude import PRELUDE
-from strataflow.session import tune
+from strataflow.session import finely
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -20,7 +20,7 @@ def query(name: str, sql: str | None = None):
     """Register ``build(canon) -> DataFrame`` under ``name``; ``sql`` may use the prelude's relations."""
     def register(build: Callable[[Canon], DataFrame]) -> Callable[[Canon], DataFrame]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(Canon(tune(spark), sf_dir))
+            return build(Canon(finely(spark), sf_dir))
 
         if name in QUERIES:
             raise ValueError(f"query {name!r} registered twice")

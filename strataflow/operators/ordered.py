@@ -116,6 +116,8 @@ def ordinals(
     Equal to ROW_NUMBER, RANK and NTILE over the same keys, ascending; pass a
     negated column for descending order.
     """
+    if not keys and not rank and ntiles is None:
+        return _numbered(df, order, pieces)
     rows = _chunked(df, order, keys, pieces, None)
     value = F.col(order[0])
     inside = Window.partitionBy(*keys, _CHUNK)
@@ -148,6 +150,17 @@ def ordinals(
     return numbered.drop("_all")
 
 
+def _numbered(df: DataFrame, order: Sequence[str], pieces: int | None) -> DataFrame:
+    """``row_no`` alone: a chunk is sorted and numbered where it is written, so its rows are shuffled once."""
+    ranged = (df.repartitionByRange(pieces, *order) if pieces else df.repartitionByRange(*order)).sortWithinPartitions(*order)
+    # The number of the chunk in the upper bits, the place in it in the lower 33.
+    rows = settle(ranged.withColumn("_place", F.monotonically_increasing_id()), "ordered").withColumn(_CHUNK, F.shiftright("_place", 33))
+    before = Window.orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy(_CHUNK).agg(F.count(F.lit(1)).alias("_rows")).select(_CHUNK, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    place = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return _carry(rows, offsets, [_CHUNK]).select(*df.columns, (F.col("_before") + place + 1).alias("row_no"))
+
+
 def _tile(row_no: Column, rows: Column, tiles: int) -> Column:
     """The first ``rows % tiles`` tiles hold one row more than the others."""
     extra = F.pmod(rows, F.lit(tiles))

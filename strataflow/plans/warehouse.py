@@ -21,7 +21,7 @@ from strataflow.operators.clean import CLEAN_RULES, clean, is_complete
 from strataflow.plans import aggregates, dims, facts, metrics
 from strataflow.sinks import (
     AuditLog,
-    dedupe_latest,
+    dedupe_stored,
     load_many,
     load_verified,
     refresh,
@@ -29,7 +29,7 @@ from strataflow.sinks import (
     stamp_sync_time,
     with_month,
 )
-from strataflow.session import settle, tune
+from strataflow.session import finely, settle
 
 # Partition timestamp and sort key of each landed table; None means unpartitioned.
 LANDING_LAYOUT: dict[str, tuple[str | None, tuple[str, ...]]] = {
@@ -65,16 +65,17 @@ def _stage(house: Warehouse, sources: Mapping[str, DataFrame]) -> int:
 def _land(house: Warehouse, sources: Mapping[str, DataFrame], seen: dict[str, Observation]) -> int:
     """Cleaned sources, one row per business key, in their storage layout.
 
-    ``seen`` receives, per table, how many rows came in and how many were complete, counted by the load itself.
+    ``seen`` receives, per table, how many rows came in and how many were complete, counted by the search for repeated keys.
     """
     def landing(name: str, df: DataFrame) -> tuple[DataFrame, str, dict]:
         ts, order = LANDING_LAYOUT[name]
         seen[name], keys = Observation(), schemas.KEYS[name]
         counted = df.observe(seen[name], F.count(F.lit(1)).alias("rows"), F.count_if(is_complete(CLEAN_RULES[name])).alias("kept"))
-        rows = dedupe_latest(clean(counted, CLEAN_RULES[name]), keys)
+        rows = dedupe_stored(clean(df, CLEAN_RULES[name]), keys, counted=clean(counted, CLEAN_RULES[name]))
         stamped = stamp_sync_time(rows, rows.columns)
         if ts is None:
-            return stamped, house.path("ods", name), {"sort": order, "distribute": keys}
+            # The copy's splits are of one size already; what keeps the order of the source needs no shuffle.
+            return stamped, house.path("ods", name), {"sort": order}
         return with_month(stamped, ts), house.path("ods", name), {"part": "ym", "sort": order}
 
     return sum(load_many({name: landing(name, df) for name, df in sources.items()}).values())
@@ -201,7 +202,7 @@ def build(
     out where the sources are columnar files already.  Every step is audited,
     failures too; failed checks raise after their verdicts are stored.
     """
-    tune(spark)
+    finely(spark)
     house = Warehouse(spark, root)
     log = AuditLog(spark, house.path("audit", "etl_log"))
     if stage:

@@ -11,10 +11,10 @@ from strataflow.sinks.tables import (
     with_key_range,
     with_month,
 )
-from strataflow.sinks.upsert import dedupe_latest, has_duplicates, upsert_latest, upsert_partitions
+from strataflow.sinks.upsert import dedupe_latest, dedupe_stored, has_duplicates, upsert_latest, upsert_partitions
 
 __all__ = [
-    "AuditLog", "assert_in_range", "audit_append", "dedupe_latest", "filter_range", "has_duplicates", "load_many",
+    "AuditLog", "assert_in_range", "audit_append", "dedupe_latest", "dedupe_stored", "filter_range", "has_duplicates", "load_many",
     "load_verified", "out_of_range", "refresh", "save_bucketed", "stamp_sync_time", "upsert_latest",
     "upsert_partitions", "with_key_range", "with_month",
 ]

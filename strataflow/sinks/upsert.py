@@ -31,6 +31,18 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], version: str | None = None
     return _latest_per_key(df, keys, [version] if version else [], df.columns)
 
 
+def dedupe_stored(df: DataFrame, keys: Sequence[str], version: str | None = None, counted: DataFrame | None = None) -> DataFrame:
+    """``dedupe_latest`` of a frame that is cheap to read twice: keys alone are shuffled to find those that come more than once, and only
+    rows of these are sorted and merged.  A frame whose keys are unique goes through as it is.
+
+    ``counted`` is the same frame with an observation, which the search for repeated keys runs once.
+    """
+    twice = settle((df if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(*keys), "repeated-keys")
+    if twice.isEmpty():
+        return df
+    return _matching(df, twice, keys, "left_anti").unionByName(dedupe_latest(_matching(df, twice, keys), keys, version))
+
+
 def has_duplicates(df: DataFrame, keys: Sequence[str]) -> bool:
     """Whether any key occurs twice; shuffles key values only."""
     return bool(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).limit(1).count())
