@@ -118,13 +118,19 @@ def _facts(house: Warehouse) -> dict[str, tuple[DataFrame, str, tuple[str, ...]]
     }
 
 
+BUCKET_ROWS = 500_000
+
+
 def bucket_facts(house: Warehouse, buckets: int, prefix: str = "") -> dict[str, str]:
     """Both order facts as catalog tables bucketed and sorted by the order: name -> table.  Joins of the two on the order shuffle neither.
 
+    There are ``buckets`` at least, and so many that the lines of one stay about ``BUCKET_ROWS``, which a task sorts in memory.
+
     For orders with lines of similar numbers; an order that holds a large share of all lines is better joined from the plain facts, where
     adaptive execution splits it.
     """
-    tables = {}
+    tables, lines = {}, house.read("dwd", "order_detail_fact").count()
+    buckets = max(buckets, -(-lines // BUCKET_ROWS))
     for name, order in (("order_fact", ("order_date",)), ("order_detail_fact", ("detail_id",))):
         tables[name] = f"{prefix}{name}"
         save_bucketed(house.read("dwd", name).drop("ym"), tables[name], "order_id", buckets, order, house.path("bucketed", name))

@@ -51,3 +51,14 @@ def test_only_rows_of_repeated_keys_are_merged(spark):
     twice = once.unionByName(spark.createDataFrame([(1, "z"), (1, "a"), (None, "d"), (2, "b")], once.schema))
     want = Counter(map(tuple, dedupe_latest(twice, ["k"]).collect()))
     assert Counter(map(tuple, dedupe_stored(twice, ["k"]).collect())) == want == Counter([(1, "z"), (2, "b"), (None, "d")])
+
+
+def test_buckets_follow_the_lines(spark, shop, monkeypatch):
+    region = spark.createDataFrame([(1, "北京市", "北京", "d", "T1")], "region_id int, province string, city string, district string, region_tier string")
+    promotion = spark.createDataFrame([(2, Decimal("0.25"))], "promo_id int, discount_rate decimal(3,2)")
+    house = warehouse.build(spark, shop, scratch_path(spark, "bucket-house"), region, promotion, verify=False)
+    made = []
+    monkeypatch.setattr(warehouse, "BUCKET_ROWS", 2, raising=False)
+    monkeypatch.setattr(warehouse, "save_bucketed", lambda df, table, key, buckets, *rest: made.append(buckets))
+    warehouse.bucket_facts(house, 2, "sized_")
+    assert made == [3, 3]
