@@ -62,3 +62,18 @@ def test_buckets_follow_the_lines(spark, shop, monkeypatch):
     monkeypatch.setattr(warehouse, "save_bucketed", lambda df, table, key, buckets, *rest: made.append(buckets))
     warehouse.bucket_facts(house, 2, "sized_")
     assert made == [3, 3]
+
+
+def test_the_orders_are_sorted_not_their_copies(spark, sf_dir, monkeypatch):
+    plans, real = [], storage.load_verified
+
+    def noted(df, path, *args, **options):
+        plans.append((df._jdf.queryExecution().optimizedPlan().toString(), options))
+        return real(df, path, *args, **options)
+
+    monkeypatch.setattr(storage, "load_verified", noted)
+    row = QUERIES["layout_saving"](spark, sf_dir).first()
+    coarsely(spark)
+    plan, options = plans[0]
+    assert "sort" not in options and plan.index("Generate") < plan.index("Sort")
+    assert row.saves_half and row.compact_rows == row.plain_rows
