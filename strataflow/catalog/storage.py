@@ -237,6 +237,10 @@ def _(c: Canon) -> DataFrame:
         F.count(F.lit(1)).alias("lines"), F.sum("line_amount").alias("line_amount"), F.sum("total_amount").alias("order_amount")))
 
 
+# A file of a lookup table: its footer names every row group, and whoever reads a part of the file reads the whole footer.
+LOOKUP_ROWS = 100_000
+
+
 @query("point_lookup", """
 , keys AS (SELECT CAST(MAX(order_id) AS BIGINT) AS some_order, CAST(MAX(user_id) AS BIGINT) AS some_user FROM f_order)
 SELECT 'order present' AS lookup, (SELECT COUNT(*) FROM f_order WHERE order_id = some_order) AS found, TRUE AS reads_part, TRUE AS reads_no_more FROM keys
@@ -251,9 +255,10 @@ def _(c: Canon) -> DataFrame:
     """
     order_key, user_key = (F.col("order_id") * 2).alias("order_key"), F.xxhash64("user_id").alias("user_key")
     rows = c.order_core().select(order_key, user_key, "order_date", "total_amount")
+    files = max(4, -(-rows.count() // LOOKUP_ROWS))
     tuned, plain = scratch_path(c.spark, "lookup-tuned"), scratch_path(c.spark, "lookup-plain")
-    held = load_verified(rows.repartitionByRange(4, "order_key"), tuned, sort=("order_key",), lookup={"user_key": 10_000}, row_group_bytes=2 << 10)
-    load_verified(rows.repartition(4, F.xxhash64("order_key")), plain)
+    held = load_verified(rows.repartitionByRange(files, "order_key"), tuned, sort=("order_key",), lookup={"user_key": 10_000}, row_group_bytes=2 << 10)
+    load_verified(rows.repartition(files, F.xxhash64("order_key")), plain)
     top = c.order_core().agg(F.max(order_key).alias("o"), F.max("user_id").alias("u")).select("o", F.xxhash64("u").alias("u"), F.xxhash64(F.lit(-1).cast("long")).alias("nobody")).first()
     wanted = (("order present", "order_key", top.o), ("order absent", "order_key", top.o - 1), ("user present", "user_key", top.u), ("user absent", "user_key", top.nobody))
     out = []

@@ -77,3 +77,18 @@ def test_the_orders_are_sorted_not_their_copies(spark, sf_dir, monkeypatch):
     plan, options = plans[0]
     assert "sort" not in options and plan.index("Generate") < plan.index("Sort")
     assert row.saves_half and row.compact_rows == row.plain_rows
+
+
+def test_lookup_files_follow_the_rows(spark, sf_dir, monkeypatch):
+    files, real = [], storage.load_verified
+
+    def noted(df, path, *args, **options):
+        loaded = real(df, path, *args, **options)
+        files.append(len(spark.read.parquet(path).inputFiles()))
+        return loaded
+
+    monkeypatch.setattr(storage, "load_verified", noted)
+    monkeypatch.setattr(storage, "LOOKUP_ROWS", 150, raising=False)
+    rows = QUERIES["point_lookup"](spark, sf_dir).collect()
+    coarsely(spark)
+    assert files[0] > 4 and files[1] > 4 and all(r.reads_part for r in rows)
