@@ -46,10 +46,6 @@ class Maintained:
         records, arriving = _records(c), f"{root}/arriving"
         lots = F.pmod(F.xxhash64("order_id", "seq"), F.lit(BATCHES)), F.pmod(F.xxhash64("seq", "order_id"), F.lit(4))
         first = records.where((F.col("seq") == 1) & (F.col("order_id") % 5 != 0))
-        for number in range(BATCHES):
-            here = (lots[0] == number) | ((lots[1] == 0) & (F.pmod(lots[0] + 1, F.lit(BATCHES)) == number))
-            records.where(here).coalesce(1).write.mode("append").parquet(arriving)
-
         def follow(spark: SparkSession, batch_no: int) -> None:
             changed = images(spark, self.feed, batch_no)
             orders = inc.signed_orders(changed, c.cfg)
@@ -59,7 +55,11 @@ class Maintained:
 
         apply_changes(spark, self.feed, first, -1)
         follow(spark, -1)
-        change_stream(read_file_stream(spark, arriving, records.schema, max_files=1), self.feed, f"{root}/checkpoint", follow)
+        for number in range(BATCHES):
+            here = (lots[0] == number) | ((lots[1] == 0) & (F.pmod(lots[0] + 1, F.lit(BATCHES)) == number))
+            records.where(here).write.mode("append").parquet(arriving)
+            # The stream goes on from its checkpoint: what has arrived since is one batch, of however many files.
+            change_stream(read_file_stream(spark, arriving, records.schema), self.feed, f"{root}/checkpoint", follow)
 
     def aggregate(self, spec: inc.Increment) -> DataFrame:
         return inc.stored(self.spark, self.root, spec)

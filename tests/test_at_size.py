@@ -64,6 +64,14 @@ def test_buckets_follow_the_lines(spark, shop, monkeypatch):
     assert made == [3, 3]
 
 
+def test_an_arriving_lot_of_many_files_is_one_batch(spark, sf_dir):
+    held = changes.Maintained(Canon(finely(spark), sf_dir))
+    coarsely(spark)
+    arriving = held.root.removesuffix("/dws") + "/arriving"
+    assert len(spark.read.parquet(arriving).inputFiles()) > changes.BATCHES
+    assert sorted(r.batch_no for r in changes.applied(spark, held.feed).collect()) == [-1, 0, 1]
+
+
 def test_the_orders_are_sorted_not_their_copies(spark, sf_dir, monkeypatch):
     plans, real = [], storage.load_verified
 
