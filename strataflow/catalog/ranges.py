@@ -150,5 +150,5 @@ def _(c: Canon) -> DataFrame:
     key = F.col("order_id")
     windows = c.orders().where(key % 100 < 3).select(
         key.alias("window_id"), F.col("order_date").alias("opens"), F.timestamp_add("HOUR", key % 97, F.col("order_date")).alias("closes"))
-    joined = interval_join(c.payments().select("pay_date", "amount"), "pay_date", windows, "opens", "closes")
-    return shown(joined.groupBy("window_id").agg(F.count(F.lit(1)).alias("payments"), F.sum("amount").alias("amount")))
+    held = interval_join(c.payments().select("pay_date", "amount"), "pay_date", windows, "opens", "closes", totals={"payments": None, "amount": "amount"})
+    return shown(held.groupBy("window_id").agg(F.sum("payments").alias("payments"), F.sum("amount").alias("amount")))

@@ -8,12 +8,13 @@ very long one costs two rows.  The levels are powers of four of a second, 20 of
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.functions import epoch_micros
+from strataflow.operators.ordered import running_total
 from strataflow.session import settle
 
 SECOND, STEP, LEVELS = 1_000_000, 4, 20
@@ -25,15 +26,19 @@ def _bin(at: Column, width: Column) -> Column:
     return F.call_function("div", at - F.pmod(at, width), width)
 
 
+def _clipped(intervals: DataFrame, start: str, end: str, low: Column, high: Column) -> DataFrame:
+    first = F.greatest(F.coalesce(epoch_micros(start), low), low)
+    last = F.least(F.coalesce(epoch_micros(end), high + 1), high + 1)
+    real = F.col(start).isNull() | F.col(end).isNull() | (epoch_micros(start) < epoch_micros(end))
+    return intervals.where(real).withColumns({"_from": first, "_to": last}).where("_from < _to")
+
+
 def interval_bins(intervals: DataFrame, start: str, end: str, low: Column, high: Column) -> DataFrame:
     """The intervals with their place, ``_from`` and ``_to`` in microseconds, once per level and bin: at most two rows each.
 
     Bounds that are null are open and clipped to [low, high], as are those beyond it; intervals that hold no instant of it vanish.
     """
-    first = F.greatest(F.coalesce(epoch_micros(start), low), low)
-    last = F.least(F.coalesce(epoch_micros(end), high + 1), high + 1)
-    real = F.col(start).isNull() | F.col(end).isNull() | (epoch_micros(start) < epoch_micros(end))
-    held = intervals.where(real).withColumns({"_from": first, "_to": last}).where("_from < _to")
+    held = _clipped(intervals, start, end, low, high)
     length = F.col("_to") - F.col("_from")
     level = sum(((length > width).cast("int") for width in WIDTHS[:-1]), F.lit(0))
     leveled = held.withColumn("_level", level)
@@ -42,13 +47,22 @@ def interval_bins(intervals: DataFrame, start: str, end: str, low: Column, high:
     return leveled.withColumn("_bin", F.explode(bins))
 
 
-def interval_join(points: DataFrame, ts: str, intervals: DataFrame, start: str, end: str, how: str = "inner") -> DataFrame:
+def interval_join(
+    points: DataFrame, ts: str, intervals: DataFrame, start: str, end: str, how: str = "inner", totals: Mapping[str, str | None] | None = None,
+) -> DataFrame:
     """Every point with every interval where ``start <= ts < end``; a null bound is open, an interval that ends where or before it starts is empty.
 
     With ``how="left"`` points in no interval, and points without a time, are kept with nulls.  Column names of the two sides must differ.
+
+    ``totals``, output column -> measure of the points or None for their number, asks for one row per interval that holds points, with the exact sums over
+    them, in place of the pairs, whose number grows with the points times the intervals.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unknown join {how!r}")
+    if totals is not None:
+        if how != "inner":
+            raise ValueError("totals are for the inner join")
+        return _interval_totals(points, ts, intervals, start, end, totals)
     clash = set(points.columns) & set(intervals.columns)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
@@ -75,3 +89,35 @@ def interval_join(points: DataFrame, ts: str, intervals: DataFrame, start: str,
     met = settle(met, "interval-join")
     alone = rows.join(met.select("_point").distinct(), "_point", "left_anti")
     return met.unionByName(alone, allowMissingColumns=True).drop("_point")
+
+
+def _interval_totals(points: DataFrame, ts: str, intervals: DataFrame, start: str, end: str, totals: Mapping[str, str | None]) -> DataFrame:
+    """Sums per interval as the difference of two running totals: what came before its end less what came before its start.
+
+    Points become one row per instant, the bounds are instants too, so the running total has a row for each and a bound finds it by equality.  Work grows
+    with the points plus the intervals.
+    """
+    clash = set(totals) & set(intervals.columns)
+    if clash:
+        raise ValueError(f"columns on both sides: {sorted(clash)}")
+    at = epoch_micros(ts)
+    bounds = points.agg(F.min(at).alias("low"), F.max(at).alias("high"))
+    low, high = bounds.select("low").scalar(), bounds.select("high").scalar()
+    held = settle(_clipped(intervals, start, end, low, high), "interval-bounds")
+    measures = list(dict.fromkeys(m for m in totals.values() if m is not None))
+    sums, known = {m: f"_s{i}" for i, m in enumerate(measures)}, {m: f"_k{i}" for i, m in enumerate(measures)}
+    # How many values were known tells a sum over none, which is null, from one that is zero.
+    per_instant = points.where(F.col(ts).isNotNull()).groupBy(at.alias("_at")).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.coalesce(F.sum(m), F.lit(0)).alias(sums[m]) for m in measures], *[F.count(m).alias(known[m]) for m in measures])
+    marks = held.select(F.explode(F.array("_from", "_to")).alias("_at")).distinct()
+    both = per_instant.unionByName(marks, allowMissingColumns=True)
+    columns = ["_n", *sums.values(), *known.values()]
+    instants = both.groupBy("_at").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in columns])
+    running = running_total(instants, ["_at"], {c: f"_t{c}" for c in columns})
+    before = settle(running.select("_at", *[(F.col(f"_t{c}") - F.col(c)).alias(c) for c in columns]), "before-instants")
+    opened = before.select(F.col("_at").alias("_o_at"), *[F.col(c).alias(f"_o{c}") for c in columns])
+    closed = before.select(F.col("_at").alias("_c_at"), *[F.col(c).alias(f"_c{c}") for c in columns])
+    joined = held.join(opened, F.col("_from") == F.col("_o_at")).join(closed, F.col("_to") == F.col("_c_at"))
+    inside = {c: F.col(f"_c{c}") - F.col(f"_o{c}") for c in columns}
+    out = [(inside["_n"] if m is None else F.when(inside[known[m]] > 0, inside[sums[m]])).alias(name) for name, m in totals.items()]
+    return joined.where(inside["_n"] > 0).select(*intervals.columns, *out)

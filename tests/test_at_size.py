@@ -72,6 +72,32 @@ def test_an_arriving_lot_of_many_files_is_one_batch(spark, sf_dir):
     assert sorted(r.batch_no for r in changes.applied(spark, held.feed).collect()) == [-1, 0, 1]
 
 
+def test_totals_of_intervals_equal_the_pairs(spark):
+    rng, day = random.Random(5), datetime(1969, 12, 30)
+    when = lambda: day + timedelta(minutes=rng.randrange(4000))
+    points = [(rng.choice([when(), day]), None if rng.random() < 0.2 else money(f"{rng.randrange(500)}.25")) for _ in range(150)] + [(None, money("9.00"))]
+    spans = [(n, rng.choice([when(), when(), when(), None]), rng.choice([when(), when(), when(), None])) for n in range(120)] + [(1, day, day), (2, None, None), (2, None, None)]
+    ps, ws = spark.createDataFrame(points, "ts timestamp_ntz, amount decimal(12,2)"), spark.createDataFrame(spans, "w int, opens timestamp_ntz, closes timestamp_ntz")
+    want = []
+    for w, opens, closes in spans:
+        if opens is not None and closes is not None and opens >= closes:
+            continue
+        inside = [a for t, a in points if t is not None and (opens is None or t >= opens) and (closes is None or t < closes)]
+        if inside:
+            known = [a for a in inside if a is not None]
+            want.append((w, opens, closes, len(inside), sum(known) if known else None))
+    got = interval_join(ps, "ts", ws, "opens", "closes", totals={"n": None, "total": "amount"})
+    assert Counter(map(tuple, got.collect())) == Counter(want)
+    pairs = interval_join(ps, "ts", ws, "opens", "closes").groupBy("w", "opens", "closes").agg(F.count("*"), F.sum("amount")).collect()
+    sizes = defaultdict(int)
+    for row in want:
+        sizes[row[:3]] += row[3]
+    assert {tuple(r)[:3]: r[3] for r in pairs} == sizes
+    assert interval_join(ps.limit(0), "ts", ws, "opens", "closes", totals={"n": None}).count() == 0
+    with pytest.raises(ValueError):
+        interval_join(ps, "ts", ws, "opens", "closes", "left", totals={"n": None})
+
+
 def test_the_orders_are_sorted_not_their_copies(spark, sf_dir, monkeypatch):
     plans, real = [], storage.load_verified
 
