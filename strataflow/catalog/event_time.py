@@ -12,7 +12,7 @@ from strataflow.catalog.canon import Canon
 from strataflow.catalog.registry import query, shown
 from strataflow.functions import epoch_micros, wall
 from strataflow.session import scratch_path
-from strataflow.sources import read_file_stream
+from strataflow.sources import arriving_in_lots
 from strataflow.streaming import bucket_stats, deduplicated, emitted, latest, minute_orders, sessions, store_batches
 
 FIRST, STRETCH_HOURS, STRETCHES = datetime(2024, 1, 1), 90, 8
@@ -33,10 +33,8 @@ def _arrival() -> Column:
 
 def _arriving(c: Canon, rows: DataFrame) -> DataFrame:
     """The rows as a stream, stretch after stretch."""
-    path = scratch_path(c.spark, "stretches")
-    for at in range(STRETCHES):
-        rows.where(F.col("arrival") == at).drop("arrival").write.mode("append").parquet(path)
-    return read_file_stream(c.spark, path, rows.drop("arrival").schema, max_files=1)
+    stretches = [rows.where(F.col("arrival") == at).drop("arrival") for at in range(STRETCHES)]
+    return arriving_in_lots(c.spark, stretches, scratch_path(c.spark, "stretches"))
 
 
 def _events(c: Canon) -> DataFrame:

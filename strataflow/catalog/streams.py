@@ -9,7 +9,7 @@ from strataflow.catalog.canon import Canon
 from strataflow.catalog.registry import query, shown
 from strataflow.plans import metrics
 from strataflow.session import scratch_path
-from strataflow.sources import read_file_stream
+from strataflow.sources import arriving_in_lots
 from strataflow.streaming import (
     Continuous,
     bucket_stats_stream,
@@ -29,11 +29,9 @@ def _events(c: Canon) -> DataFrame:
 
 
 def _arriving(c: Canon, lots: int = 6) -> DataFrame:
-    """The event table in files that arrive one per batch, each holding rows of all times."""
-    path = scratch_path(c.spark, "arriving")
-    for part in range(lots):
-        _events(c).where(F.pmod(F.xxhash64("event_id"), F.lit(lots)) == part).write.mode("append").parquet(path)
-    return read_file_stream(c.spark, path, _events(c).schema, max_files=1)
+    """The event table in lots that arrive one per batch, each holding rows of all times."""
+    parts = [_events(c).where(F.pmod(F.xxhash64("event_id"), F.lit(lots)) == part) for part in range(lots)]
+    return arriving_in_lots(c.spark, parts, scratch_path(c.spark, "arriving"))
 
 
 def _drained(c: Canon, table: Continuous, label: str, fold: bool = False) -> DataFrame:
@@ -134,10 +132,9 @@ written AS (SELECT CAST(batch AS INTEGER) AS batch, COUNT(DISTINCT CAST(ts AS DA
 SELECT batch, days_written, (SELECT CAST(SUM(amount) AS DOUBLE) FROM activity) AS total FROM written""")
 def _(c: Canon) -> DataFrame:
     """Three batches of ten days each and one of rows that come late: the days each one writes are its own, and the last total has everything."""
-    path, root = scratch_path(c.spark, "by-day"), scratch_path(c.spark, "running")
+    root = scratch_path(c.spark, "running")
     place = F.when(F.expr(_LATE), 3).otherwise(F.least(F.floor((F.day("ts") - 1) / 10), F.lit(2)))
-    for number in range(4):
-        _events(c).where(place == number).coalesce(1).write.mode("append").parquet(path)
-    _, written = drain_running(read_file_stream(c.spark, path, _events(c).schema, max_files=1), root, scratch_path(c.spark, "cp"), "ts", "amount")
+    stream = arriving_in_lots(c.spark, [_events(c).where(place == number) for number in range(4)], scratch_path(c.spark, "by-day"))
+    _, written = drain_running(stream, root, scratch_path(c.spark, "cp"), "ts", "amount")
     rows = c.spark.createDataFrame(list(enumerate(written)), "batch int, days_written long")
     return shown(rows.withColumn("total", running_rows(c.spark, root).agg(F.max_by("running_gmv", "bucket_time")).scalar()))

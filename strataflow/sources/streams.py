@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,28 @@ def read_file_stream(
     return reader.load(path)
 
 
+LOT_ROWS = 250_000
+
+
+def arriving_in_lots(spark: SparkSession, lots: Sequence[DataFrame], path: str) -> DataFrame:
+    """Frames of one schema as a stream of files under ``path``, one frame per batch.
+
+    Each is written as the same number of files, of at most about ``LOT_ROWS`` rows, and a batch takes that many files: the number of batches
+    is that of the frames however large they are, and a batch is read by as many tasks as it has files.
+    """
+    sizes = [lot.count() for lot in lots]
+    files = max(1, -(-max(sizes) // LOT_ROWS))
+    for lot, rows in zip(lots, sizes):
+        if files > 1 and rows >= files * files:
+            lot.repartition(files).write.mode("append").parquet(path)
+            continue
+        lot.coalesce(1).write.mode("append").parquet(path)
+        # So few rows are one file; empty ones beside it keep the batches where they are.
+        for _ in range(files - 1):
+            lot.limit(0).coalesce(1).write.mode("append").parquet(path)
+    return read_file_stream(spark, path, lots[0].schema, max_files=files)
+
+
 def read_bus_stream(spark: SparkSession, servers: str, topic: str, schema: T.StructType, **options: str) -> DataFrame:
     """JSON records of a Kafka topic, parsed to ``schema`` (needs the Kafka connector on the classpath)."""
     raw = (

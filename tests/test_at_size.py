@@ -72,6 +72,16 @@ def test_an_arriving_lot_of_many_files_is_one_batch(spark, sf_dir):
     assert sorted(r.batch_no for r in changes.applied(spark, held.feed).collect()) == [-1, 0, 1]
 
 
+def test_lots_are_batches_however_many_files_they_have(spark, monkeypatch):
+    monkeypatch.setattr(streams, "LOT_ROWS", 10)
+    lots = [spark.range(n).select("id", F.lit(k).alias("lot")) for k, n in enumerate((35, 3, 0, 40))]
+    stream, path = streams.arriving_in_lots(spark, lots, scratch_path(spark, "lots")), scratch_path(spark, "lot-batches")
+    store_batches(stream, path, scratch_path(spark, "lot-checkpoint"))
+    by_batch = spark.read.option("basePath", path).parquet(f"{path}/batch_no=*").groupBy("batch_no", "lot").count().collect()
+    assert {(r.batch_no, r.lot, r["count"]) for r in by_batch} == {(0, 0, 35), (1, 1, 3), (3, 3, 40)}
+    assert emitted(spark, path).count() == 78
+
+
 def test_totals_of_intervals_equal_the_pairs(spark):
     rng, day = random.Random(5), datetime(1969, 12, 30)
     when = lambda: day + timedelta(minutes=rng.randrange(4000))
