@@ -35,6 +35,15 @@ def test_large_shuffles_begin_in_small_parts(spark):
     assert spark.conf.get(name, None) is None
 
 
+def test_a_task_holds_a_bounded_share_of_the_groups(fine):
+    """Groups that all differ, shuffled as more than one share: no task has them all."""
+    rows = fine.range(0, 4_000_000, 1, 2).select(F.xxhash64("id").alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    path = scratch_path(fine, "groups")
+    rows.write.parquet(path)
+    sizes = [r["count"] for r in fine.read.parquet(path).groupBy(F.col("_metadata.file_path")).count().collect()]
+    assert sum(sizes) == 4_000_000 and max(sizes) < 2_500_000
+
+
 @pytest.mark.parametrize("pieces", [None, 1, 7])
 def test_numbers_alone_take_one_shuffle_of_the_rows(fine, pieces):
     rows = fine.createDataFrame([(n * 7 % 50, n % 3) for n in range(400)] + [(None, 1)] * 3, "a int, b int")
