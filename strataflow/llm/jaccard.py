@@ -4,8 +4,9 @@
    near copies by a few comparisons per member, however many they are.
 2. Similar sets, those of one band, are partitioned into groups of about ``GROUP``; a set like no other is a group of its own.  The matrix holds the
    union of its members' tokens for every group.  Of a set of ``a`` tokens whose links share ``t`` at least, the first ``a - t + l`` in one
-   order of all tokens do: two linked sets have ``l`` of these in common.  The order puts tokens that many documents share last, so common
-   passages seldom enter the matrix.
+   order of all tokens do: two linked sets have ``l`` of these in common.  The order puts tokens that many documents share last: those common in
+   one batch, and all that ``CROWD`` groups or more share in the matrix, where they are counted.  Sets whose rows hold such a token go on
+   without it and with a smaller ``l``; those whose rows would hold too little begin anew.  So a token meets few groups, however many have it.
 3. A query's overlap with a group is bounded by the tokens the two have in common in the matrix, which is joined with itself by token and counted
    for each pair of groups: a group bounds all its members as queries at once.  Pairs below their ``l``, and groups whose members are connected
    already, are never opened.
@@ -38,7 +39,10 @@ LEADERS = 3  # members of a band that all its members are compared with
 GROUP = 64  # similar sets in a group, about
 PARITY = 2048  # bits that hold the parities of a set
 HEAVY = 4  # sets of one batch that share a token for it to be counted as common
+CROWD = 8  # groups that share a token of the matrix for it to be put last
+THRONG = 64  # groups that share it for the texts around it to be counted whole
 HOT = 1 << 20  # common tokens the order knows of, 16 MB: beyond them the rarer ones are ordered like any other
+LAST = 1 << 40  # weight that puts a token behind all that are common in batches only
 PROBE = 500_000  # rows of keys that are sent to the texts; with more, texts are shuffled to the keys
 MARKS = "doc_id long, row long, n long, sig binary, keys array<long>, bits binary, token long, times long"
 SEEDS = np.random.default_rng(13).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
@@ -138,8 +142,16 @@ def marks(rows: DataFrame, shingle: int) -> DataFrame:
 
 def common_tokens(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Sorted tokens known to be common and how often each was counted: at most ``HOT``, the most frequent ones."""
-    counted = found.where("token IS NOT NULL").groupBy("token").agg(F.sum("times").alias("times"))
-    counted = settle(counted, "common-tokens")
+    return _most_frequent(found.where("token IS NOT NULL").groupBy("token").agg(F.sum("times").alias("times")), "common-tokens")
+
+
+def crowded_tokens(matrix: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted tokens that ``CROWD`` groups or more share, and in how many they are: at most ``HOT``, the most frequent ones.  One row per group."""
+    return _most_frequent(matrix.groupBy("token").agg(F.count(F.lit(1)).alias("times")).where(F.col("times") >= CROWD), "crowded-tokens")
+
+
+def _most_frequent(counted: DataFrame, label: str) -> tuple[np.ndarray, np.ndarray]:
+    counted = settle(counted, label)
     by_size = counted.groupBy(F.floor(F.log2("times")).alias("power")).count().orderBy(F.desc("power")).collect()
     held, least = 0, 0
     for row in by_size:  # one row per power of two
@@ -153,6 +165,14 @@ def common_tokens(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return token[order], times[order]
 
 
+def merged(order: tuple[np.ndarray, np.ndarray], over: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens and weights of ``order`` and ``over``; a token of both has the weight that it has in ``over``."""
+    other = ~np.isin(order[0], over[0], assume_unique=True)
+    token, times = (np.concatenate([x[other], y]) for x, y in zip(order, over))
+    order = np.argsort(token)
+    return token[order], times[order]
+
+
 def _first(found: np.ndarray, hot: tuple[np.ndarray, np.ndarray], percent: int) -> np.ndarray:
     """The tokens of a set that stand in the matrix: the first ones in the order of all tokens."""
     token, times = hot
@@ -167,7 +187,7 @@ def _first(found: np.ndarray, hot: tuple[np.ndarray, np.ndarray], percent: int)
 
 
 def matrix_rows(rows: DataFrame, hot: Broadcast, shingle: int, percent: int) -> DataFrame:
-    """(doc_id, row, spare, first) of every document with words."""
+    """(doc_id, row, spare, first) of every document with words; ``first`` is the whole set with ``percent`` 0."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [tokens(text, shingle) for text in batch.column("body").to_pylist()]
@@ -178,17 +198,55 @@ def matrix_rows(rows: DataFrame, hot: Broadcast, shingle: int, percent: int) ->
     return rows.mapInArrow(of, "doc_id long, row long, spare long, first array<long>").where("size(first) > 0")
 
 
+def first_tokens(rows: DataFrame, order: Broadcast, of_set: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The matrix rows of the documents in ``of_set``, with its columns."""
+    keys = of_set.withColumnsRenamed({"doc_id": "_id", "row": "_row"})
+    return matrix_rows(rows, order, shingle, percent).join(keys, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row"))).drop("_id", "_row")
+
+
+def uncrowded(firsts: DataFrame, crowded: Broadcast) -> DataFrame:
+    """Matrix rows without their crowded tokens.
+
+    What is left is where the row begins once these tokens are put last, with as many fewer to spare; with none to spare it is too short.
+    """
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token = np.sort(_long(crowded.value[0]))
+        for batch in batches:
+            first = batch.column("first")
+            flat = first.flatten().to_numpy(zero_copy_only=False)
+            at = np.minimum(np.searchsorted(token, flat), len(token) - 1)
+            kept = token[at] != flat
+            ends = np.concatenate([[0], np.cumsum(kept)])[np.concatenate([[0], np.cumsum(first.value_lengths().to_numpy())])]
+            fewer = first.value_lengths().to_numpy() - np.diff(ends)
+            out = {name: batch.column(name) for name in batch.schema.names}
+            out["spare"] = pa.array(batch.column("spare").to_numpy() - fewer)
+            out["first"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat[kept]))
+            yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
+
+    return firsts.mapInArrow(of, firsts.schema)
+
+
 def _named(sets: DataFrame, name: str) -> DataFrame:
     return sets.select(F.col("sig").alias(name), F.col("n").alias(f"{name}_n"), F.col("bits").alias(f"{name}_bits"))
 
 
+def short_rows(begun: DataFrame) -> DataFrame:
+    """The documents whose matrix rows are too short without their crowded tokens; these are read from the texts again."""
+    return settle(begun.where("spare < 1").drop("spare", "first").distinct(), "short-rows")
+
+
+def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows with the ids and texts of ``wanted``, a small table or a large one, with its other columns."""
+    keys = wanted.withColumnsRenamed({"doc_id": "_id", "row": "_row"})
+    small = wanted.count() <= PROBE
+    return rows.join(F.broadcast(keys) if small else keys, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row"))).drop("_id", "_row")
+
+
 def linked(pairs: DataFrame, sets: DataFrame, rows: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs (u, v) whose sets overlap enough, compared token by token; only texts of sets in a pair are read into tokens."""
     wanted = settle(pairs.select(F.col("u").alias("sig")).union(pairs.select(F.col("v").alias("sig"))).distinct().join(
         sets.select("sig", "doc_id", "row"), "sig"), "opened")
-    small = wanted.count() <= PROBE
-    keys = wanted.select("sig", F.col("doc_id").alias("_id"), F.col("row").alias("_row"))
-    held = rows.join(F.broadcast(keys) if small else keys, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row")))
+    held = _texts(rows, wanted)
 
     @F.pandas_udf("binary")
     def packed(bodies: pd.Series) -> pd.Series:
@@ -241,6 +299,15 @@ def similar_groups(sets: DataFrame, connected: DataFrame) -> DataFrame:
     return grouped.join(connected, "sig").select("sig", "doc_id", "row", "times", "n", "bits", "grp", F.xxhash64("root").alias("comp"))
 
 
+def group_tokens(firsts: DataFrame, label: str | None = None) -> DataFrame:
+    """(token, grp, comp, spare): the matrix, each token once for every group; a set on its own is its own union."""
+    token = F.explode("first").alias("token")
+    several = F.col("several") | F.col("again")
+    union = firsts.where(several).select("grp", "comp", "spare", token).groupBy("grp", "comp", "token").agg(F.min("spare").alias("spare"))
+    union = settle(union, label) if label else union
+    return firsts.where(~several).select(token, "grp", "comp", "spare").unionByName(union)
+
+
 def group_pairs(matrix: DataFrame) -> DataFrame:
     """(a, b): groups whose token unions overlap by as much as links between their members need, unless all members are connected already."""
     left, right = (matrix.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("grp", "spare", "comp")]) for side in "ab")
@@ -315,16 +382,26 @@ def jaccard_components(
     sizes = grouped.groupBy("grp").agg(
         F.count(F.lit(1)).alias("members"), F.when(F.min("comp") == F.max("comp"), F.min("comp")).alias("comp"))
 
-    hot = spark.sparkContext.broadcast(common_tokens(found))
+    common = common_tokens(found)
+    hot = spark.sparkContext.broadcast(common)
     of_set = grouped.drop("comp").join(sizes, "grp").select(
-        F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "grp", "comp", (F.col("members") > 1).alias("several"), (F.col("times") > 1).alias("again"))
-    firsts = settle(matrix_rows(rows, hot, shingle, percent).join(
-        of_set, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row"))).select("grp", "comp", "several", "again", "spare", "first"), "first-tokens")
-    token = F.explode("first").alias("token")
-    # The union of a group holds each token once; a set on its own is its own union.
-    several = F.col("several") | F.col("again")
-    union = firsts.where(several).select("grp", "comp", "spare", token).groupBy("grp", "comp", "token").agg(F.min("spare").alias("spare"))
-    matrix = firsts.where(~several).select(token, "grp", "comp", "spare").unionByName(settle(union, "group-unions"))
+        "doc_id", "row", "grp", "comp", (F.col("members") > 1).alias("several"), (F.col("times") > 1).alias("again"))
+    firsts = settle(first_tokens(rows, hot, of_set, shingle, percent), "first-tokens")
+    crowded = crowded_tokens(group_tokens(firsts))
+    if len(crowded[0]):
+        throng = crowded[1] >= THRONG
+        if throng.any():
+            # A row with hardly any other tokens has more of them in its text, beyond its first ones: there all that are not known yet are counted.
+            short = short_rows(uncrowded(firsts, spark.sparkContext.broadcast((crowded[0][throng], crowded[1][throng]))))
+            whole = first_tokens(_texts(rows, short.select("doc_id", "row")), hot, short, shingle, 0)
+            whole = uncrowded(whole, spark.sparkContext.broadcast(merged(common, crowded)))
+            crowded = merged(crowded_tokens(whole.select("grp", F.explode("first").alias("token")).distinct()), crowded)
+        begun = settle(uncrowded(firsts, spark.sparkContext.broadcast(crowded)), "uncrowded-tokens")
+        short = short_rows(begun)
+        order = spark.sparkContext.broadcast(merged(common, (crowded[0], crowded[1] + LAST)))
+        again = settle(first_tokens(_texts(rows, short.select("doc_id", "row")), order, short, shingle, percent), "first-tokens-again")
+        firsts = begun.where("spare > 0").unionByName(again)
+    matrix = group_tokens(firsts, "group-unions")
     # A group whose members are not all connected is opened for its own members too.
     mixed = sizes.where("comp IS NULL").select(F.col("grp").alias("a"), F.col("grp").alias("b"))
     opened = settle(group_pairs(matrix).unionByName(mixed), "group-pairs")

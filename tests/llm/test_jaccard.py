@@ -132,6 +132,39 @@ def test_very_long_texts_and_repeated_rows(spark):
     assert found(spark, rows) == by_hand(rows)
 
 
+def shared_passages(n):
+    """Texts that are half one of two passages, none of which is common in a small batch, and near copies of every tenth."""
+    passage = [prose(970 + k, 64) for k in range(2)]
+    rows = [(k, prose(3000 + k, 60, 10 ** 6) + " " + passage[k % 2]) for k in range(n)]
+    return rows + [(10 ** 4 + k, edited(text, k, 1)) for k, text in rows[::10]]
+
+
+def test_tokens_shared_by_many_meet_few_groups(spark, monkeypatch):
+    """Twice the texts that share a passage give about twice the pairs of groups that meet, not four times as many."""
+    monkeypatch.setitem(common.BATCHES, "spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    met, pairs = [], jaccard.group_pairs
+
+    def counting(matrix):
+        held = matrix.groupBy("token").agg(F.countDistinct("grp").alias("groups"))
+        met.append(held.agg(F.sum(F.col("groups") * (F.col("groups") - 1) / 2)).first()[0])
+        return pairs(matrix)
+
+    monkeypatch.setattr(jaccard, "group_pairs", counting)
+    for n in (150, 300):
+        assert found(spark, shared_passages(n)) == by_hand(shared_passages(n))
+    assert met[1] < 3 * met[0] + 300
+
+
+def test_crowded_tokens_are_left_out_of_a_row_or_the_row_begins_anew(spark, corpus, monkeypatch):
+    monkeypatch.setattr(jaccard, "star_pairs", lambda sets, percent: sets.select(F.col("sig").alias("u"), F.col("sig").alias("v")).limit(0))
+    monkeypatch.setattr(jaccard, "CROWD", 2)
+    monkeypatch.setattr(jaccard, "THRONG", 4)
+    rows = corpus[:300] + corpus[-22:]
+    assert found(spark, rows) == by_hand(rows)
+    monkeypatch.setattr(jaccard, "HOT", 40)  # most of the crowded tokens stay where they are
+    assert found(spark, rows) == by_hand(rows)
+
+
 def test_an_empty_table(spark):
     assert found(spark, []) == [] and found(spark, [(1, None), (None, "")]) == [(1, 0, 1), (None, 0, None)]
 
