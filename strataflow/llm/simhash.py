@@ -93,7 +93,8 @@ def links(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
     home, copies = at_anchors("u", 1), at_anchors("v", 2)
     near = (F.col("u") < F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= distance)
-    return home.join(copies, (home.anchor == copies.anchor) & near).select("u", "v").distinct()
+    # Spark sizes a side by the fingerprints alone, not by the sixteen or thirty-two anchors of each, so it is told not to broadcast one.
+    return home.hint("merge").join(copies, (home.anchor == copies.anchor) & near).select("u", "v").distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
@@ -112,7 +113,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     least = joined.groupBy("root").agg(F.min("least").alias("first"))
     named = joined.join(least, "root").select("fp", "first")
     chosen = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row") == F.col("first.row"))
-    return marks.join(named, "fp").select("doc_id", "row", "fp", F.col("first.doc_id").alias("component_id"), chosen.alias("chosen"))
+    # Every document's mark: copies compress so well that the file of very many passes for a small table.
+    return marks.hint("merge").join(named, "fp").select("doc_id", "row", "fp", F.col("first.doc_id").alias("component_id"), chosen.alias("chosen"))
 
 
 def without_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

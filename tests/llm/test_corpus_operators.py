@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import struct
 import zlib
 from collections import Counter, defaultdict
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from strataflow.llm import (
     common, language, mixing, packing, quality_rules, sharding, simhash, substring, toxicity, urlfilter, vptree,
 )
+from strataflow.session import settle
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, row int, key int, score int, shard int, body int"
 BIG = (1 << 60) + 1  # not a double
@@ -567,6 +569,16 @@ def test_no_link_is_lost_at_the_anchors(spark):
         simhash.links(spark.createDataFrame([], "fp long"), 4)
 
 
+def test_neither_anchors_nor_marks_are_broadcast(spark, docs):
+    """Files of fingerprints look small beside their anchors, or beside the marks of copies."""
+    nodes = settle(spark.range(500).select(F.xxhash64("id").alias("fp")), "few-fingerprints")
+    found = simhash.links(nodes)
+    found.collect()
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    whole = simhash.near_duplicates(docs)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"\w+Join \[fp#", whole).group().startswith("SortMergeJoin")
+
+
 def test_components_of_paths_stars_and_rings(spark):
     pairs = [(n, n + 1) for n in range(100, 140)] + [(7, n) for n in range(300, 360)] + [(1000 + n, 1000 + (n + 1) % 9) for n in range(9)] + [(5, 5)]
     got = {r.node: r.root for r in common.components(spark.createDataFrame(pairs, "u long, v long"), "rings").collect()}
