@@ -246,7 +246,8 @@ def repeated_spans(base: DataFrame) -> DataFrame:
     earlier = F.col("source_doc") < F.col("doc_id")
     # Rows that repeat id and text have the same nodes and spans; sets, combined before their shuffle, hold them once, so that an
     # array is bounded by one text however many copies it is joined back to.
-    marks = nodes.select("doc_id", "row", "start", "node").join(known, "node").groupBy("doc_id", "row").agg(
+    # The shared nodes grow with the texts, and their file holds an eleventh of what they take in a broadcast.
+    marks = nodes.select("doc_id", "row", "start", "node").join(known.hint("merge"), "node").groupBy("doc_id", "row").agg(
         F.collect_set(F.struct("start", earlier.alias("earlier"), "one_out", "one_in")).alias("marks"))
     # Flat arrays instead of an array of rows, which Python would hold as one dictionary a node.
     flat = marks.select("doc_id", "row", *[F.col(f"marks.{name}").alias(name) for name in ("start", *FLAGS)])

@@ -145,6 +145,12 @@ def test_copies_of_a_row_do_not_lengthen_its_spans(spark):
     assert sorted(got) == [0] + [120] * 41
 
 
+def test_shared_nodes_are_not_broadcast(spark, docs):
+    base = docs.where("doc_id IS NOT NULL").select("doc_id", common.text_hash(F.col("text")).alias("row"), common.body(F.col("text")).alias("body"))
+    plan = substring.repeated_spans(base)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"(\w+Join) \[node#", plan).group(1) == "SortMergeJoin"
+
+
 # 2 quality rules
 
 def test_quality_counts_equal_the_definition(docs, texts):
