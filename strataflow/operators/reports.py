@@ -25,14 +25,19 @@ def table_bytes(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def layout_savings(spark: SparkSession, compact: str, plain: str) -> DataFrame:
-    """One row: bytes of both layouts and the percentage the compact one saves."""
+def layout_savings(spark: SparkSession, compact: str, plain: str, measured: int = 0) -> DataFrame:
+    """One row: bytes of both layouts and the percentage the compact one saves.
+
+    ``measured`` are the bytes of parts of the plain one that have been measured before and are gone.
+    """
     sizes = data_files(spark, compact).withColumn("_compact", F.lit(True)).unionByName(
         data_files(spark, plain).withColumn("_compact", F.lit(False))
     ).agg(
         F.sum(F.when(F.col("_compact"), F.col("length"))).alias("compact_bytes"),
         F.sum(F.when(~F.col("_compact"), F.col("length"))).alias("plain_bytes"),
     )
+    if measured:
+        sizes = sizes.withColumn("plain_bytes", F.coalesce("plain_bytes", F.lit(0)) + F.lit(measured).cast("long"))
     saved = safe_ratio(F.col("plain_bytes") - F.col("compact_bytes"), F.col("plain_bytes"), 100)
     return sizes.withColumn("savings_pct", F.round(saved, 1))
 

@@ -3,6 +3,7 @@
 from collections import Counter, defaultdict
 from datetime import datetime, timedelta
 from decimal import Decimal
+import os
 import random
 
 import pytest
@@ -132,6 +133,30 @@ def test_the_orders_are_sorted_not_their_copies(spark, sf_dir, monkeypatch):
     assert row.saves_half and row.compact_rows == row.plain_rows
 
 
+def test_the_text_copies_stand_there_part_by_part(spark, sf_dir, monkeypatch):
+    """All copies are counted and measured, but only the last part of them is left."""
+    texts, real = [], storage.scratch_path
+
+    def noted(spark, label):
+        path = real(spark, label)
+        texts.extend([path] if label == "plain" else [])
+        return path
+
+    monkeypatch.setattr(storage, "scratch_path", noted)
+    whole = QUERIES["layout_saving"](spark, sf_dir)
+    want, whole_bytes = whole.collect(), storage.reports.table_bytes(spark, texts[0]).first().bytes
+    monkeypatch.setattr(storage, "TEXT_ROWS", 25_000, raising=False)
+    measured, savings = [], storage.reports.layout_savings
+    monkeypatch.setattr(storage.reports, "layout_savings", lambda *args: measured.append(savings(*args)) or measured[-1])
+    got = QUERIES["layout_saving"](spark, sf_dir).collect()
+    coarsely(spark)
+    assert got == want and got[0].plain_rows == 40 * Canon(spark, sf_dir).orders().count()
+    assert len(texts) == 1 + -(-got[0].plain_rows // 25_000) > 3
+    assert [os.path.exists(path) for path in texts[1:]] == [False] * (len(texts) - 2) + [True]
+    assert measured[0].first().plain_bytes == whole_bytes
+    assert spark.read.text(texts[-1]).count() < got[0].plain_rows / 2
+
+
 def test_lookup_files_follow_the_rows(spark, sf_dir, monkeypatch):
     files, real = [], storage.load_verified
 
