@@ -16,7 +16,7 @@ from strataflow.operators import reports
 from strataflow.plans import warehouse
 from strataflow.plans.views import register_views
 from strataflow.plans.warehouse import Warehouse
-from strataflow.session import scratch_path
+from strataflow.session import scratch_path, tidily
 from strataflow.sinks import load_verified, out_of_range, refresh, upsert_latest, upsert_partitions, with_key_range, with_month
 from strataflow.sinks.folders import _remove
 from strataflow.sources import replicate
@@ -138,8 +138,9 @@ def _built(c: Canon) -> Warehouse:
     """The warehouse of these tables, built once per session into scratch."""
     key = (c.spark.sparkContext.applicationId, c.sf_dir)
     if key not in _BUILT:
-        _BUILT[key] = warehouse.build(
-            c.spark, c.sources(), scratch_path(c.spark, "warehouse"), c.region(), c.promotions(), c.cfg, verify=False)
+        with tidily(c.spark):  # the numbering of the lines too, which runs as soon as the sources are named
+            _BUILT[key] = warehouse.build(
+                c.spark, c.sources(), scratch_path(c.spark, "warehouse"), c.region(), c.promotions(), c.cfg, verify=False)
     return _BUILT[key]
 
 

@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 from decimal import Decimal
 import os
 import random
+import time
 
 import pytest
 from conftest import money
@@ -74,6 +75,28 @@ def test_buckets_follow_the_lines(spark, shop, monkeypatch):
     assert made == [3, 3]
 
 
+def _shuffle_files(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for folder in folders for _, _, names in os.walk(folder.getPath()) for f in names if f.startswith("shuffle_")}
+
+
+def test_a_build_leaves_no_shuffle_files(spark, shop):
+    region = spark.createDataFrame([(1, "北京市", "北京", "d", "T1")], "region_id int, province string, city string, district string, region_tier string")
+    promotion = spark.createDataFrame([(2, Decimal("0.25"))], "promo_id int, discount_rate decimal(3,2)")
+    before = _shuffle_files(spark)
+    house = warehouse.build(spark, shop, scratch_path(spark, "tidy-house"), region, promotion, verify=False)
+    tables = warehouse.bucket_facts(house, 2, "tidy_")
+    coarsely(spark)
+    end = time.time() + 10
+    while _shuffle_files(spark) - before and time.time() < end:
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    assert house.read("dwd", "order_fact").count() == spark.table(tables["order_fact"]).count() == 5
+    # Outside, a frame may run twice and finds its shuffle files.
+    rows = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+    assert sorted(rows.collect()) == sorted(rows.collect()) and _shuffle_files(spark) - before
+
+
 def test_an_arriving_lot_of_many_files_is_one_batch(spark, sf_dir):
     held = changes.Maintained(Canon(finely(spark), sf_dir))
     coarsely(spark)
