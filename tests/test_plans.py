@@ -6,13 +6,19 @@ from pyspark.sql import functions as F
 from strataflow.catalog import QUERIES
 from strataflow.catalog.canon import Canon
 from strataflow.plans import dims, facts
-from strataflow.session import RUNTIME_SETTINGS, tune
+from strataflow.session import RUNTIME_SETTINGS, coarsely, tune
 from strataflow.sinks import save_bucketed
 
 WRITERS = {"csv_roundtrip", "strip_crlf", "federated_join", "load_verified", "partition_row_counts", "partitions_touched",
            "mv_equals_direct", "warehouse_rows", "warehouse_audit", "layout_saving", "codec_saving", "upsert_partitions", "views_sql"} | {n for n in QUERIES if n.startswith("stream_")}
 
 
+@pytest.fixture(autouse=True)
+def _coarse(spark):
+    """No test begins with the 400 shuffle partitions that a query of the catalog before it has set for its session."""
+    coarsely(spark)
+
+
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
